@@ -138,6 +138,10 @@ PREFIX = "WITH " + ",\n".join([
     _daily_cte("daily_bronze", "deduped"),
     _scored_cte("scored", "silver"),
     """anomalies AS (SELECT * FROM scored WHERE z_score > 2.0)""",
+    _hourly_cte("hourly_fa", "silver_fa"),
+    _daily_cte("daily_fa", "silver_fa"),
+    _scored_cte("scored_fa", "silver_fa"),
+    """anomalies_fa AS (SELECT * FROM scored_fa WHERE z_score > 2.0)""",
 ]) + "\n"
 
 
@@ -166,3 +170,255 @@ register("rolling_zscore", "SELECT * FROM scored")
 register("rolling_zscore_bucketed", "SELECT * FROM scored")
 register("anomaly_flags", "SELECT *, z_score > 2.0 AS is_anomaly FROM scored")
 register("gold_anomalies", "SELECT * FROM anomalies")
+
+# ---- exploration -------------------------------------------------------------
+register("count_by_machine", 'SELECT machine_id, COUNT(*) AS "count" FROM bronze GROUP BY machine_id')
+register("count_by_sensor", 'SELECT sensor_type, COUNT(*) AS "count" FROM bronze GROUP BY sensor_type')
+register("count_by_machine_sensor",
+         'SELECT machine_id, sensor_type, COUNT(*) AS "count" FROM bronze GROUP BY machine_id, sensor_type')
+register("time_coverage", """SELECT MIN("timestamp") AS earliest_reading, MAX("timestamp") AS latest_reading,
+  COUNT(DISTINCT CAST("timestamp" AS DATE)) AS distinct_days,
+  MIN(ingested_at) AS first_ingested, MAX(ingested_at) AS last_ingested FROM bronze""")
+register("value_describe", f"""SELECT COUNT(value) AS "count", {rhu('AVG(value)', 4)} AS mean,
+  {rhu('STDDEV_SAMP(value)', 4)} AS stddev, MIN(value) AS "min", MAX(value) AS "max" FROM bronze""")
+register("value_stats_by_sensor", f"""SELECT sensor_type, COUNT(value) AS count_non_null,
+  {rhu('AVG(value)', 4)} AS mean, {rhu('STDDEV_SAMP(value)', 4)} AS stddev,
+  {rhu('MIN(value)', 4)} AS "min", {rhu('MAX(value)', 4)} AS "max" FROM bronze GROUP BY sensor_type""")
+
+_NULL_COLS = ["event_id", "machine_id", "sensor_type", "value", "unit", "timestamp", "ingested_at"]
+register("null_counts", "\nUNION ALL\n".join(
+    f"""SELECT {i + 1} AS position, '{c}' AS column_name, nc AS null_count, {pct('nc', 'n', 1)} AS null_pct,
+  CASE WHEN nc > 0 THEN 'PROBLEM' ELSE 'OK' END AS status
+FROM (SELECT COUNT(*) FILTER (WHERE "{c}" IS NULL) AS nc, COUNT(*) AS n FROM bronze)"""
+    for i, c in enumerate(_NULL_COLS)))
+register("duplicate_ids", 'SELECT event_id, COUNT(*) AS "count" FROM bronze GROUP BY event_id HAVING COUNT(*) > 1')
+register("top_duplicate_ids", '''SELECT event_id, COUNT(*) AS "count" FROM bronze GROUP BY event_id
+  HAVING COUNT(*) > 1 ORDER BY "count" DESC, event_id LIMIT 10''')
+register("duplicate_surplus", """SELECT COUNT(*) AS total_rows, COUNT(DISTINCT event_id) AS distinct_ids,
+  COALESCE(COUNT(*) - COUNT(DISTINCT event_id) - MAX(CASE WHEN event_id IS NULL THEN 1 ELSE 0 END), 0) AS surplus_rows
+  FROM bronze""")
+register("out_of_range_rows", f"SELECT * FROM bronze WHERE {OUT_OF_RANGE}")
+register("out_of_range_rate", f"""SELECT total_rows, out_of_range_count,
+  {pct('out_of_range_count', 'total_rows', 2)} AS out_of_range_pct FROM (
+  SELECT COUNT(*) AS total_rows,
+         COUNT(*) FILTER (WHERE COALESCE({OUT_OF_RANGE}, FALSE) AND value IS NOT NULL) AS out_of_range_count
+  FROM bronze)""")
+register("out_of_range_by_sensor", f"""SELECT sensor_type, COUNT(*) AS out_of_range_count,
+  {rhu('MIN(value)', 2)} AS min_bad_value, {rhu('MAX(value)', 2)} AS max_bad_value
+  FROM bronze WHERE {OUT_OF_RANGE} GROUP BY sensor_type""")
+register("bronze_quality_summary", f"""SELECT total_rows, null_values, {pct('null_values', 'total_rows', 1)} AS null_pct,
+  duplicate_rows, {pct('duplicate_rows', 'total_rows', 1)} AS duplicate_pct,
+  out_of_range, {pct('out_of_range', 'total_rows', 1)} AS out_of_range_pct,
+  total_rows - null_values - duplicate_rows - out_of_range AS expected_clean_rows_naive, clean_rows
+FROM (SELECT COUNT(*) AS total_rows,
+             COUNT(*) FILTER (WHERE value IS NULL) AS null_values,
+             COUNT(*) - COUNT(DISTINCT event_id) - MAX(CASE WHEN event_id IS NULL THEN 1 ELSE 0 END) AS duplicate_rows,
+             COUNT(*) FILTER (WHERE COALESCE({OUT_OF_RANGE}, FALSE) AND value IS NOT NULL) AS out_of_range,
+             (SELECT COUNT(*) FROM silver) AS clean_rows
+      FROM bronze)""")
+register("layer_retention", f"""SELECT bronze_rows, silver_rows, bronze_rows - silver_rows AS rows_removed,
+  {pct('bronze_rows - silver_rows', 'bronze_rows', 1)} AS removed_pct,
+  {pct('silver_rows', 'bronze_rows', 1)} AS retained_pct
+FROM (SELECT (SELECT COUNT(*) FROM bronze) AS bronze_rows, (SELECT COUNT(*) FROM silver) AS silver_rows)""")
+register("silver_stats_by_sensor", f"""SELECT sensor_type, COUNT(*) AS row_count,
+  {rhu('MIN(value)', 4)} AS min_value, {rhu('MAX(value)', 4)} AS max_value, {rhu('AVG(value)', 4)} AS mean_value
+  FROM silver GROUP BY sensor_type""")
+register("check_silver_range", f"SELECT COUNT(*) FILTER (WHERE COALESCE({OUT_OF_RANGE}, FALSE)) AS n FROM silver")
+
+# ---- expectations --------------------------------------------------------------
+
+
+def _metrics_sql(dataset: str, action: str, src: str, rules) -> str:
+    all_pass = " AND ".join(f"COALESCE({r}, FALSE)" for _, r in rules)
+    dropped = f"COUNT(*) FILTER (WHERE NOT ({all_pass}))" if action == "drop" else "CAST(0 AS BIGINT)"
+    fails = ", ".join(f"COUNT(*) FILTER (WHERE NOT COALESCE({r}, FALSE)) AS f{i}" for i, (_, r) in enumerate(rules))
+    agg = f"(SELECT COUNT(*) AS n, {dropped} AS d, {fails} FROM {src})"
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{dataset}' AS dataset, '{action}' AS action, n AS input_records, d AS dropped_records,
+  {i + 1} AS rule_index, '{name}' AS rule, f{i} AS failed_records FROM {agg}"""
+        for i, (name, _) in enumerate(rules))
+
+
+register("expect_drop_metrics", _metrics_sql("silver_sensors", "drop", "deduped", RULES))
+HOURLY_RULES = [("reading_count is positive", "reading_count > 0"), ("avg_value is not null", "avg_value IS NOT NULL")]
+DAILY_RULES = [("health_score is valid", "health_score_pct BETWEEN 0 AND 100"),
+               ("machine_id is not null", "machine_id IS NOT NULL")]
+ANOMALY_RULES = [("z_score is positive", "z_score > 0"), ("z_score exceeds threshold", "z_score > 2.0")]
+register("expect_warn_metrics", "\nUNION ALL\n".join([
+    _metrics_sql("gold_hourly_stats", "warn", "hourly", HOURLY_RULES),
+    _metrics_sql("gold_daily_health", "warn", "daily", DAILY_RULES),
+    _metrics_sql("gold_anomalies", "warn", "anomalies", ANOMALY_RULES)]))
+
+# ---- anomaly analytics ------------------------------------------------------------
+register("anomaly_summary", f"""SELECT machine_id, sensor_type, total_readings, anomaly_count,
+  {rhu('anomaly_count / total_readings * 100.0', 2)} AS anomaly_rate_pct, max_z_score
+FROM (SELECT machine_id, sensor_type, COUNT(*) AS total_readings,
+             COUNT(*) FILTER (WHERE z_score > 2.0) AS anomaly_count,
+             {rhu('MAX(CASE WHEN z_score > 2.0 THEN z_score END)', 2)} AS max_z_score
+      FROM scored GROUP BY machine_id, sensor_type)""")
+register("anomaly_profile", f"""SELECT machine_id, sensor_type, COUNT(*) AS anomaly_count,
+  {rhu('MAX(z_score)', 2)} AS max_z_score, {rhu('AVG(z_score)', 2)} AS avg_z_score,
+  {rhu('MIN(value)', 4)} AS min_anomalous_value, {rhu('MAX(value)', 4)} AS max_anomalous_value
+  FROM anomalies GROUP BY machine_id, sensor_type""")
+register("top_anomalies", f"""SELECT machine_id, sensor_type, {rhu('value', 4)} AS value, unit,
+  {rhu('rolling_avg', 4)} AS rolling_avg, {rhu('z_score', 2)} AS z_score, "timestamp"
+  FROM anomalies ORDER BY {rhu('z_score', 2)} DESC, anomalies.z_score DESC, event_id LIMIT 10""")
+register("anomalies_per_day", f"""SELECT CAST("timestamp" AS DATE) AS "date", machine_id, sensor_type,
+  COUNT(*) AS anomaly_count, {rhu('AVG(z_score)', 2)} AS avg_z_score
+  FROM anomalies GROUP BY CAST("timestamp" AS DATE), machine_id, sensor_type""")
+register("most_anomalous_sensor", """SELECT sensor_type, COUNT(*) AS n FROM anomalies GROUP BY sensor_type
+  ORDER BY n DESC, sensor_type LIMIT 1""")
+register("max_anomaly", f"""SELECT machine_id, sensor_type, {rhu('z_score', 2)} AS z_score FROM anomalies
+  ORDER BY {rhu('anomalies.z_score', 2)} DESC, anomalies.z_score DESC, event_id LIMIT 1""")
+register("anomaly_headline", f"""SELECT anomaly_count, silver_rows,
+  {rhu('CAST(anomaly_count AS DOUBLE) / NULLIF(silver_rows, 0) * 100.0', 2)} AS anomaly_rate_pct,
+  {rhu('a', 2)} AS avg_z_score, {rhu('m', 2)} AS max_z_score
+FROM (SELECT COUNT(*) AS silver_rows, COUNT(*) FILTER (WHERE z_score > 2.0) AS anomaly_count,
+             AVG(CASE WHEN z_score > 2.0 THEN z_score END) AS a, MAX(CASE WHEN z_score > 2.0 THEN z_score END) AS m
+      FROM scored)""")
+
+# ---- health roll-ups -------------------------------------------------------------------
+
+
+def _avg1(score: str) -> str:
+    s = f"SUM(CAST(round({score} * 10.0) AS BIGINT))"
+    a5 = f"(({s}) * 20000 + COUNT({score})) // (2 * COUNT({score}))"
+    return f"(CAST(({a5} + 5000) // 10000 AS DOUBLE) / 10.0)"
+
+
+_WORST = """CASE MAX(CASE machine_status WHEN 'NORMAL' THEN 0 WHEN 'WARNING' THEN 1 WHEN 'CRITICAL' THEN 2 END)
+    WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'WARNING' WHEN 2 THEN 'CRITICAL' END"""
+
+
+def _health_avg(src):
+    return f"""SELECT machine_id, {_avg1('health_score_pct')} AS avg_health_score, {_WORST} AS worst_status
+  FROM {src} GROUP BY machine_id"""
+
+
+def _health_overall(src):
+    return f"""SELECT machine_id, {_avg1('health_score_pct')} AS avg_health_score,
+  MIN(health_score_pct) AS worst_day_score, MAX(health_score_pct) AS best_day_score,
+  CASE WHEN MIN(health_score_pct) < 80 THEN 'CRITICAL' WHEN MIN(health_score_pct) < 95 THEN 'WARNING'
+       ELSE 'NORMAL' END AS overall_status,
+  {_WORST} AS worst_daily_status, CAST(SUM(total_readings) AS BIGINT) AS total_readings
+  FROM {src} GROUP BY machine_id"""
+
+
+def _worst_machine(src):
+    return f"""SELECT machine_id, {_avg1('health_score_pct')} AS avg_score FROM {src}
+  GROUP BY machine_id ORDER BY avg_score ASC, machine_id LIMIT 1"""
+
+
+register("machine_health_avg", _health_avg("daily"))
+register("machine_health_avg_deduped_bronze", _health_avg("daily_bronze"))
+register("machine_health_overall", _health_overall("daily"))
+register("machine_health_overall_deduped_bronze", _health_overall("daily_bronze"))
+register("worst_machine", _worst_machine("daily"))
+register("worst_machine_deduped_bronze", _worst_machine("daily_bronze"))
+register("daily_health_listing", f"""SELECT "date", machine_id, health_score_pct, machine_status, total_readings,
+  {rhu('avg_temperature', 2)} AS avg_temp, {rhu('avg_pressure', 2)} AS avg_pressure,
+  {rhu('avg_vibration', 4)} AS avg_vibration FROM daily""")
+register("daily_reading_counts", """SELECT CAST("timestamp" AS DATE) AS "date", machine_id, COUNT(*) AS readings,
+  COUNT(DISTINCT sensor_type) AS sensor_types_active FROM silver GROUP BY CAST("timestamp" AS DATE), machine_id""")
+register("sensor_profile", f"""SELECT machine_id, sensor_type, COUNT(*) AS readings, {rhu('AVG(value)', 3)} AS mean,
+  {rhu('STDDEV_SAMP(value)', 3)} AS stddev, {rhu('MIN(value)', 3)} AS min_val, {rhu('MAX(value)', 3)} AS max_val
+  FROM silver GROUP BY machine_id, sensor_type""")
+
+# ---- quality report --------------------------------------------------------------------
+
+
+def _report_sql(run_id, at, deduped, silver, hourly, daily, anomalies, days_expected):
+    counts = f"""(SELECT
+  (SELECT COUNT(*) FROM bronze) AS br,
+  (SELECT COUNT(*) FROM bronze WHERE value IS NULL) AS bn,
+  (SELECT COUNT(*) - COUNT(DISTINCT event_id) - MAX(CASE WHEN event_id IS NULL THEN 1 ELSE 0 END) FROM bronze) AS bd,
+  (SELECT COUNT(*) FROM {silver}) AS sr,
+  (SELECT COUNT(*) FROM {silver} WHERE value IS NULL) AS sn,
+  (SELECT COUNT(*) - COUNT(DISTINCT event_id) - COALESCE(MAX(CASE WHEN event_id IS NULL THEN 1 ELSE 0 END), 0)
+     FROM {silver}) AS sd,
+  (SELECT COUNT(*) FROM {silver} WHERE {OUT_OF_RANGE}) AS sv,
+  (SELECT COUNT(DISTINCT machine_id) FROM {daily}) AS gm,
+  (SELECT COUNT(*) FROM {daily} WHERE health_score_pct < 0 OR health_score_pct > 100) AS gi,
+  (SELECT COUNT(DISTINCT "date") FROM {hourly}) AS gd,
+  (SELECT COUNT(*) FROM {anomalies}) AS ga)"""
+    ret, anom = pct("sr", "br", 2), pct("ga", "sr", 2)
+    ret_st = f"CASE WHEN {ret} >= 85.0 THEN 'PASS' WHEN {ret} >= 70.0 THEN 'WARN' ELSE 'FAIL' END"
+    an_st = f"CASE WHEN {anom} BETWEEN 1.0 AND 20.0 THEN 'PASS' WHEN {anom} < 1.0 THEN 'WARN' ELSE 'FAIL' END"
+    rows = [
+        ("bronze", "bronze_sensors", "row_count", "br", "9000", "CASE WHEN br >= 9000 THEN 'PASS' ELSE 'FAIL' END"),
+        ("bronze", "bronze_sensors", "null_rate_pct", pct("bn", "br", 2), "5.0",
+         f"CASE WHEN {pct('bn', 'br', 2)} <= 5.0 THEN 'PASS' ELSE 'FAIL' END"),
+        ("bronze", "bronze_sensors", "duplicate_rate_pct", pct("bd", "br", 2), "3.0",
+         f"CASE WHEN {pct('bd', 'br', 2)} <= 3.0 THEN 'PASS' ELSE 'FAIL' END"),
+        ("silver", "silver_sensors", "row_count", "sr", "NULL", "'PASS'"),
+        ("silver", "silver_sensors", "null_count", "sn", "0", "CASE WHEN sn = 0 THEN 'PASS' ELSE 'FAIL' END"),
+        ("silver", "silver_sensors", "duplicate_count", "sd", "0", "CASE WHEN sd = 0 THEN 'PASS' ELSE 'FAIL' END"),
+        ("silver", "silver_sensors", "range_violations", "sv", "0", "CASE WHEN sv = 0 THEN 'PASS' ELSE 'FAIL' END"),
+        ("silver", "silver_sensors", "retention_pct", ret, "85.0", ret_st),
+        ("gold", "gold_daily_health", "distinct_machines", "gm", "5", "CASE WHEN gm = 5 THEN 'PASS' ELSE 'FAIL' END"),
+        ("gold", "gold_daily_health", "invalid_scores", "gi", "0", "CASE WHEN gi = 0 THEN 'PASS' ELSE 'FAIL' END"),
+        ("gold", "gold_anomalies", "anomaly_rate_pct", anom, "20.0", an_st),
+        ("gold", "gold_hourly_stats", "days_covered", "gd", str(days_expected),
+         f"CASE WHEN gd = {days_expected} THEN 'PASS' ELSE 'WARN' END"),
+        ("lineage", "cross_layer", "bronze_to_silver_retention_pct", ret, "85.0", ret_st),
+        ("lineage", "cross_layer", "rows_removed_cleaning", "br - sr", "NULL", "'PASS'"),
+        ("lineage", "cross_layer", "anomaly_rate_pct", anom, "20.0", an_st),
+    ]
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{run_id}' AS run_id, '{layer}' AS layer, '{table}' AS table_name, '{name}' AS check_name,
+  CAST({metric} AS DOUBLE) AS metric_value, CAST({thr} AS DOUBLE) AS threshold, {status} AS status,
+  TIMESTAMP '{at}' + to_seconds({i}) AS checked_at FROM {counts}"""
+        for i, (layer, table, name, metric, thr, status) in enumerate(rows))
+
+
+REPORT_LATEST = _report_sql("20240201_000000", "2024-02-01 00:00:00", "deduped", "silver", "hourly", "daily",
+                            "anomalies", 7)
+REPORT_PREV = _report_sql("20240131_000000", "2024-01-31 00:00:00", "deduped_fa", "silver_fa", "hourly_fa",
+                          "daily_fa", "anomalies_fa", 30)
+HISTORY = f"(\n{REPORT_PREV}\nUNION ALL\n{REPORT_LATEST}\n)"
+LATEST = f"(SELECT * FROM {HISTORY} h WHERE run_id = (SELECT MAX(run_id) FROM {HISTORY} h2))"
+_STATUS_COUNTS = """COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE status = 'PASS') AS passed,
+  COUNT(*) FILTER (WHERE status = 'WARN') AS warned, COUNT(*) FILTER (WHERE status = 'FAIL') AS failed"""
+
+register("quality_report", REPORT_LATEST)
+register("latest_run_checks", f"SELECT * FROM {LATEST} x")
+register("quality_by_layer", f"SELECT layer, {_STATUS_COUNTS} FROM {LATEST} x GROUP BY layer")
+register("quality_detail", f"""SELECT layer, check_name, {rhu('metric_value', 2)} AS metric_value, threshold, status
+  FROM {LATEST} x""")
+register("check_failures", f"""SELECT layer, check_name, metric_value, threshold, status FROM {LATEST} x
+  WHERE status IN ('FAIL', 'WARN')""")
+register("check_failure_count", f"SELECT COUNT(*) FILTER (WHERE status IN ('FAIL', 'WARN')) AS failures FROM {LATEST} x")
+register("quality_trend", f"SELECT run_id, MAX(checked_at) AS checked_at, {_STATUS_COUNTS} FROM {HISTORY} x GROUP BY run_id")
+_RATE = rhu("CAST(passed AS DOUBLE) / NULLIF(total_checks, 0) * 100.0", 0)
+register("quality_scorecard", f"""SELECT layer, total_checks, passed, warned, failed,
+  CAST({_RATE} AS VARCHAR) || '%' AS pass_rate, {_RATE} AS pass_rate_pct
+  FROM (SELECT layer, {_STATUS_COUNTS} FROM {LATEST} x GROUP BY layer)""")
+register("quality_pass_rate", f"SELECT {_RATE} AS pass_rate FROM (SELECT {_STATUS_COUNTS} FROM {LATEST} x)")
+
+# ---- flow, findings, dashboards --------------------------------------------------------------
+register("row_flow", f"""SELECT br AS bronze_rows, br - sr AS rows_removed,
+  {rhu('100.0 - ' + pct('sr', 'br', 1), 1)} AS removed_pct, sr AS silver_rows,
+  {pct('sr', 'br', 1)} AS retained_pct, hr AS hourly_rows, dr AS daily_rows, ar AS anomaly_rows
+FROM (SELECT (SELECT COUNT(*) FROM bronze) AS br, (SELECT COUNT(*) FROM silver) AS sr,
+             (SELECT COUNT(*) FROM hourly) AS hr, (SELECT COUNT(*) FROM daily) AS dr,
+             (SELECT COUNT(*) FROM anomalies) AS ar)""")
+register("key_findings", f"""SELECT
+  (SELECT COUNT(*) FROM bronze) AS total_raw_readings,
+  (SELECT COUNT(*) FROM silver) AS clean_readings,
+  {pct('(SELECT COUNT(*) FROM silver)', '(SELECT COUNT(*) FROM bronze)', 1)} AS retained_pct,
+  (SELECT {_RATE} FROM (SELECT {_STATUS_COUNTS} FROM ({REPORT_LATEST}) r)) AS quality_pass_rate,
+  (SELECT COUNT(*) FROM anomalies) AS anomalies_detected,
+  w.machine_id AS worst_machine_id, w.avg_score AS worst_machine_avg_score,
+  m.sensor_type AS most_anomalous_sensor, m.n AS most_anomalous_sensor_count,
+  x.machine_id AS max_z_machine_id, x.sensor_type AS max_z_sensor_type, x.z_score AS max_z_score
+FROM ({_worst_machine('daily')}) w,
+     (SELECT sensor_type, COUNT(*) AS n FROM anomalies GROUP BY sensor_type ORDER BY n DESC, sensor_type LIMIT 1) m,
+     (SELECT machine_id, sensor_type, {rhu('z_score', 2)} AS z_score FROM anomalies
+      ORDER BY {rhu('anomalies.z_score', 2)} DESC, anomalies.z_score DESC, event_id LIMIT 1) x""")
+register("dash_hourly_trend", """SELECT machine_id, sensor_type, unit, hour_window, reading_count, avg_value,
+  min_value, max_value FROM hourly WHERE hour_window > (SELECT MAX(hour_window) FROM hourly) - INTERVAL 7 DAY""")
+register("dash_health_heatmap", 'SELECT machine_id, "date", health_score_pct, machine_status FROM daily_bronze')
+register("dash_anomaly_points", 'SELECT "timestamp", machine_id, sensor_type, value, z_score FROM anomalies')
+register("dash_drop_rate", f"""SELECT rule_index, rule, failed_records, input_records,
+  {pct('failed_records', 'input_records', 2)} AS drop_rate_pct
+  FROM ({_metrics_sql('silver_sensors', 'drop', 'deduped', RULES)}) m""")

@@ -98,3 +98,315 @@ def _flags(spark, sf_dir):
 @query("gold_anomalies")
 def _anomalies(spark, sf_dir):
     return layers(spark, sf_dir).anomalies
+
+
+# ---- exploration (Bronze unless stated) -------------------------------------
+from functools import reduce as _reduce  # noqa: E402
+
+from ..config import DEFAULT as _DEFAULT  # noqa: E402
+from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules  # noqa: E402
+from ..operators import dedup as D  # noqa: E402
+from ..operators.expectations import expectation_metrics  # noqa: E402
+from . import anomaly_report as AR  # noqa: E402
+from . import explore as X  # noqa: E402
+from . import health_report as HR  # noqa: E402
+from . import quality as QR  # noqa: E402
+from . import summary as SM  # noqa: E402
+
+
+def _bronze(spark, sf_dir):
+    return layers(spark, sf_dir).bronze
+
+
+@query("count_by_machine")
+def _cbm(spark, sf_dir):
+    return X.count_by(_bronze(spark, sf_dir), "machine_id")
+
+
+@query("count_by_sensor")
+def _cbs(spark, sf_dir):
+    return X.count_by(_bronze(spark, sf_dir), "sensor_type")
+
+
+@query("count_by_machine_sensor")
+def _cbms(spark, sf_dir):
+    return X.count_by(_bronze(spark, sf_dir), "machine_id", "sensor_type")
+
+
+@query("time_coverage")
+def _cov(spark, sf_dir):
+    return X.time_coverage(_bronze(spark, sf_dir))
+
+
+@query("value_describe")
+def _desc(spark, sf_dir):
+    return X.value_describe(_bronze(spark, sf_dir))
+
+
+@query("value_stats_by_sensor")
+def _vstats(spark, sf_dir):
+    return X.value_stats_by_sensor(_bronze(spark, sf_dir))
+
+
+@query("null_counts")
+def _nulls(spark, sf_dir):
+    return X.null_counts(_bronze(spark, sf_dir))
+
+
+@query("duplicate_ids")
+def _dups(spark, sf_dir):
+    return D.duplicate_ids(_bronze(spark, sf_dir))
+
+
+@query("top_duplicate_ids")
+def _topdups(spark, sf_dir):
+    return D.top_duplicate_ids(_bronze(spark, sf_dir), 10)
+
+
+@query("duplicate_surplus")
+def _surplus(spark, sf_dir):
+    return D.duplicate_surplus(_bronze(spark, sf_dir))
+
+
+@query("out_of_range_rows")
+def _oor_rows(spark, sf_dir):
+    return X.out_of_range_rows(_bronze(spark, sf_dir))
+
+
+@query("out_of_range_rate")
+def _oor_rate(spark, sf_dir):
+    return X.out_of_range_rate(_bronze(spark, sf_dir))
+
+
+@query("out_of_range_by_sensor")
+def _oor_sensor(spark, sf_dir):
+    return X.out_of_range_by_sensor(_bronze(spark, sf_dir))
+
+
+@query("bronze_quality_summary")
+def _bqs(spark, sf_dir):
+    ly = layers(spark, sf_dir)
+    return X.bronze_quality_summary(ly.bronze, ly.silver)
+
+
+@query("layer_retention")
+def _ret(spark, sf_dir):
+    ly = layers(spark, sf_dir)
+    return X.layer_retention(ly.bronze, ly.silver)
+
+
+@query("silver_stats_by_sensor")
+def _sstats(spark, sf_dir):
+    return X.silver_stats_by_sensor(layers(spark, sf_dir).silver)
+
+
+@query("check_silver_range")
+def _srange(spark, sf_dir):
+    return X.range_violation_count(layers(spark, sf_dir).silver)
+
+
+# ---- expectations -------------------------------------------------------------
+
+@query("expect_drop_metrics")
+def _drop_metrics(spark, sf_dir):
+    return L.silver_rule_metrics(layers(spark, sf_dir).bronze, FIXTURE)
+
+
+def _warn_metrics(ly: L.Layers):
+    t = ly.cfg.tables
+    parts = [expectation_metrics(ly.hourly, hourly_rules(), t.hourly, "warn"),
+             expectation_metrics(ly.daily, daily_rules(ly.cfg), t.daily, "warn"),
+             expectation_metrics(ly.anomalies, anomaly_rules(ly.cfg), t.anomalies, "warn")]
+    return _reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("expect_warn_metrics")
+def _warn(spark, sf_dir):
+    return _warn_metrics(layers(spark, sf_dir))
+
+
+# ---- anomaly analytics ----------------------------------------------------------
+
+@query("anomaly_summary")
+def _asum(spark, sf_dir):
+    return AR.anomaly_summary(layers(spark, sf_dir).scored)
+
+
+@query("anomaly_profile")
+def _aprof(spark, sf_dir):
+    return AR.anomaly_profile(layers(spark, sf_dir).anomalies)
+
+
+@query("top_anomalies")
+def _atop(spark, sf_dir):
+    return AR.top_anomalies(layers(spark, sf_dir).anomalies, 10)
+
+
+@query("anomalies_per_day")
+def _aday(spark, sf_dir):
+    return AR.anomalies_per_day(layers(spark, sf_dir).anomalies)
+
+
+@query("most_anomalous_sensor")
+def _amost(spark, sf_dir):
+    return AR.most_anomalous_sensor(layers(spark, sf_dir).anomalies)
+
+
+@query("max_anomaly")
+def _amax(spark, sf_dir):
+    return AR.max_anomaly(layers(spark, sf_dir).anomalies)
+
+
+@query("anomaly_headline")
+def _ahead(spark, sf_dir):
+    return AR.anomaly_headline(layers(spark, sf_dir).scored)
+
+
+# ---- health roll-ups (Silver, and deduped Bronze where scores vary) --------------
+
+def _daily_deduped_bronze(spark, sf_dir):
+    ly = layers(spark, sf_dir)
+    return L.gold_daily(ly.deduped, ly.cfg)
+
+
+@query("machine_health_avg")
+def _mha(spark, sf_dir):
+    return HR.machine_health_avg(layers(spark, sf_dir).daily)
+
+
+@query("machine_health_avg_deduped_bronze")
+def _mha_b(spark, sf_dir):
+    return HR.machine_health_avg(_daily_deduped_bronze(spark, sf_dir))
+
+
+@query("machine_health_overall")
+def _mho(spark, sf_dir):
+    return HR.machine_health_overall(layers(spark, sf_dir).daily)
+
+
+@query("machine_health_overall_deduped_bronze")
+def _mho_b(spark, sf_dir):
+    return HR.machine_health_overall(_daily_deduped_bronze(spark, sf_dir))
+
+
+@query("worst_machine")
+def _worst(spark, sf_dir):
+    return HR.worst_machine(layers(spark, sf_dir).daily)
+
+
+@query("worst_machine_deduped_bronze")
+def _worst_b(spark, sf_dir):
+    return HR.worst_machine(_daily_deduped_bronze(spark, sf_dir))
+
+
+@query("daily_health_listing")
+def _dhl(spark, sf_dir):
+    return HR.daily_health_listing(layers(spark, sf_dir).daily)
+
+
+@query("daily_reading_counts")
+def _drc(spark, sf_dir):
+    return HR.daily_reading_counts(layers(spark, sf_dir).silver)
+
+
+@query("sensor_profile")
+def _sprof(spark, sf_dir):
+    return HR.sensor_profile(layers(spark, sf_dir).silver)
+
+
+# ---- quality report and its history ----------------------------------------------
+# Two runs over the same input: the earlier with the fixture's thresholds and
+# arrival-order dedup, the latest with the source pipeline's own thresholds
+# (7 expected days, so days_covered warns on 30 days of data).
+RUN_PREV = ("20240131_000000", "2024-01-31 00:00:00", FIXTURE, "first_arrival")
+RUN_LATEST = ("20240201_000000", "2024-02-01 00:00:00", _DEFAULT, "prefer_value")
+
+
+def run_report(spark, sf_dir, run=RUN_LATEST):
+    run_id, at, cfg, order = run
+    ly = layers(spark, sf_dir, cfg=cfg, order=order)
+    return QR.quality_report(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies,
+                             run_id, at, cfg, step_seconds=1)
+
+
+def history(spark, sf_dir):
+    return run_report(spark, sf_dir, RUN_PREV).unionByName(run_report(spark, sf_dir, RUN_LATEST))
+
+
+@query("quality_report")
+def _qr(spark, sf_dir):
+    return run_report(spark, sf_dir)
+
+
+@query("latest_run_checks")
+def _latest(spark, sf_dir):
+    return QR.latest_run(history(spark, sf_dir))
+
+
+@query("quality_by_layer")
+def _qbl(spark, sf_dir):
+    return QR.quality_by_layer(history(spark, sf_dir))
+
+
+@query("quality_detail")
+def _qd(spark, sf_dir):
+    return QR.quality_detail(history(spark, sf_dir))
+
+
+@query("check_failures")
+def _cf(spark, sf_dir):
+    return QR.check_failures(history(spark, sf_dir))
+
+
+@query("check_failure_count")
+def _cfc(spark, sf_dir):
+    return QR.check_failure_count(history(spark, sf_dir))
+
+
+@query("quality_trend")
+def _qt(spark, sf_dir):
+    return QR.quality_trend(history(spark, sf_dir))
+
+
+@query("quality_scorecard")
+def _qs(spark, sf_dir):
+    return QR.quality_scorecard(history(spark, sf_dir))
+
+
+@query("quality_pass_rate")
+def _qp(spark, sf_dir):
+    return QR.quality_pass_rate(history(spark, sf_dir))
+
+
+# ---- flow, findings, dashboards ------------------------------------------------------
+
+@query("row_flow")
+def _flow(spark, sf_dir):
+    ly = layers(spark, sf_dir)
+    return SM.row_flow(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies)
+
+
+@query("key_findings")
+def _findings(spark, sf_dir):
+    ly = layers(spark, sf_dir, cfg=RUN_LATEST[2], order=RUN_LATEST[3])
+    return SM.key_findings(ly.bronze, ly.silver, ly.daily, ly.anomalies, run_report(spark, sf_dir), ly.cfg)
+
+
+@query("dash_hourly_trend")
+def _dht(spark, sf_dir):
+    return SM.dash_hourly_trend(layers(spark, sf_dir).hourly, 7)
+
+
+@query("dash_health_heatmap")
+def _dhh(spark, sf_dir):
+    return SM.dash_health_heatmap(_daily_deduped_bronze(spark, sf_dir))
+
+
+@query("dash_anomaly_points")
+def _dap(spark, sf_dir):
+    return SM.dash_anomaly_points(layers(spark, sf_dir).anomalies)
+
+
+@query("dash_drop_rate")
+def _ddr(spark, sf_dir):
+    return SM.dash_drop_rate(L.silver_rule_metrics(layers(spark, sf_dir).bronze, FIXTURE))
