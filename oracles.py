@@ -422,3 +422,10 @@ register("dash_anomaly_points", 'SELECT "timestamp", machine_id, sensor_type, va
 register("dash_drop_rate", f"""SELECT rule_index, rule, failed_records, input_records,
   {pct('failed_records', 'input_records', 2)} AS drop_rate_pct
   FROM ({_metrics_sql('silver_sensors', 'drop', 'deduped', RULES)}) m""")
+
+# ---- tables --------------------------------------------------------------------------
+register("write_partitioned_roundtrip", "SELECT * FROM silver")
+register("partition_pruned_read", "SELECT * FROM silver WHERE sensor_type = 'temperature'")
+register("quality_report_append", f"SELECT * FROM {HISTORY} x")
+register("row_and_column_count", "SELECT COUNT(*) AS row_count, 7 AS column_count FROM bronze")
+register("sample_rows", "SELECT * FROM silver ORDER BY event_id LIMIT 20")

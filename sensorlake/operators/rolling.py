@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.rounding import round_half_up
+from ..session import ensure_checkpoint_dir
 
 # Rows of the offsets table that may be broadcast (about 40 bytes a row).
 BROADCAST_ROW_LIMIT = 2_000_000
@@ -88,6 +89,13 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
                 .sortWithinPartitions(*keys, *order)
                 .withColumn("_p", F.spark_partition_id())
                 .withColumn("_i", F.monotonically_increasing_id()))
+    # Both the counts and the numbering must see the SAME range partitioning;
+    # two range exchanges would sample their bounds separately. A reliable
+    # checkpoint (in the cluster's spark.checkpoint.dir) fixes partition ids
+    # and row ids once, and a lost executor re-reads them instead of
+    # recomputing them.
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
 
     # 2. rows of each key in each partition -> offset of the partition's first
     #    row within its series (table of at most n_parts + n_keys rows)

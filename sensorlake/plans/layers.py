@@ -19,6 +19,7 @@ from ..operators.dedup import dedup
 from ..operators.expectations import expect_all_or_drop, expectation_metrics
 from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore
 from ..sources.fixture import bronze_from_events
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import load
 
 BRONZE_AUDIT = ("_ingested_at", "_source")
@@ -74,11 +75,17 @@ class Layers:
     cfg: PipelineConfig = FIXTURE
     order: str | None = None
     strategy: str = "auto"
+    # Checkpoint Silver once when several outputs are built from it, so the
+    # dedup shuffle is not recomputed per consumer.
+    materialize: bool = False
+    _silver: DataFrame | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE,
-                      order: str | None = None, strategy: str = "auto") -> "Layers":
-        return cls(bronze_from_events(load(spark, sf_dir, "events"), cfg), cfg, order, strategy)
+                      order: str | None = None, strategy: str = "auto",
+                      materialize: bool = False) -> "Layers":
+        return cls(bronze_from_events(load(spark, sf_dir, "events"), cfg), cfg, order, strategy,
+                   materialize)
 
     @property
     def deduped(self) -> DataFrame:
@@ -86,7 +93,13 @@ class Layers:
 
     @property
     def silver(self) -> DataFrame:
-        return silver_clean(self.bronze, self.cfg, self.order)
+        if self._silver is None:
+            df = silver_clean(self.bronze, self.cfg, self.order)
+            if self.materialize:
+                ensure_checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
+            self._silver = df
+        return self._silver
 
     @property
     def hourly(self) -> DataFrame:

@@ -324,7 +324,7 @@ RUN_LATEST = ("20240201_000000", "2024-02-01 00:00:00", _DEFAULT, "prefer_value"
 
 def run_report(spark, sf_dir, run=RUN_LATEST):
     run_id, at, cfg, order = run
-    ly = layers(spark, sf_dir, cfg=cfg, order=order)
+    ly = layers(spark, sf_dir, cfg=cfg, order=order, materialize=True)
     return QR.quality_report(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies,
                              run_id, at, cfg, step_seconds=1)
 
@@ -382,13 +382,13 @@ def _qp(spark, sf_dir):
 
 @query("row_flow")
 def _flow(spark, sf_dir):
-    ly = layers(spark, sf_dir)
+    ly = layers(spark, sf_dir, materialize=True)
     return SM.row_flow(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies)
 
 
 @query("key_findings")
 def _findings(spark, sf_dir):
-    ly = layers(spark, sf_dir, cfg=RUN_LATEST[2], order=RUN_LATEST[3])
+    ly = layers(spark, sf_dir, cfg=RUN_LATEST[2], order=RUN_LATEST[3], materialize=True)
     return SM.key_findings(ly.bronze, ly.silver, ly.daily, ly.anomalies, run_report(spark, sf_dir), ly.cfg)
 
 
@@ -410,3 +410,47 @@ def _dap(spark, sf_dir):
 @query("dash_drop_rate")
 def _ddr(spark, sf_dir):
     return SM.dash_drop_rate(L.silver_rule_metrics(layers(spark, sf_dir).bronze, FIXTURE))
+
+
+# ---- tables: write layouts, append history, metadata -----------------------------------------
+from ..sources import tables as T  # noqa: E402
+from .pipeline import shared_dir  # noqa: E402
+
+
+@query("write_partitioned_roundtrip")
+def _roundtrip(spark, sf_dir):
+    path = shared_dir(spark, "silver")
+    T.write_partitioned(layers(spark, sf_dir).silver, path, T.LAYOUTS["silver_sensors"])
+    return spark.read.parquet(path)
+
+
+@query("partition_pruned_read")
+def _pruned(spark, sf_dir):
+    path = shared_dir(spark, "silver")
+    T.write_partitioned(layers(spark, sf_dir).silver, path, T.LAYOUTS["silver_sensors"])
+    return spark.read.parquet(path).filter("sensor_type = 'temperature'")
+
+
+@query("quality_report_append")
+def _append(spark, sf_dir):
+    path = shared_dir(spark, "quality_report")
+    T.append(run_report(spark, sf_dir, RUN_PREV), path)
+    T.append(run_report(spark, sf_dir, RUN_LATEST), path)
+    return spark.read.parquet(path)
+
+
+@query("table_detail")
+def _detail(spark, sf_dir):
+    path = shared_dir(spark, "bronze")
+    T.write_partitioned(_bronze(spark, sf_dir), path, T.LAYOUTS["bronze_sensors"])
+    return T.table_detail(spark.read.parquet(path))
+
+
+@query("row_and_column_count")
+def _rcc(spark, sf_dir):
+    return T.row_and_column_count(_bronze(spark, sf_dir))
+
+
+@query("sample_rows")
+def _sample(spark, sf_dir):
+    return T.sample_rows(layers(spark, sf_dir).silver, 20, "event_id")
