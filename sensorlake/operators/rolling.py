@@ -31,18 +31,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
-from ..functions.rounding import round_half_up
+from ..functions.rounding import int_div, round_half_up
 from ..session import ensure_checkpoint_dir
 
 # Rows of the offsets table that may be broadcast (about 40 bytes a row).
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
-def _stats_over(w, cfg: PipelineConfig) -> list[Column]:
+def _with_stats(df: DataFrame, w, cfg: PipelineConfig) -> DataFrame:
+    """Raw window aggregates first, rounding in a second projection: an
+    expression used twice inside the rounding would otherwise be planned as
+    two window functions."""
     v = F.col(cfg.cols.value)
-    ravg = round_half_up(F.avg(v).over(w), 4)
-    rstd = round_half_up(F.stddev_samp(v).over(w), 4)
-    return [ravg.alias("rolling_avg"), rstd.alias("rolling_stddev")]
+    raw = df.select("*", F.avg(v).over(w).alias("_ravg"), F.stddev_samp(v).over(w).alias("_rstd"))
+    return raw.select(*[c for c in df.columns],
+                      round_half_up(F.col("_ravg"), 4).alias("rolling_avg"),
+                      round_half_up(F.col("_rstd"), 4).alias("rolling_stddev"))
 
 
 def _with_z(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -58,7 +62,7 @@ def _order(cfg: PipelineConfig) -> list[str]:
 def rolling_zscore_window(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     keys = list(cfg.cols.series_keys)
     w = Window.partitionBy(*keys).orderBy(*_order(cfg)).rowsBetween(-cfg.anomaly.preceding, 0)
-    return _with_z(df.select("*", *_stats_over(w, cfg)), cfg)
+    return _with_z(_with_stats(df, w, cfg), cfg)
 
 
 def series_profile(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> tuple[int, int, int]:
@@ -81,7 +85,8 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
     spark = df.sparkSession
     n_keys, _, total = profile or series_profile(df, cfg)
     base_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_parts = max(base_parts, math.ceil(total / B)) if total else base_parts
+    per_part = max(B, a.range_partition_rows)
+    n_parts = max(base_parts, math.ceil(total / per_part)) if total else base_parts
 
     # 1. contiguous sorted runs of (key, time, id); a hot key spans many tasks
     cols = df.columns
@@ -104,14 +109,18 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
     before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_p", *keys, "_i0",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    if n_parts + n_keys <= BROADCAST_ROW_LIMIT:
-        offsets = F.broadcast(offsets)
 
     # 3. global row number per series, bucket, and one carry copy of the
     #    last P rows of each bucket for the next bucket
+    # null-safe keys: a series with a NULL machine or sensor is still a series
+    o = offsets.select(F.col("_p").alias("_op"), *[F.col(k).alias(f"_o_{k}") for k in keys],
+                       "_i0", "_off")
+    if n_parts + n_keys <= BROADCAST_ROW_LIMIT:
+        o = F.broadcast(o)  # at most n_parts + n_keys rows, checked above
+    cond = [ranged["_p"] == o["_op"]] + [ranged[k].eqNullSafe(o[f"_o_{k}"]) for k in keys]
     rn = F.col("_off") + (F.col("_i") - F.col("_i0")) + F.lit(1)
-    numbered = ranged.join(offsets, ["_p", *keys]).select(*cols, rn.alias("_rn"))
-    bucket = F.floor((F.col("_rn") - 1) / F.lit(B))
+    numbered = ranged.join(o, cond).select(*cols, rn.alias("_rn"))
+    bucket = int_div(F.col("_rn") - 1, F.lit(B))
     tail = F.col("_rn") > (bucket + 1) * F.lit(B) - F.lit(P)
     copies = F.array_compact(F.array(
         F.struct(bucket.alias("_b"), F.lit(False).alias("_carry")),
@@ -120,7 +129,7 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
 
     # 4. the rolling frame per (key, bucket), then keep each row's own copy
     w = Window.partitionBy(*keys, "_b").orderBy("_rn").rowsBetween(-P, 0)
-    out = spread.select("*", *_stats_over(w, cfg)).filter(~F.col("_carry"))
+    out = _with_stats(spread, w, cfg).filter(~F.col("_carry"))
     return _with_z(out.select(*cols, "rolling_avg", "rolling_stddev"), cfg)
 
 

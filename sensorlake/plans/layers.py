@@ -79,6 +79,7 @@ class Layers:
     # dedup shuffle is not recomputed per consumer.
     materialize: bool = False
     _silver: DataFrame | None = None
+    _rolled: DataFrame | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE,
@@ -109,10 +110,17 @@ class Layers:
     def daily(self) -> DataFrame:
         return gold_daily(self.silver, self.cfg)
 
+    @property
+    def rolled(self) -> DataFrame:
+        """Silver plus rolling statistics (plan chosen once per instance)."""
+        if self._rolled is None:
+            self._rolled = rolling_zscore(self.silver, self.cfg, self.strategy)
+        return self._rolled
+
     @property
     def scored(self) -> DataFrame:
-        return scored(self.silver, self.cfg, self.strategy)
+        return flag_anomalies(self.rolled, self.cfg)
 
     @property
     def anomalies(self) -> DataFrame:
-        return gold_anomalies(self.silver, self.cfg, self.strategy)
+        return anomalies(self.rolled, self.cfg)

@@ -8,13 +8,14 @@ builds and the report read pruned columns and partitions from storage.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.predicates import anomaly_rules, daily_rules, drop_rules, hourly_rules
-from ..operators.expectations import observe_rules
+from ..operators.expectations import expect_all_or_drop, observe_rules
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import LAYOUTS, append, write_partitioned
 from . import layers as L
@@ -41,21 +42,32 @@ def run_pipeline(spark: SparkSession, source: DataFrame, warehouse: str, run_id:
     bronze = spark.read.parquet(paths[t.bronze])
 
     deduped, drop_obs = observe_rules(L.deduplicated(bronze, cfg), drop_rules(cfg), "silver_rules")
-    from ..operators.expectations import expect_all_or_drop
     silver = expect_all_or_drop(deduped, drop_rules(cfg)).withColumn(
         "_silver_processed_at", F.current_timestamp())
     write_partitioned(silver, paths[t.silver], LAYOUTS["silver_sensors"])
     silver = spark.read.parquet(paths[t.silver])
 
     hourly, h_obs = observe_rules(L.gold_hourly(silver, cfg), hourly_rules(), "hourly_rules")
-    write_partitioned(hourly.withColumn("_gold_processed_at", F.current_timestamp()),
-                      paths[t.hourly], LAYOUTS["gold_hourly_stats"])
     daily, d_obs = observe_rules(L.gold_daily(silver, cfg), daily_rules(cfg), "daily_rules")
-    write_partitioned(daily.withColumn("_gold_processed_at", F.current_timestamp()),
-                      paths[t.daily], LAYOUTS["gold_daily_health"])
-    anoms, a_obs = observe_rules(L.gold_anomalies(silver, cfg, strategy), anomaly_rules(cfg), "anomaly_rules")
-    write_partitioned(anoms.withColumn("_gold_processed_at", F.current_timestamp()),
-                      paths[t.anomalies], LAYOUTS["gold_anomalies"])
+
+    def write_gold(name: str, df: DataFrame) -> None:
+        write_partitioned(df.withColumn("_gold_processed_at", F.current_timestamp()),
+                          paths[name], LAYOUTS[name])
+
+    def anomaly_table() -> None:
+        anoms, obs = observe_rules(L.gold_anomalies(silver, cfg, strategy), anomaly_rules(cfg),
+                                   "anomaly_rules")
+        write_gold(t.anomalies, anoms)
+        return obs
+
+    # The three Gold tables only share the stored Silver: build them as
+    # concurrent jobs so the scheduler can overlap their stages.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = [pool.submit(write_gold, t.hourly, hourly), pool.submit(write_gold, t.daily, daily),
+                   pool.submit(anomaly_table)]
+        a_obs = futures[2].result()
+        for f in futures[:2]:
+            f.result()
 
     gold = {k: spark.read.parquet(paths[k]) for k in (t.hourly, t.daily, t.anomalies)}
     report = quality_report(bronze, silver, gold[t.hourly], gold[t.daily], gold[t.anomalies],

@@ -322,9 +322,13 @@ RUN_PREV = ("20240131_000000", "2024-01-31 00:00:00", FIXTURE, "first_arrival")
 RUN_LATEST = ("20240201_000000", "2024-02-01 00:00:00", _DEFAULT, "prefer_value")
 
 
-def run_report(spark, sf_dir, run=RUN_LATEST):
-    run_id, at, cfg, order = run
-    ly = layers(spark, sf_dir, cfg=cfg, order=order, materialize=True)
+def run_layers(spark, sf_dir, run=RUN_LATEST) -> L.Layers:
+    return layers(spark, sf_dir, cfg=run[2], order=run[3], materialize=True)
+
+
+def run_report(spark, sf_dir, run=RUN_LATEST, ly: L.Layers | None = None):
+    run_id, at, cfg, _ = run
+    ly = ly or run_layers(spark, sf_dir, run)
     return QR.quality_report(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies,
                              run_id, at, cfg, step_seconds=1)
 
@@ -388,8 +392,9 @@ def _flow(spark, sf_dir):
 
 @query("key_findings")
 def _findings(spark, sf_dir):
-    ly = layers(spark, sf_dir, cfg=RUN_LATEST[2], order=RUN_LATEST[3], materialize=True)
-    return SM.key_findings(ly.bronze, ly.silver, ly.daily, ly.anomalies, run_report(spark, sf_dir), ly.cfg)
+    ly = run_layers(spark, sf_dir, RUN_LATEST)
+    return SM.key_findings(ly.bronze, ly.silver, ly.daily, ly.anomalies,
+                           run_report(spark, sf_dir, RUN_LATEST, ly), ly.cfg)
 
 
 @query("dash_hourly_trend")

@@ -29,12 +29,15 @@ def write_partitioned(df: DataFrame, path: str, partition_by=(), mode: str = "ov
                       fmt: str = "parquet") -> None:
     """Overwrite (or append) a directory table partitioned by ``partition_by``.
 
-    Rows are clustered by the partition columns first so each task writes few
-    files per partition value instead of one file per value per task.
+    A REBALANCE on the partition columns clusters rows so each task writes
+    few files, and lets AQE split a partition value that holds a large share
+    of the rows over several tasks (a plain ``repartition(col)`` would send
+    all rows of one sensor type, a third of the table, to one task) and merge
+    small ones.
     """
     w = df
     if partition_by:
-        w = df.repartition(*[F.col(p) for p in partition_by])
+        w = df.hint("rebalance", *partition_by)
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -198,3 +198,15 @@ def test_expect_all_or_drop_equivalence(readings):
     kept = expect_all_or_drop(df, drop_rules(DEFAULT)).count()
     m = expectation_metrics(df, drop_rules(DEFAULT), "s").first()
     assert m.input_records - m.dropped_records == kept
+
+
+@pytest.mark.parametrize("strategy", ["window", "bucketed"])
+def test_null_machine_is_its_own_series(readings, strategy):
+    rows = [(f"n{i:03d}", None, "pressure", 2.0 + (i % 4), i) for i in range(70)]
+    rows += [(f"m{i:03d}", "M1", "pressure", 3.0, i) for i in range(70)]
+    df = readings(rows)
+    cfg = DEFAULT.with_anomaly(bucket_rows=60)
+    got = rolling_zscore(df, cfg, strategy)
+    assert got.count() == 140
+    ref = sorted(map(tuple, rolling_zscore(df, cfg, "window").collect()), key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == ref
