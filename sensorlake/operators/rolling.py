@@ -133,15 +133,20 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
     return _with_z(out.select(*cols, "rolling_avg", "rolling_stddev"), cfg)
 
 
-def rolling_zscore(df: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "auto") -> DataFrame:
-    """Input rows plus rolling_avg, rolling_stddev and z_score."""
+def rolling_zscore(df: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "auto",
+                   profile: tuple[int, int, int] | None = None) -> DataFrame:
+    """Input rows plus rolling_avg, rolling_stddev and z_score.
+
+    ``profile`` may be given as an upper bound (e.g. from the raw layer, whose
+    series are never shorter than the cleaned ones) to skip profiling ``df``.
+    """
     if strategy == "window":
         return rolling_zscore_window(df, cfg)
     if strategy == "bucketed":
-        return rolling_zscore_bucketed(df, cfg)
+        return rolling_zscore_bucketed(df, cfg, profile)
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    prof = series_profile(df, cfg)
+    prof = profile or series_profile(df, cfg)
     if prof[1] <= cfg.anomaly.max_rows_per_task:
         return rolling_zscore_window(df, cfg)
     return rolling_zscore_bucketed(df, cfg, prof)

@@ -17,7 +17,7 @@ from ..functions.predicates import drop_rules
 from ..operators.aggregates import daily_health, hourly_stats
 from ..operators.dedup import dedup
 from ..operators.expectations import expect_all_or_drop, expectation_metrics
-from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore
+from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore, series_profile
 from ..sources.fixture import bronze_from_events
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import load
@@ -114,7 +114,13 @@ class Layers:
     def rolled(self) -> DataFrame:
         """Silver plus rolling statistics (plan chosen once per instance)."""
         if self._rolled is None:
-            self._rolled = rolling_zscore(self.silver, self.cfg, self.strategy)
+            # Silver series are never longer than Bronze ones, so the cheap
+            # Bronze profile (a scan + partial aggregate, no dedup) bounds them,
+            # unless Silver is already materialized and cheap to profile itself.
+            prof = None
+            if self.strategy == "auto" and not self.materialize:
+                prof = series_profile(self.bronze, self.cfg)
+            self._rolled = rolling_zscore(self.silver, self.cfg, self.strategy, prof)
         return self._rolled
 
     @property
