@@ -429,3 +429,8 @@ register("partition_pruned_read", "SELECT * FROM silver WHERE sensor_type = 'tem
 register("quality_report_append", f"SELECT * FROM {HISTORY} x")
 register("row_and_column_count", "SELECT COUNT(*) AS row_count, 7 AS column_count FROM bronze")
 register("sample_rows", "SELECT * FROM silver ORDER BY event_id LIMIT 20")
+register("publish_roundtrip", "SELECT * FROM daily")
+register("anomaly_summary_sql", ORACLES["anomaly_summary"][len(PREFIX):])
+register("dash_health_heatmap_wide",
+         'PIVOT (SELECT machine_id, CAST("date" AS VARCHAR) AS d, health_score_pct FROM daily_bronze) '
+         'ON d USING max(health_score_pct) GROUP BY machine_id')

@@ -459,3 +459,43 @@ def _rcc(spark, sf_dir):
 @query("sample_rows")
 def _sample(spark, sf_dir):
     return T.sample_rows(layers(spark, sf_dir).silver, 20, "event_id")
+
+
+@query("publish_roundtrip")
+def _publish(spark, sf_dir):
+    ly = layers(spark, sf_dir)
+    name = "sensorlake_gold.gold_daily_health"
+    T.publish(ly.daily, name, comment="Daily health score per machine.",
+              properties={"quality": "gold", "consumer": "maintenance-dashboard"},
+              partition_by=T.LAYOUTS["gold_daily_health"], path=shared_dir(spark, "published"))
+    return spark.table(name)
+
+
+# ---- SQL over a temp view (same plan as the DataFrame form) ----------------------------------
+ANOMALY_SUMMARY_SQL = """
+SELECT machine_id, sensor_type,
+       COUNT(*) AS total_readings,
+       COUNT_IF(is_anomaly) AS anomaly_count,
+       {rate} AS anomaly_rate_pct,
+       {maxz} AS max_z_score
+FROM silver_with_anomalies
+GROUP BY machine_id, sensor_type
+"""
+
+
+def _rhu_sql(e: str, n: int) -> str:
+    s = f"{10 ** n}.0D"
+    return f"(SIGNUM({e}) * FLOOR(ABS({e}) * {s} + 0.500001D) / {s})"
+
+
+@query("anomaly_summary_sql")
+def _asum_sql(spark, sf_dir):
+    layers(spark, sf_dir).scored.createOrReplaceTempView("silver_with_anomalies")
+    return spark.sql(ANOMALY_SUMMARY_SQL.format(
+        rate=_rhu_sql("COUNT_IF(is_anomaly) / COUNT(*) * 100.0D", 2),
+        maxz=_rhu_sql("MAX(CASE WHEN is_anomaly THEN z_score END)", 2)))
+
+
+@query("dash_health_heatmap_wide")
+def _heat_wide(spark, sf_dir):
+    return SM.health_heatmap_wide(_daily_deduped_bronze(spark, sf_dir))

@@ -91,8 +91,11 @@ def dash_health_heatmap(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> Data
 
 
 def health_heatmap_wide(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Machine x date matrix of scores (one column per date)."""
-    return daily.groupBy(cfg.cols.machine).pivot("date").agg(F.first("health_score_pct"))
+    """Machine x date matrix of scores, one column per date.
+
+    The dates become columns, so their distinct list is fetched first (one
+    small job; its size is the number of days, not of readings)."""
+    return daily.groupBy(cfg.cols.machine).pivot("date").agg(F.max("health_score_pct"))
 
 
 def dash_anomaly_points(anomalies: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

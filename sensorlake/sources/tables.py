@@ -51,13 +51,20 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def publish(df: DataFrame, name: str, comment: str | None = None,
             properties: dict[str, str] | None = None, partition_by=(),
-            mode: str = "overwrite") -> None:
-    """Save as a catalog table with a comment and table properties."""
+            mode: str = "overwrite", path: str | None = None) -> None:
+    """Save as a catalog table with a comment and table properties.
+
+    With ``path`` the table's files live there (a shared location) and the
+    catalog only records the name, comment and properties.
+    """
     spark = df.sparkSession
     db = name.split(".")[0] if "." in name else None
     if db:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        loc = f" LOCATION '{path.rstrip('/')}/_db_{db}'" if path else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
     writer = df.write.mode(mode).format("parquet")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if comment:
