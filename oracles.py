@@ -17,6 +17,8 @@ def pct(num: str, den: str, n: int = 2) -> str:
     return rhu(f"(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100.0)", n)
 
 
+# Valid ranges (inclusive), the five Silver rule names and
+# expressions, and the Gold warn rules, as the source pipeline states them.
 IN_RANGE = """(
       (sensor_type = 'temperature' AND value BETWEEN 60.0 AND 120.0)
    OR (sensor_type = 'pressure'    AND value BETWEEN 1.0  AND 10.0)

@@ -56,6 +56,7 @@ def drop_rules(cfg: PipelineConfig) -> list[tuple[str, Column]]:
     return rules
 
 
+# Names of the Gold warn rules (hourly, daily, anomalies).
 def hourly_rules() -> list[tuple[str, Column]]:
     return [("reading_count is positive", F.col("reading_count") > 0),
             ("avg_value is not null", F.col("avg_value").isNotNull())]

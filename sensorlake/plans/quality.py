@@ -96,6 +96,7 @@ def quality_report(bronze: DataFrame, silver: DataFrame, hourly: DataFrame, dail
     retention = pct(col("silver_rows"), col("bronze_rows"), 2)
     anomaly_rate = pct(col("anomaly_rows"), col("silver_rows"), 2)
     removed = col("bronze_rows") - col("silver_rows")
+    # Layer and check names of the source quality report, in its order.
     checks = [
         ("bronze", n.bronze, "row_count", col("bronze_rows"), t.bronze_min_rows,
          min_status(col("bronze_rows"), F.lit(t.bronze_min_rows))),
