@@ -49,3 +49,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume.
+
+    Shuffle partitions are chosen so each holds about ``target_partition_bytes``
+    (Silver rows are about the size of the input rows; dedup and Gold shrink
+    them), rounded up to whole waves of task slots, so partitions fit in
+    executor memory and spill stays bounded. AQE then coalesces small
+    partitions, splits skewed join and rebalance partitions, and the checkpoint
+    folder must be a shared location the cluster names.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(slots, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // slots) * slots
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }

@@ -46,3 +46,11 @@ def test_pipeline_run_and_two_appends_make_two_runs(spark):
     rules = out["rules"]["silver"]
     assert rules["input_records"] == ly.deduped.count()
     assert spark.read.parquet(out["paths"]["gold_anomalies"]).count() == 34
+
+
+def test_cluster_conf_sizes_partitions_by_volume():
+    from sensorlake.session import cluster_conf
+    c = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and 100 * 2**40 / parts <= 256 << 20
+    assert int(cluster_conf(10 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 8
