@@ -7,11 +7,23 @@ audit columns are left out so results are comparable run to run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce as _reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..config import DEFAULT as _DEFAULT
 from ..config import FIXTURE
+from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules
+from ..operators import dedup as D
+from ..operators.expectations import expectation_metrics
+from ..sources import tables as T
+from . import anomaly_report as AR
+from . import explore as X
+from . import health_report as HR
 from . import layers as L
+from . import quality as QR
+from . import summary as SM
+from .pipeline import shared_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -101,17 +113,7 @@ def _anomalies(spark, sf_dir):
 
 
 # ---- exploration (Bronze unless stated) -------------------------------------
-from functools import reduce as _reduce  # noqa: E402
 
-from ..config import DEFAULT as _DEFAULT  # noqa: E402
-from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules  # noqa: E402
-from ..operators import dedup as D  # noqa: E402
-from ..operators.expectations import expectation_metrics  # noqa: E402
-from . import anomaly_report as AR  # noqa: E402
-from . import explore as X  # noqa: E402
-from . import health_report as HR  # noqa: E402
-from . import quality as QR  # noqa: E402
-from . import summary as SM  # noqa: E402
 
 
 def _bronze(spark, sf_dir):
@@ -418,8 +420,6 @@ def _ddr(spark, sf_dir):
 
 
 # ---- tables: write layouts, append history, metadata -----------------------------------------
-from ..sources import tables as T  # noqa: E402
-from .pipeline import shared_dir  # noqa: E402
 
 
 @query("write_partitioned_roundtrip")
