@@ -120,7 +120,11 @@ class Layers:
             prof = None
             if self.strategy == "auto" and not self.materialize:
                 prof = series_profile(self.bronze, self.cfg)
-            self._rolled = rolling_zscore(self.silver, self.cfg, self.strategy, prof)
+            rolled = rolling_zscore(self.silver, self.cfg, self.strategy, prof)
+            if self.materialize:
+                # several consumers read the scores: compute the window once
+                rolled = rolled.checkpoint(eager=True)
+            self._rolled = rolled
         return self._rolled
 
     @property

@@ -16,6 +16,7 @@ from ..config import FIXTURE
 from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules
 from ..operators import dedup as D
 from ..operators.expectations import expectation_metrics
+from ..session import ensure_checkpoint_dir
 from ..sources import tables as T
 from . import anomaly_report as AR
 from . import explore as X
@@ -336,7 +337,12 @@ def run_report(spark, sf_dir, run=RUN_LATEST, ly: L.Layers | None = None):
 
 
 def history(spark, sf_dir):
-    return run_report(spark, sf_dir, RUN_PREV).unionByName(run_report(spark, sf_dir, RUN_LATEST))
+    """The report history as a stored table would hold it: both runs computed
+    once and checkpointed, so the latest-run subquery and the main query read
+    30 stored rows instead of recomputing every layer twice."""
+    ensure_checkpoint_dir(spark)
+    return (run_report(spark, sf_dir, RUN_PREV).unionByName(run_report(spark, sf_dir, RUN_LATEST))
+            .checkpoint(eager=True))
 
 
 @query("quality_report")
