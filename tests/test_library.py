@@ -34,3 +34,24 @@ def test_heatmap_wide_has_one_column_per_day(spark):
     wide = health_heatmap_wide(daily)
     n_days = daily.select("date").distinct().count()
     assert len(wide.columns) == n_days + 1 and wide.count() == 5
+
+
+def test_fixture_anchor_figures(spark):
+    """Expected sizes listed for the fixture at sf0.001 (FIXTURES.md §2)."""
+    from pyspark.sql import functions as F
+
+    from sensorlake.plans.layers import gold_daily
+    ly = Layers.from_testdata(spark, "/root/testdata/sf0.001")
+    assert ly.bronze.count() == 1020
+    assert ly.bronze.filter("value IS NULL").count() == 38
+    assert ly.deduped.count() == 1000 and ly.deduped.filter("value IS NULL").count() == 28
+    assert ly.silver.count() == 938
+    assert ly.hourly.count() == 894
+    assert ly.anomalies.count() == 34
+    assert ly.anomalies.agg(F.max("z_score")).first()[0] == 3.2414
+    d = gold_daily(ly.deduped, ly.cfg)
+    assert d.count() == 149
+    status = {r.machine_status: r["count"] for r in d.groupBy("machine_status").count().collect()}
+    assert status == {"NORMAL": 93, "WARNING": 44, "CRITICAL": 12}
+    assert tuple(d.agg(F.min("health_score_pct"), F.max("health_score_pct")).first()) == (60.0, 100.0)
+    assert ly.daily.filter("health_score_pct <> 100.0").count() == 0  # Silver is always healthy
