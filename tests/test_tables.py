@@ -54,3 +54,16 @@ def test_cluster_conf_sizes_partitions_by_volume():
     parts = int(c["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and 100 * 2**40 / parts <= 256 << 20
     assert int(cluster_conf(10 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_pipeline_command_line(spark):
+    from sensorlake.plans.pipeline import main
+    wh = shared_dir(spark, "cli")
+    out = main(["--events", f"{SF}/events.parquet", "--warehouse", wh, "--run-id", "20240301_000000",
+                "--checked-at", "2024-03-01 00:00:00"])
+    rep = spark.read.parquet(out["paths"]["quality_report"])
+    assert rep.count() == 15
+    # 1,020 Bronze rows at sf0.001 are below the 9,000-row minimum: the only failure
+    failed = [(r.layer, r.check_name) for r in rep.filter("status <> 'PASS'").collect()]
+    assert failed == [("bronze", "row_count")]
+    assert spark.read.parquet(out["paths"]["silver_sensors"]).count() == 938
