@@ -81,7 +81,7 @@ def run_pipeline(spark: SparkSession, source: DataFrame, warehouse: str, run_id:
 def main(argv: list[str] | None = None) -> dict:
     """Command-line run for ``spark-submit``:
 
-    spark-submit sensorlake/plans/pipeline.py --bronze <parquet> --warehouse <dir> --run-id <id>
+    spark-submit --py-files sensorlake.zip run_pipeline.py --bronze <parquet> --warehouse <dir>
     (``--events <parquet>`` derives the Bronze readings from an events table instead).
     """
     import argparse
@@ -112,6 +112,3 @@ def main(argv: list[str] | None = None) -> dict:
               else spark.read.parquet(a.bronze))
     return run_pipeline(spark, source, a.warehouse, run_id, checked_at, cfg, a.strategy)
 
-
-if __name__ == "__main__":
-    main()
