@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64)) + 16 * np.arange(1, batch.num_rows + 1)
         at = 0
         while at < batch.num_rows:
@@ -101,7 +102,7 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column, end to end, and the offset of each row (null: empty)."""
-    column = pa.compute.fill_null(column, "")
+    column = pc.fill_null(column, "")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string())
