@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op6_sharding, op7_decontamination, op10_warc
+from . import op5_token_files, op6_sharding, op7_decontamination, op8_packing, op10_warc
 from .common import ship
 
 
@@ -18,8 +18,10 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES = {
+    "op5_token_files": _shipped(op5_token_files.query),
     "op6_hash_tree_sharding": op6_sharding.query,
     "op7_positional_decontamination": _shipped(op7_decontamination.query),
+    "op8_window_packing": _shipped(op8_packing.query),
     "op10_warc_chunks": _shipped(op10_warc.query),
 }
 
