@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op5_token_files, op6_sharding, op7_decontamination, op8_packing, op10_warc
+from . import op5_token_files, op6_sharding, op7_decontamination, op8_packing, op9_topk, op10_warc
 from .common import ship
 
 
@@ -22,10 +22,12 @@ QUERIES = {
     "op6_hash_tree_sharding": op6_sharding.query,
     "op7_positional_decontamination": _shipped(op7_decontamination.query),
     "op8_window_packing": _shipped(op8_packing.query),
+    "op9_bit_sliced_topk": _shipped(op9_topk.query),
     "op10_warc_chunks": _shipped(op10_warc.query),
 }
 
 ORACLES = {
     "op7_positional_decontamination": op7_decontamination.ORACLE,
+    "op9_bit_sliced_topk": op9_topk.ORACLE,
     "op10_warc_chunks": op10_warc.ORACLE,
 }
