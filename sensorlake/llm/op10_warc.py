@@ -172,7 +172,8 @@ class _Reader:
 
 
 def read_archives(chunks: DataFrame) -> DataFrame:
-    """One row per record. A record's chunks meet in one task in order, one chunk at a time."""
+    """One row per record. A record of one chunk is read where it lies; the chunks of a longer one
+    meet in one task in order, one chunk at a time."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, reader, rows = None, _Reader(), []
@@ -197,9 +198,10 @@ def read_archives(chunks: DataFrame) -> DataFrame:
         if rows:
             yield _record_batch(rows)
 
-    dealt = chunks.select("archive", "record", "chunk", "last", "data") \
-        .repartition("archive", "record").sortWithinPartitions("archive", "record", "chunk")
-    return dealt.mapInArrow(read, RECORDS)
+    rows = chunks.select("archive", "record", "chunk", "last", "data")
+    alone = (F.col("chunk") == 0) & F.col("last")
+    long = rows.filter(~alone).repartition("archive", "record").sortWithinPartitions("archive", "record", "chunk")
+    return rows.filter(alone).mapInArrow(read, RECORDS).unionByName(long.mapInArrow(read, RECORDS))
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
