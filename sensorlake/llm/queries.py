@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op5_token_files, op6_sharding, op7_decontamination, op8_packing, op9_topk, op10_warc
+from . import (
+    op1_toxicity,
+    op4_language,
+    op5_token_files,
+    op6_sharding,
+    op7_decontamination,
+    op8_packing,
+    op9_topk,
+    op10_warc,
+)
 from .common import ship
 
 
@@ -18,6 +27,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES = {
+    "op1_crf_toxicity": _shipped(op1_toxicity.query),
+    "op4_ecoc_language": _shipped(op4_language.query),
     "op5_token_files": _shipped(op5_token_files.query),
     "op6_hash_tree_sharding": op6_sharding.query,
     "op7_positional_decontamination": _shipped(op7_decontamination.query),
