@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     op1_toxicity,
+    op3_jaccard_join,
     op4_language,
     op5_token_files,
     op6_sharding,
@@ -28,6 +29,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     "op1_crf_toxicity": _shipped(op1_toxicity.query),
+    "op3_jaccard_forest_join": _shipped(op3_jaccard_join.query),
     "op4_ecoc_language": _shipped(op4_language.query),
     "op5_token_files": _shipped(op5_token_files.query),
     "op6_hash_tree_sharding": op6_sharding.query,
