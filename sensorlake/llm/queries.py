@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     op1_toxicity,
+    op2_extraction,
     op3_jaccard_join,
     op4_language,
     op5_token_files,
@@ -29,6 +30,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     "op1_crf_toxicity": _shipped(op1_toxicity.query),
+    "op2_boosted_extraction": _shipped(op2_extraction.query),
     "op3_jaccard_forest_join": _shipped(op3_jaccard_join.query),
     "op4_ecoc_language": _shipped(op4_language.query),
     "op5_token_files": _shipped(op5_token_files.query),
