@@ -368,37 +368,35 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> Model
     return fit(words, label) if label.any() else None
 
 
-def tag(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """Score and spans of every row; ``keep``: columns to carry along, else the query's."""
+def tag(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Score and spans of every row."""
+    rows = docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 5) == 0).alias("held_out"), "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in text_blocks(batches):
-            n = batch.num_rows
-            words = Words(batch.column("text"))
-            score, spans = np.zeros(n), [[] for _ in range(n)]
-            if model is not None and len(words.codes):
-                first = np.zeros(len(words.codes), bool)
-                first[words.ptr[:-1][words.ptr[:-1] < len(first)]] = True
-                p = marginals(model.emissions(words), first, model.move)
-                some = words.counts() > 0
-                score[some] = np.maximum.reduceat(p, words.ptr[:-1][some])
-                for k in np.flatnonzero(score >= 0.5).tolist():
-                    spans[k] = _spans(words, p, k)
-            names = [c for c in batch.schema.names if c not in drop]
+            words, p, score = scored(shared.value, batch.column("text"))
+            spans = [_spans(words, p, k) if score[k] >= 0.5 else [] for k in range(batch.num_rows)]
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([
-                *[batch.column(c) for c in names], pa.array(score), pa.array((score >= 0.5).astype(np.int32)),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))],
-                names=[*names, "score", "predicted", "spans"])
+                batch.column("doc_id"), batch.column("held_out"), pa.array(score),
+                pa.array((score >= 0.5).astype(np.int32)), pa.array(spans, kind)],
+                names=["doc_id", "held_out", "score", "predicted", "spans"])
 
-    if keep is None:
-        drop: tuple[str, ...] = ("text",)
-        rows = docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 5) == 0).alias("held_out"), "text")
-        return rows.mapInArrow(run, OUT)
-    drop = ()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep).mapInArrow(run, fields + OUT[OUT.index(", score"):])
+    return rows.mapInArrow(run, OUT)
+
+
+def scored(model: Model | None, texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The words of a block of texts, their marginals and each text's score."""
+    words = Words(texts)
+    p, score = np.zeros(len(words.codes)), np.zeros(len(texts))
+    if model is not None and len(p):
+        first = np.zeros(len(p), bool)
+        first[words.ptr[:-1][words.ptr[:-1] < len(p)]] = True
+        p = marginals(model.emissions(words), first, model.move)
+        some = words.counts() > 0
+        score[some] = np.maximum.reduceat(p, words.ptr[:-1][some])
+    return words, p, score
 
 
 def _spans(words: Words, p: np.ndarray, k: int) -> list[dict]:
@@ -419,5 +417,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject the documents that are toxic."""
-    found = tag(docs, train(docs, table(spark, sf_dir, "labels")), docs.columns)
-    return found.filter(F.col("predicted") == 0).select(*docs.columns)
+    shared = spark.sparkContext.broadcast(train(docs, table(spark, sf_dir, "labels")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches):
+            _, _, score = scored(shared.value, batch.column("text"))
+            yield batch.filter(pa.array(score < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

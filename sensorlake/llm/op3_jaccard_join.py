@@ -330,13 +330,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component: that with the least doc_id; of equal rows one."""
     kept = stored(join(docs).filter("kept").groupBy("doc_id", "h").agg(F.count("*").alias("copies")), "kept")
-    rows = docs.withColumn("_h", F.xxhash64("text"))
-    same = lambda k: rows["doc_id"].eqNullSafe(k["doc_id"]) & (rows["_h"] == k["h"])
+    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
+    same = lambda k: rows["doc_id"].eqNullSafe(k["doc_id"]) & (rows["__text_hash"] == k["h"])
     single = kept.filter("copies = 1")
-    out = rows.join(single, same(single), "left_semi").drop("_h")
+    out = rows.join(single, same(single), "left_semi").drop("__text_hash")
     # equal rows are one document
     again = kept.filter("copies > 1")
     if again.isEmpty():
         return out
-    more = rows.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "_h"]).drop("_h")
+    more = rows.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
     return out.unionByName(more)

@@ -167,36 +167,37 @@ def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     return fit(x, np.array([langs.index(r.lang) for r in found]), langs)
 
 
-def identify(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """Predicted language of every row; ``keep``: columns to carry along, else the query's."""
+#: Columns that a stage adds while it decides; no document column begins like this.
+PREDICTED = "__predicted"
+
+
+def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Predicted language of every row."""
+    rows = docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 4) == 2).alias("held_out"), "text",
+                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("spoken"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for block in text_blocks(batches, max_bytes=1 << 20):
-            for at in range(0, block.num_rows, TEXTS):
-                batch = block.slice(at, TEXTS)
-                spoken = batch.column("spoken").to_numpy(zero_copy_only=False)
-                names = np.full(batch.num_rows, UNKNOWN, object)
-                score, close = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
-                if model is not None and spoken.any():
-                    best, share, near = model.decode(features(*utf8(batch.column("text"))))
-                    names[spoken] = np.array(model.langs, object)[best[spoken]]
-                    score[spoken], close[spoken] = share[spoken], near[spoken]
-                yield pa.RecordBatch.from_arrays([
-                    *[batch.column(c) for c in batch.schema.names if c not in ("spoken", *drop)],
-                    pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(close, pa.bool_())],
-                    names=[c for c in batch.schema.names if c not in ("spoken", *drop)] + ["lang_pred", "score", "ambiguous"])
-
-    spoken = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("spoken")
-    if keep is None:
-        drop: tuple[str, ...] = ("text",)
-        rows = docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 4) == 2).alias("held_out"), "text", spoken)
-        return rows.mapInArrow(predict, OUT)
-    drop = ()
-    rows = docs.select(*keep, spoken)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInArrow(predict, f"{fields}, lang_pred string, score double, ambiguous boolean")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches, max_bytes=1 << 20):
+            names, score, close = predicted(shared.value, batch.column("text"), batch.column("spoken"))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()),
+                pa.array(score), pa.array(close)], names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
+
+    return rows.mapInArrow(run, OUT)
+
+
+def predicted(model: Model | None, texts: pa.Array, spoken: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and ambiguity of each text; ``spoken``: whether it has a letter."""
+    n = len(texts)
+    spoken = spoken.to_numpy(zero_copy_only=False)
+    names, score, close = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
+    for at in range(0, n if model is not None else 0, TEXTS):
+        some = np.flatnonzero(spoken[at:at + TEXTS]) + at
+        if len(some):
+            best, share, near = model.decode(features(*utf8(texts.take(pa.array(some)))))
+            names[some], score[some], close[some] = np.array(model.langs, object)[best], share, near
+    return names, score, close
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,5 +207,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject the documents in no language: null text or text without a letter."""
-    found = identify(docs, train(docs), docs.columns)
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    shared = spark.sparkContext.broadcast(train(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches, max_bytes=1 << 20):
+            names, _, _ = predicted(shared.value, batch.column("text"), batch.column(PREDICTED))
+            yield batch.drop_columns([PREDICTED]).filter(pa.array(names != UNKNOWN))
+
+    spoken = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn(PREDICTED, spoken).mapInArrow(run, docs.schema)

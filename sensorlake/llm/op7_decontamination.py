@@ -34,9 +34,9 @@ SLICE_WORDS = 2_000_000
 #: Candidate starts that are checked at once.
 CHUNK = 2_000_000
 
-INDEX = ("block long, doc_ids array<long>, doc_ptr binary, terms array<string>, counts array<int>, "
+INDEX = ("block long, doc_ids array<long>, hashes array<long>, doc_ptr binary, terms array<string>, counts array<int>, "
          "positions binary")
-FOUND = "block long, i int, doc_id long, n_words long, hits array<struct<s:int,e:int>>, items array<long>"
+FOUND = "block long, i int, doc_id long, hash long, n_words long, hits array<struct<s:int,e:int>>, items array<long>"
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -51,14 +51,15 @@ def build_index(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 pa.array([(part << 24) + seq], pa.int64()),
                 pa.ListArray.from_arrays([0, batch.num_rows], batch.column("doc_id")),
+                pa.ListArray.from_arrays([0, batch.num_rows], batch.column("hash")),
                 pa.array([words.ptr.astype(np.int32).tobytes()], pa.binary()),
                 pa.ListArray.from_arrays([0, len(words.vocab)], words.vocab),
                 pa.ListArray.from_arrays([0, len(counts)], pa.array(counts)),
                 pa.array([order.tobytes()], pa.binary()),
-            ], names=["block", "doc_ids", "doc_ptr", "terms", "counts", "positions"])
+            ], names=["block", "doc_ids", "hashes", "doc_ptr", "terms", "counts", "positions"])
             seq += 1
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
     return stored(rows.mapInArrow(build, INDEX), "positional-index")
 
 
@@ -228,7 +229,7 @@ def search(index: DataFrame, benchmark: DataFrame, size: int = WINDOW, slice_wor
         items = [(r.item_id, list(r.words)) for r in one.select("item_id", "words").collect()]
         win = index.sparkSession.sparkContext.broadcast(
             Windows(items, {r.term: r.n for r in seen}, size))
-        part = index.select("block", "doc_ids", "doc_ptr", "terms", "counts", "positions") \
+        part = index.select("block", "doc_ids", "hashes", "doc_ptr", "terms", "counts", "positions") \
             .mapInArrow(_searcher(win, slack), FOUND)
         found = part if found is None else found.unionByName(part)
     return found
@@ -263,10 +264,11 @@ def _searcher(shared, slack: int | None):
                     pa.array(np.full(n, one.column("block")[0].as_py(), np.int64)),
                     pa.array(np.arange(n, dtype=np.int32)),
                     one.column("doc_ids").flatten(),
+                    one.column("hashes").flatten(),
                     pa.array(np.diff(block.ptr).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(rptr), ranges),
                     pa.ListArray.from_arrays(pa.array(iptr), items),
-                ], names=["block", "i", "doc_id", "n_words", "hits", "items"])
+                ], names=["block", "i", "doc_id", "hash", "n_words", "hits", "items"])
     return run
 
 
@@ -289,7 +291,7 @@ def _merged(s: np.ndarray, e: np.ndarray, doc: np.ndarray, ptr: np.ndarray, n: i
 def report(found: DataFrame) -> DataFrame:
     """One row per document from the findings of all slices."""
     one = found.groupBy("block", "i").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.first("hash").alias("hash"), F.first("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     covered = F.aggregate(
@@ -299,21 +301,23 @@ def report(found: DataFrame) -> DataFrame:
         lambda a: a["n"])
     listed = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return one.select(
-        "doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "doc_id", "hash", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256")) \
         .withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(table(spark, sf_dir, "documents"))
-    return report(search(index, table(spark, sf_dir, "benchmark")))
+    return report(search(index, table(spark, sf_dir, "benchmark"))).drop("hash")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents without any benchmark window."""
-    flagged = report(search(build_index(docs), table(spark, sf_dir, "benchmark"))) \
-        .filter("contaminated").select("doc_id").distinct()
-    return docs.join(flagged, docs["doc_id"].eqNullSafe(flagged["doc_id"]), "left_anti")
+    found = search(build_index(docs), table(spark, sf_dir, "benchmark"))
+    flagged = report(found).filter("contaminated").select("doc_id", "hash").distinct()
+    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(flagged["doc_id"]) & (rows["__text_hash"] == flagged["hash"])
+    return rows.join(flagged, same, "left_anti").drop("__text_hash")
 
 
 ORACLE = r"""
