@@ -79,12 +79,8 @@ class AnomalyConfig:
 
     preceding: int = 50
     threshold: float = 2.0
-    # Rows per bucket of the skew-safe plan (must exceed ``preceding``).
+    # Rows per bucket of a series (raised to more than ``preceding`` if smaller).
     bucket_rows: int = 1_000_000
-    # A series longer than this many rows uses the bucketed plan.
-    max_rows_per_task: int = 5_000_000
-    # Target rows per range partition when numbering rows (bucketed plan).
-    range_partition_rows: int = 2_000_000
 
 
 @dataclass(frozen=True)

@@ -37,15 +37,7 @@ def in_range(cfg: PipelineConfig) -> Column:
     return F.coalesce(reduce(or_, conds), F.lit(False))
 
 
-def unit_of(cfg: PipelineConfig) -> Column:
-    """Unit by sensor type (NULL for an unknown type)."""
-    c = cfg.cols
-    expr = F.when(F.lit(False), F.lit(None).cast("string"))
-    for s in cfg.sensors:
-        expr = expr.when(F.col(c.sensor) == F.lit(s.name), F.lit(s.unit))
-    return expr
-
-
+# Names of the Silver rules.
 def drop_rules(cfg: PipelineConfig) -> list[tuple[str, Column]]:
     """The five Silver rules, in order: value present, one range rule per
     sensor type, event id present."""

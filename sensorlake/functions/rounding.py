@@ -2,10 +2,10 @@
 
 ``round(double, n)`` disagrees between engines on values that print as an
 exact half (Spark rounds the printed decimal, others the binary value).
-``round_half_up`` rounds half away from zero with a 1e-6 tolerance in units
-of the last kept digit, which reproduces rounding of the printed decimal and
-is a plain IEEE expression (multiply, add, floor, divide) any SQL engine
-evaluates bit for bit the same way.
+``round_half_up`` rounds half away from zero and takes a value within 16 units
+of the double's last place below a half as the half, which covers what a
+different order of summation changes (at most 1e-6 of the last digit). A value that has no decimals left at
+that size (|x| * 10^n >= 2^52), NaN and the infinities are returned as they are.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPS = 1e-6
+_LAST_PLACES = 2.0**-48
+_MOST = 1e-6
+_WHOLE = 2.0**52
 
 
 def _c(x) -> Column:
@@ -24,7 +26,10 @@ def round_half_up(x, n: int) -> Column:
     """Round a double to ``n`` decimals, half away from zero."""
     x = _c(x)
     s = float(10**n)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(s) + F.lit(0.5 + _EPS)) / F.lit(s)
+    y = F.abs(x) * F.lit(s)
+    rounded = F.signum(x) * F.floor(y + F.least(y * F.lit(_LAST_PLACES), F.lit(_MOST)) + F.lit(0.5)) / F.lit(s)
+    # NaN compares as larger than any number, so it is kept here too
+    return F.when(y >= F.lit(_WHOLE), x).otherwise(rounded)
 
 
 def safe_ratio(num, den) -> Column:

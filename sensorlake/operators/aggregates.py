@@ -11,9 +11,9 @@ from ..functions.rounding import halfup_int_ratio, int_div, round_half_up
 from ..functions.status import health_status_from_avg5
 
 
-def hour_of(col) -> F.Column:
-    """Hour bucket that keeps the wall-clock (NTZ) type of the input."""
-    return F.date_trunc("hour", col).cast("timestamp_ntz")
+def hour_of(df: DataFrame, time: str) -> F.Column:
+    """Hour bucket of the column's own type (truncation alone gives TIMESTAMP)."""
+    return F.date_trunc("hour", F.col(time)).cast(df.schema[time].dataType)
 
 
 def hourly_stats(df: DataFrame, cfg: PipelineConfig = DEFAULT, with_date: bool = True) -> DataFrame:
@@ -21,7 +21,7 @@ def hourly_stats(df: DataFrame, cfg: PipelineConfig = DEFAULT, with_date: bool =
     stddev (NULL for a single reading), rounded to 4 decimals."""
     c = cfg.cols
     v = F.col(c.value)
-    out = (df.groupBy(c.machine, c.sensor, c.unit, hour_of(F.col(c.time)).alias("hour_window"))
+    out = (df.groupBy(c.machine, c.sensor, c.unit, hour_of(df, c.time).alias("hour_window"))
              .agg(F.count(F.lit(1)).alias("reading_count"),
                   round_half_up(F.avg(v), 4).alias("avg_value"),
                   round_half_up(F.min(v), 4).alias("min_value"),

@@ -1,8 +1,8 @@
 """Deterministic one-row-per-id de-duplication and duplicate profiles.
 
-``dropDuplicates`` keeps an arbitrary copy. Here the surviving copy is the
-minimum of a struct whose leading fields are the preference order, so the
-choice is defined. It is a ``min`` aggregate, not a window: the partial
+``dropDuplicates`` keeps an arbitrary copy. Here the surviving copy has the
+smallest preference order and, among equals, the smallest orderable columns, so
+the choice is defined; columns that can't be ordered (maps) ride along. It is a ``min_by`` aggregate, not a window: the partial
 aggregate folds every id's copies inside each map task before the shuffle, so
 an id repeated across a third of all rows still sends one row per task.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT, PipelineConfig
 
@@ -29,11 +30,21 @@ def dedup(df: DataFrame, cfg: PipelineConfig = DEFAULT, order: str | None = None
     """Keep one row per event id (rows with a NULL id collapse to one row)."""
     c = cfg.cols
     keys = preference(cfg, order or cfg.dedup_order)
-    packed = F.struct(*[k.alias(f"_o{i}") for i, k in enumerate(keys)],
-                      F.struct(*[F.col(x) for x in df.columns]).alias("_row"))
+    ties = [f.name for f in df.schema.fields if _orderable(f.dataType)]
+    rank = F.struct(*[k.alias(f"_o{i}") for i, k in enumerate(keys)], *[F.col(f"`{x}`").alias(f"_t{i}") for i, x in enumerate(ties)])
+    row = F.struct(*[F.col(f"`{x}`") for x in df.columns])
     return (df.groupBy(F.col(c.event_id).alias("_id"))
-              .agg(F.min(packed).alias("_m"))
-              .select("_m._row.*"))
+              .agg(F.min_by(row, rank).alias("_row"))
+              .select("_row.*"))
+
+
+def _orderable(kind: T.DataType) -> bool:
+    """Whether values of the type can be compared: any but maps and what holds one."""
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def duplicate_ids(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

@@ -8,35 +8,27 @@ the reading itself (ordered by time, then event id):
     z_score        = round(|value - rolling_avg| / d, 4)
                      d = rolling_stddev if > 0 else 1.0
 
-Two physical plans give identical rows:
-
-* ``window``: one Spark window partitioned by the series key. Every series
-  is sorted whole inside one task, fine while series are small.
-* ``bucketed``: skew-safe. The series are range-partitioned on
-  (key, time, id), so a hot series is split over many tasks by the sampler;
-  rows are numbered per series from per-partition counts (a small table);
-  each series is cut into buckets of ``bucket_rows`` consecutive rows and
-  the last ``preceding`` rows of a bucket are also sent to the next bucket,
-  so the window per (key, bucket) sees the full frame and no task holds
-  more than ``bucket_rows + preceding`` rows of a series.
-
-``auto`` looks at the per-series row counts (one small aggregate) and picks.
+The plan is always the same, whatever the size: the series are
+range-partitioned on (key, time, id), so a hot series is split over many tasks
+by the sampler; rows are numbered per series from per-partition counts (a small
+table); each series is cut into buckets of consecutive rows and the last
+``preceding`` rows of a bucket are also sent to the next bucket, so the window per
+(key, bucket) sees the full frame and no task holds more than a bucket and
+``preceding`` rows of a series. A bucket always has more rows than the frame.
+
+``rolling_zscore_window`` (strategy ``window``) is the plain form, one window per
+series, for callers who know that their series are small.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.rounding import int_div, round_half_up
 from ..session import ensure_checkpoint_dir
 
-# Rows of the offsets table that may be broadcast (about 40 bytes a row).
-BROADCAST_ROW_LIMIT = 2_000_000
-
 
 def _with_stats(df: DataFrame, w, cfg: PipelineConfig) -> DataFrame:
     """Raw window aggregates first, rounding in a second projection: an
@@ -65,32 +57,17 @@ def rolling_zscore_window(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataF
     return _with_z(_with_stats(df, w, cfg), cfg)
 
 
-def series_profile(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> tuple[int, int, int]:
-    """(number of series, rows of the largest series, total rows) — one small job."""
-    keys = list(cfg.cols.series_keys)
-    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("m"), F.sum("n").alias("t"))
-           .first())
-    return int(r["k"] or 0), int(r["m"] or 0), int(r["t"] or 0)
-
-
-def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
-                            profile: tuple[int, int, int] | None = None) -> DataFrame:
+def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     a, c = cfg.anomaly, cfg.cols
-    P, B = a.preceding, a.bucket_rows
-    if B <= P:
-        raise ValueError("bucket_rows must exceed the frame's preceding rows")
+    P = a.preceding
+    B = max(a.bucket_rows, P + 1)
     keys = list(c.series_keys)
     order = _order(cfg)
     spark = df.sparkSession
-    n_keys, _, total = profile or series_profile(df, cfg)
-    base_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    per_part = max(B, a.range_partition_rows)
-    n_parts = max(base_parts, math.ceil(total / per_part)) if total else base_parts
 
     # 1. contiguous sorted runs of (key, time, id); a hot key spans many tasks
     cols = df.columns
-    ranged = (df.repartitionByRange(n_parts, *keys, *order)
+    ranged = (df.repartitionByRange(*keys, *order)
                 .sortWithinPartitions(*keys, *order)
                 .withColumn("_p", F.spark_partition_id())
                 .withColumn("_i", F.monotonically_increasing_id()))
@@ -103,7 +80,8 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
     ranged = ranged.checkpoint(eager=True)
 
     # 2. rows of each key in each partition -> offset of the partition's first
-    #    row within its series (table of at most n_parts + n_keys rows)
+    #    row within its series (a table of at most partitions + series rows,
+    #    whose join AQE plans from its size)
     counts = ranged.groupBy("_p", *keys).agg(F.count(F.lit(1)).alias("_n"),
                                              F.min("_i").alias("_i0"))
     before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,8 +93,6 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
     # null-safe keys: a series with a NULL machine or sensor is still a series
     o = offsets.select(F.col("_p").alias("_op"), *[F.col(k).alias(f"_o_{k}") for k in keys],
                        "_i0", "_off")
-    if n_parts + n_keys <= BROADCAST_ROW_LIMIT:
-        o = F.broadcast(o)  # at most n_parts + n_keys rows, checked above
     cond = [ranged["_p"] == o["_op"]] + [ranged[k].eqNullSafe(o[f"_o_{k}"]) for k in keys]
     rn = F.col("_off") + (F.col("_i") - F.col("_i0")) + F.lit(1)
     numbered = ranged.join(o, cond).select(*cols, rn.alias("_rn"))
@@ -133,23 +109,13 @@ def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT,
     return _with_z(out.select(*cols, "rolling_avg", "rolling_stddev"), cfg)
 
 
-def rolling_zscore(df: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "auto",
-                   profile: tuple[int, int, int] | None = None) -> DataFrame:
-    """Input rows plus rolling_avg, rolling_stddev and z_score.
-
-    ``profile`` may be given as an upper bound (e.g. from the raw layer, whose
-    series are never shorter than the cleaned ones) to skip profiling ``df``.
-    """
+def rolling_zscore(df: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed") -> DataFrame:
+    """Input rows plus rolling_avg, rolling_stddev and z_score."""
     if strategy == "window":
         return rolling_zscore_window(df, cfg)
-    if strategy == "bucketed":
-        return rolling_zscore_bucketed(df, cfg, profile)
-    if strategy != "auto":
+    if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")
-    prof = profile or series_profile(df, cfg)
-    if prof[1] <= cfg.anomaly.max_rows_per_task:
-        return rolling_zscore_window(df, cfg)
-    return rolling_zscore_bucketed(df, cfg, prof)
+    return rolling_zscore_bucketed(df, cfg)
 
 
 def flag_anomalies(scored: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

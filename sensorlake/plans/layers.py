@@ -17,7 +17,7 @@ from ..functions.predicates import drop_rules
 from ..operators.aggregates import daily_health, hourly_stats
 from ..operators.dedup import dedup
 from ..operators.expectations import expect_all_or_drop, expectation_metrics
-from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore, series_profile
+from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore
 from ..sources.fixture import bronze_from_events
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import load
@@ -59,11 +59,11 @@ def gold_daily(silver: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return daily_health(silver, cfg)
 
 
-def scored(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "auto") -> DataFrame:
+def scored(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed") -> DataFrame:
     return flag_anomalies(rolling_zscore(silver, cfg, strategy), cfg)
 
 
-def gold_anomalies(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "auto") -> DataFrame:
+def gold_anomalies(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed") -> DataFrame:
     return anomalies(rolling_zscore(silver, cfg, strategy), cfg)
 
 
@@ -74,16 +74,17 @@ class Layers:
     bronze: DataFrame
     cfg: PipelineConfig = FIXTURE
     order: str | None = None
-    strategy: str = "auto"
+    strategy: str = "bucketed"
     # Checkpoint Silver once when several outputs are built from it, so the
     # dedup shuffle is not recomputed per consumer.
     materialize: bool = False
     _silver: DataFrame | None = None
     _rolled: DataFrame | None = None
+    _daily: DataFrame | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE,
-                      order: str | None = None, strategy: str = "auto",
+                      order: str | None = None, strategy: str = "bucketed",
                       materialize: bool = False) -> "Layers":
         return cls(bronze_from_events(load(spark, sf_dir, "events"), cfg), cfg, order, strategy,
                    materialize)
@@ -108,19 +109,16 @@ class Layers:
 
     @property
     def daily(self) -> DataFrame:
-        return gold_daily(self.silver, self.cfg)
+        if self._daily is None:
+            df = gold_daily(self.silver, self.cfg)
+            self._daily = df.checkpoint(eager=True) if self.materialize else df
+        return self._daily
 
     @property
     def rolled(self) -> DataFrame:
-        """Silver plus rolling statistics (plan chosen once per instance)."""
+        """Silver plus rolling statistics (computed once per instance)."""
         if self._rolled is None:
-            # Silver series are never longer than Bronze ones, so the cheap
-            # Bronze profile (a scan + partial aggregate, no dedup) bounds them,
-            # unless Silver is already materialized and cheap to profile itself.
-            prof = None
-            if self.strategy == "auto" and not self.materialize:
-                prof = series_profile(self.bronze, self.cfg)
-            rolled = rolling_zscore(self.silver, self.cfg, self.strategy, prof)
+            rolled = rolling_zscore(self.silver, self.cfg, self.strategy)
             if self.materialize:
                 # several consumers read the scores: compute the window once
                 rolled = rolled.checkpoint(eager=True)

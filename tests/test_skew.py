@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.config import DEFAULT
 from sensorlake.operators.dedup import dedup
-from sensorlake.operators.rolling import rolling_zscore, series_profile
+from sensorlake.operators.rolling import rolling_zscore
 from tests.conftest import SCHEMA
 
 T0 = datetime(2024, 1, 1)
@@ -33,12 +33,12 @@ def test_hot_id_dedup_keeps_preferred_copy(spark):
     h = out.filter("event_id = 'HOT'").first()
     assert h.value == 5.0 and h.timestamp == T0 + timedelta(seconds=12_345)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan  # folded map-side before the shuffle
+    assert "partial_min_by" in plan  # folded map-side before the shuffle
 
 
-def test_auto_switches_to_bucketed_for_a_hot_series(spark):
-    # one series holds 3/4 of the rows; with a small per-task limit `auto`
-    # must take the bucketed plan and still match the single-window result
+def test_hot_series_is_cut_into_buckets(spark):
+    # one series holds 3/4 of the rows: the plan is the same as for any other
+    # and matches the single-window result
     n_hot, n_other = 3_000, 1_000
     rows = spark.range(n_hot + n_other).select(
         F.concat(F.lit("e"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("event_id"),
@@ -49,11 +49,20 @@ def test_auto_switches_to_bucketed_for_a_hot_series(spark):
         F.lit("celsius").alias("unit"),
         (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("timestamp"),
         F.lit(T0).cast("timestamp_ntz").alias("ingested_at"))
-    cfg = DEFAULT.with_anomaly(max_rows_per_task=1_000, bucket_rows=400, range_partition_rows=500)
-    k, m, t = series_profile(rows, cfg)
-    assert (k, m, t) == (5, n_hot, n_hot + n_other)
-    auto = rolling_zscore(rows, cfg, "auto")
-    plan = auto._jdf.queryExecution().executedPlan().toString()
-    assert "_b" in plan  # bucketed plan chosen
+    cfg = DEFAULT.with_anomaly(bucket_rows=400)
+    out = rolling_zscore(rows, cfg)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_b" in plan
+    ref = sorted(map(tuple, rolling_zscore(rows, cfg, "window").collect()))
+    assert sorted(map(tuple, out.collect())) == ref
+
+
+def test_any_frame_works_with_any_bucket_size(spark):
+    rows = spark.range(120).select(
+        F.lpad(F.col("id").cast("string"), 4, "0").alias("event_id"), F.lit("M").alias("machine_id"),
+        F.lit("pressure").alias("sensor_type"), (F.col("id") % 9).cast("double").alias("value"),
+        F.lit("bar").alias("unit"), F.lit(T0).cast("timestamp_ntz").alias("timestamp"),
+        F.lit(T0).cast("timestamp_ntz").alias("ingested_at"))
+    cfg = DEFAULT.with_anomaly(preceding=100, bucket_rows=80)
     ref = sorted(map(tuple, rolling_zscore(rows, cfg, "window").collect()))
-    assert sorted(map(tuple, auto.collect())) == ref
+    assert len(ref) == 120 and sorted(map(tuple, rolling_zscore(rows, cfg).collect())) == ref

@@ -82,10 +82,10 @@ def _brute_rolling(values, p=50):
         w = values[max(0, i - p): i + 1]
         avg = sum(w) / len(w)
         sd = pd.Series(w).std() if len(w) > 1 else None
-        ravg = math.floor(avg * 1e4 + 0.500001) / 1e4
-        rsd = None if sd is None or math.isnan(sd) else math.floor(sd * 1e4 + 0.500001) / 1e4
+        ravg = math.floor(avg * 1e4 * (1 + 2**-48) + 0.5) / 1e4
+        rsd = None if sd is None or math.isnan(sd) else math.floor(sd * 1e4 * (1 + 2**-48) + 0.5) / 1e4
         d = rsd if rsd is not None and rsd > 0 else 1.0
-        out.append((ravg, rsd, math.floor(abs(v - ravg) / d * 1e4 + 0.500001) / 1e4))
+        out.append((ravg, rsd, math.floor(abs(v - ravg) / d * 1e4 * (1 + 2**-48) + 0.5) / 1e4))
     return out
 
 
@@ -210,3 +210,66 @@ def test_null_machine_is_its_own_series(readings, strategy):
     assert got.count() == 140
     ref = sorted(map(tuple, rolling_zscore(df, cfg, "window").collect()), key=str)
     assert sorted(map(tuple, got.collect()), key=str) == ref
+
+
+@pytest.mark.parametrize("digits", [0, 1, 2, 4])
+def test_rounding_equals_sparks(spark, digits):
+    from sensorlake.functions.rounding import round_half_up
+    vals = [0.0, float("nan"), float("inf"), float("-inf"), 1e15, 1e15 + 0.25, 1e300, 1.23454999995, 1.2345, 2.675, 1.005]
+    vals += [float(f"{k}{tail}e-{digits + len(tail)}") for k in range(40) for tail in ("5", "4999999", "5000001")]
+    vals += [-v for v in vals]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = df.select("v", round_half_up(F.col("v"), digits).alias("a"), F.round("v", digits).alias("b")).collect()
+    assert [r for r in got if r.a != r.b and not (math.isnan(r.a) and math.isnan(r.b))] == []
+
+
+def test_hourly_and_daily_keep_the_time_type(spark, readings):
+    rows = [("a", "M1", "pressure", 2.0, 0), ("b", "M1", "pressure", 3.0, 61)]
+    wall = readings(rows)
+    instant = wall.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    assert dict(hourly_stats(wall).dtypes)["hour_window"] == "timestamp_ntz"
+    assert dict(hourly_stats(instant).dtypes)["hour_window"] == "timestamp"
+    strip = lambda df: sorted((str(r.hour_window), r.avg_value) for r in hourly_stats(df).collect())
+    assert strip(wall) == strip(instant)
+    assert sorted(map(str, daily_health(wall).collect())) == sorted(map(str, daily_health(instant).collect()))
+
+
+def test_listings_are_sorted(spark, readings):
+    from sensorlake.plans import summary as SM
+    rows = [(f"e{m}{d}{h}", f"M{m}", "temperature", 80.0, d * 1440 + h * 60) for d in (2, 0, 1) for m in (2, 1) for h in (5, 1)]
+    df = readings(rows)
+    listed = [(r.date, r.machine_id) for r in HR.daily_health_listing(daily_health(df)).collect()]
+    assert listed == sorted(listed)
+    trend = [(r.machine_id, r.sensor_type, r.unit, r.hour_window) for r in SM.dash_hourly_trend(hourly_stats(df), 7).collect()]
+    assert trend == sorted(trend) and len(trend) == 12
+    hist = _report(spark, df, "r2", "2024-01-02 00:00:00").unionByName(_report(spark, df, "r1", "2024-01-01 00:00:00"))
+    detail = [(r.layer, r.check_name) for r in QR.quality_detail(hist).collect()]
+    assert detail == sorted(detail)
+    assert [r.run_id for r in QR.quality_trend(hist).collect()] == ["r1", "r2"]
+
+
+def test_dedup_carries_map_columns(spark, readings):
+    df = readings([("a", "M1", "pressure", None, 0), ("a", "M1", "pressure", 2.0, 1), ("b", "M1", "pressure", 1.0, 0)]) \
+        .withColumn("tags", F.create_map(F.lit("k"), F.col("value").cast("string")))
+    got = {r.event_id: (r.value, r.tags) for r in dedup(df).collect()}
+    assert got == {"a": (2.0, {"k": "2.0"}), "b": (1.0, {"k": "1.0"})}
+
+
+def test_checks_of_a_layer_need_only_its_tables(spark, readings):
+    df = readings([(f"e{i}", "M1", "temperature", 80.0, i) for i in range(30)])
+    full = [tuple(r) for r in _report(spark, df).collect()]
+    got = [tuple(r) for r in QR.layer_report("bronze", {"bronze": df}, "r1", "2024-02-01 00:00:00", FIXTURE, 1).collect()]
+    assert got == [r for r in full if r[1] == "bronze"]
+
+
+def test_empty_bronze_summary_has_no_nulls_in_counts(readings):
+    from sensorlake.plans.explore import bronze_quality_summary
+    r = bronze_quality_summary(readings([]), readings([])).first()
+    assert (r.duplicate_rows, r.expected_clean_rows_naive) == (0, 0)
+
+
+def test_failing_rows_name_their_rules(readings):
+    from sensorlake.operators.expectations import failing_rows
+    df = readings([("a", "M1", "temperature", None, 0), (None, "M1", "pressure", 50.0, 1), ("c", "M1", "pressure", 5.0, 2)])
+    got = {r.event_id: r.failed_rules for r in failing_rows(df, drop_rules(DEFAULT)).collect()}
+    assert got == {"a": "value is not null; valid temperature range", None: "valid pressure range; event_id not null"}
