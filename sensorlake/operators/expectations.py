@@ -24,6 +24,12 @@ def expect_all_or_drop(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFr
     return df.filter(reduce(and_, [passes(r) for _, r in rules]))
 
 
+def failing_rows(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """The rows that ``expect_all_or_drop`` drops, with the names of the rules each fails."""
+    names = F.array_compact(F.array(*[F.when(~passes(r), F.lit(n)) for n, r in rules]))
+    return df.withColumn("failed_rules", F.array_join(names, "; ")).filter(F.col("failed_rules") != "")
+
+
 def _failure_aggs(rules):
     return [F.count_if(~passes(r)).alias(f"_f{i}") for i, (_, r) in enumerate(rules)]
 

@@ -103,8 +103,9 @@ def bronze_quality_summary(bronze: DataFrame, silver: DataFrame, cfg: PipelineCo
     g = u.agg(
         F.count_if(b).alias("total_rows"),
         F.count_if(b & F.col("is_null")).alias("null_values"),
-        (F.count_if(b) - F.countDistinct(_on("b", "id"))
-         - F.max(F.when(b & F.col("id").isNull(), 1).otherwise(0))).cast("long").alias("duplicate_rows"),
+        F.coalesce((F.count_if(b) - F.countDistinct(_on("b", "id"))
+                    - F.max(F.when(b & F.col("id").isNull(), 1).otherwise(0))).cast("long"), F.lit(0))
+        .alias("duplicate_rows"),
         F.count_if(b & F.col("oor")).alias("out_of_range"),
         F.count_if(F.col("_t") == "s").alias("clean_rows"))
     t = F.col("total_rows")

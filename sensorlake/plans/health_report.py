@@ -56,7 +56,7 @@ def worst_machine(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
 
 
 def daily_health_listing(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    return daily.select("date", cfg.cols.machine, "health_score_pct", "machine_status", "total_readings",
+    return daily.orderBy("date", cfg.cols.machine).select("date", cfg.cols.machine, "health_score_pct", "machine_status", "total_readings",
                         round_half_up(F.col("avg_temperature"), 2).alias("avg_temp"),
                         round_half_up(F.col("avg_pressure"), 2).alias("avg_pressure"),
                         round_half_up(F.col("avg_vibration"), 4).alias("avg_vibration"))

@@ -8,74 +8,96 @@ builds and the report read pruned columns and partitions from storage.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
-from ..functions.predicates import anomaly_rules, daily_rules, drop_rules, hourly_rules
-from ..operators.expectations import expect_all_or_drop, observe_rules
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import LAYOUTS, append, write_partitioned
+from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules
+from ..operators.expectations import expectation_metrics
+from ..session import scratch_dir
+from ..sources.tables import LAYOUTS, append, publish, read_as, write_partitioned
 from . import layers as L
 from .quality import quality_report
 
+RULE_METRICS = "rule_metrics"
+
+
+#: What each published table is and who reads it.
+ABOUT = {
+    "bronze_sensors": ("Raw sensor readings as they came in.", {"quality": "bronze"}),
+    "silver_sensors": ("Readings without duplicates, nulls and out-of-range values.", {"quality": "silver"}),
+    "gold_hourly_stats": ("Hourly statistics per machine and sensor type.",
+                          {"quality": "gold", "consumer": "operations-dashboard"}),
+    "gold_daily_health": ("Daily health score per machine.",
+                          {"quality": "gold", "consumer": "maintenance-dashboard"}),
+    "gold_anomalies": ("Readings with a rolling z-score above the threshold.",
+                       {"quality": "gold", "consumer": "alert-system"}),
+}
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint location."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder of this application; all of them are removed when the driver ends."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_pipeline(spark: SparkSession, source: DataFrame, warehouse: str, run_id: str, checked_at: str,
-                 cfg: PipelineConfig = DEFAULT, strategy: str = "auto") -> dict:
-    """Write all layers under ``warehouse`` and append the run's quality rows.
+def run_pipeline(spark: SparkSession, source: DataFrame | str, warehouse: str, run_id: str, checked_at: str,
+                 cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed", database: str | None = None) -> dict:
+    """Write all layers under ``warehouse`` and append the run's quality and rule rows.
 
-    Returns the table paths and the rule failure counts observed while the
-    Silver and Gold tables were written (no extra scan for them).
+    ``source`` is a DataFrame or the name of a catalog table. With ``database`` the
+    five layers are also catalog tables there, with comment and properties. The
+    rule failures of the run are appended to the ``rule_metrics`` table, counted
+    from the stored layers (counters that ride along with a write may count the
+    rows of a repeated task again). Returns the table paths.
     """
     t = cfg.tables
+    source = spark.table(source) if isinstance(source, str) else source
     paths = {name: f"{warehouse.rstrip('/')}/{name}" for name in
-             (t.bronze, t.silver, t.hourly, t.daily, t.anomalies, t.quality)}
-
-    write_partitioned(L.bronze_ingest(source, cfg), paths[t.bronze], LAYOUTS["bronze_sensors"])
-    bronze = spark.read.parquet(paths[t.bronze])
+             (t.bronze, t.silver, t.hourly, t.daily, t.anomalies, t.quality, RULE_METRICS)}
 
-    deduped, drop_obs = observe_rules(L.deduplicated(bronze, cfg), drop_rules(cfg), "silver_rules")
-    silver = expect_all_or_drop(deduped, drop_rules(cfg)).withColumn(
-        "_silver_processed_at", F.current_timestamp())
-    write_partitioned(silver, paths[t.silver], LAYOUTS["silver_sensors"])
-    silver = spark.read.parquet(paths[t.silver])
+    def put(name: str, df: DataFrame, rebalance: bool = True) -> DataFrame:
+        if database:
+            comment, properties = ABOUT.get(name, ("", {}))
+            publish(df, f"{database}.{name}", comment, properties, LAYOUTS.get(name, ()), path=paths[name],
+                    rebalance=rebalance)
+        else:
+            write_partitioned(df, paths[name], LAYOUTS.get(name, ()), rebalance=rebalance)
+        return read_as(spark, paths[name], df)
 
-    hourly, h_obs = observe_rules(L.gold_hourly(silver, cfg), hourly_rules(), "hourly_rules")
-    daily, d_obs = observe_rules(L.gold_daily(silver, cfg), daily_rules(cfg), "daily_rules")
+    # a Bronze task's rows have few sensor types: written without a shuffle
+    bronze = put(t.bronze, L.bronze_ingest(source, cfg), rebalance=False)
+    silver = put(t.silver, L.silver_clean(bronze, cfg, audit_time=True))
 
-    def write_gold(name: str, df: DataFrame) -> None:
-        write_partitioned(df.withColumn("_gold_processed_at", F.current_timestamp()),
-                          paths[name], LAYOUTS[name])
-
-    def anomaly_table() -> None:
-        anoms, obs = observe_rules(L.gold_anomalies(silver, cfg, strategy), anomaly_rules(cfg),
-                                   "anomaly_rules")
-        write_gold(t.anomalies, anoms)
-        return obs
+    def gold(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return put(name, build().withColumn("_gold_processed_at", F.current_timestamp()))
 
     # The three Gold tables only share the stored Silver: build them as
     # concurrent jobs so the scheduler can overlap their stages.
     with ThreadPoolExecutor(max_workers=3) as pool:
-        futures = [pool.submit(write_gold, t.hourly, hourly), pool.submit(write_gold, t.daily, daily),
-                   pool.submit(anomaly_table)]
-        a_obs = futures[2].result()
-        for f in futures[:2]:
-            f.result()
+        futures = [pool.submit(gold, t.hourly, lambda: L.gold_hourly(silver, cfg)),
+                   pool.submit(gold, t.daily, lambda: L.gold_daily(silver, cfg)),
+                   pool.submit(gold, t.anomalies, lambda: L.gold_anomalies(silver, cfg, strategy))]
+        hourly, daily, anomalies = [f.result() for f in futures]
+
+    append(quality_report(bronze, silver, hourly, daily, anomalies, run_id, checked_at, cfg), paths[t.quality])
+    append(rule_failures(bronze, hourly, daily, anomalies, cfg).withColumn("run_id", F.lit(run_id)), paths[RULE_METRICS])
+    return {"paths": paths, "tables": dict(zip((t.bronze, t.silver, t.hourly, t.daily, t.anomalies),
+                                               (bronze, silver, hourly, daily, anomalies), strict=True))}
 
-    gold = {k: spark.read.parquet(paths[k]) for k in (t.hourly, t.daily, t.anomalies)}
-    report = quality_report(bronze, silver, gold[t.hourly], gold[t.daily], gold[t.anomalies],
-                            run_id, checked_at, cfg)
-    append(report, paths[t.quality])
-    return {"paths": paths,
-            "rules": {"silver": drop_obs.get, "hourly": h_obs.get, "daily": d_obs.get,
-                      "anomalies": a_obs.get}}
+
+def rule_failures(bronze: DataFrame, hourly: DataFrame, daily: DataFrame, anomalies: DataFrame,
+                  cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """Failure counts of every rule of Silver (drop) and the Gold tables (warn)."""
+    t = cfg.tables
+    parts = [L.silver_rule_metrics(bronze, cfg),
+             expectation_metrics(hourly, hourly_rules(), t.hourly, "warn"),
+             expectation_metrics(daily, daily_rules(cfg), t.daily, "warn"),
+             expectation_metrics(anomalies, anomaly_rules(cfg), t.anomalies, "warn")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -93,12 +115,14 @@ def main(argv: list[str] | None = None) -> dict:
     ap = argparse.ArgumentParser(description="Bronze -> Silver -> Gold + quality report")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--bronze", help="Parquet table of raw readings")
+    src.add_argument("--table", help="catalog table of raw readings")
     src.add_argument("--events", help="Parquet events table to derive readings from")
     ap.add_argument("--warehouse", required=True, help="shared output folder for the layer tables")
     ap.add_argument("--run-id", default=None)
     ap.add_argument("--checked-at", default=None, help="wall-clock time of the run (UTC)")
     ap.add_argument("--expected-days", type=int, default=None)
-    ap.add_argument("--strategy", default="auto", choices=["auto", "window", "bucketed"])
+    ap.add_argument("--strategy", default="bucketed", choices=["bucketed", "window"])
+    ap.add_argument("--database", default=None, help="also publish the layers as tables of this database")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("sensorlake-pipeline").getOrCreate()
@@ -109,6 +133,6 @@ def main(argv: list[str] | None = None) -> dict:
     if a.expected_days:
         cfg = cfg.with_thresholds(expected_days=a.expected_days)
     source = (bronze_from_events(spark.read.parquet(a.events), cfg) if a.events
-              else spark.read.parquet(a.bronze))
-    return run_pipeline(spark, source, a.warehouse, run_id, checked_at, cfg, a.strategy)
+              else a.table or spark.read.parquet(a.bronze))
+    return run_pipeline(spark, source, a.warehouse, run_id, checked_at, cfg, a.strategy, a.database)
 

@@ -26,27 +26,30 @@ REPORT_COLUMNS = ["run_id", "layer", "table_name", "check_name", "metric_value",
                   "status", "checked_at"]
 
 
-def layer_counts(bronze: DataFrame, silver: DataFrame, hourly: DataFrame, daily: DataFrame,
-                 anomalies: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+def layer_counts(bronze: DataFrame | None = None, silver: DataFrame | None = None,
+                 hourly: DataFrame | None = None, daily: DataFrame | None = None,
+                 anomalies: DataFrame | None = None, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """One row with the counts of the given layers (0 for a layer that is not given)."""
     c = cfg.cols
     no, null_key = F.lit(False), F.lit(None).cast("string")
     score = F.col("health_score_pct")
     frames = {
-        "b": bronze.select(F.col(c.event_id).alias("k"), F.col(c.value).isNull().alias("nul"),
+        "b": lambda: bronze.select(F.col(c.event_id).alias("k"), F.col(c.value).isNull().alias("nul"),
                            no.alias("rv"), no.alias("inv"), F.col(c.value).isNotNull().alias("oor_ok"),
                            F.coalesce(out_of_range(cfg), F.lit(False)).alias("oor")),
-        "s": silver.select(F.col(c.event_id).alias("k"), F.col(c.value).isNull().alias("nul"),
+        "s": lambda: silver.select(F.col(c.event_id).alias("k"), F.col(c.value).isNull().alias("nul"),
                            F.coalesce(out_of_range(cfg), F.lit(False)).alias("rv"), no.alias("inv"),
                            no.alias("oor_ok"), no.alias("oor")),
-        "d": daily.select(F.col(c.machine).alias("k"), no.alias("nul"), no.alias("rv"),
+        "d": lambda: daily.select(F.col(c.machine).alias("k"), no.alias("nul"), no.alias("rv"),
                           F.coalesce((score < 0) | (score > 100), F.lit(False)).alias("inv"),
                           no.alias("oor_ok"), no.alias("oor")),
-        "h": hourly.select(F.col("date").cast("string").alias("k"), no.alias("nul"), no.alias("rv"),
+        "h": lambda: hourly.select(F.col("date").cast("string").alias("k"), no.alias("nul"), no.alias("rv"),
                            no.alias("inv"), no.alias("oor_ok"), no.alias("oor")),
-        "a": anomalies.select(null_key.alias("k"), no.alias("nul"), no.alias("rv"), no.alias("inv"),
+        "a": lambda: anomalies.select(null_key.alias("k"), no.alias("nul"), no.alias("rv"), no.alias("inv"),
                               no.alias("oor_ok"), no.alias("oor")),
     }
-    u = tagged({t: f for t, f in frames.items()}, "k", "nul", "rv", "inv", "oor_ok", "oor")
+    given = {"b": bronze, "s": silver, "d": daily, "h": hourly, "a": anomalies}
+    u = tagged({t: f() for t, f in frames.items() if given[t] is not None}, "k", "nul", "rv", "inv", "oor_ok", "oor")
     per_key = u.groupBy("_t", "k").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("nul").alias("nul"), F.count_if("rv").alias("rv"),
         F.count_if("inv").alias("inv"), F.count_if(F.col("oor") & F.col("oor_ok")).alias("oor"))
@@ -79,17 +82,35 @@ def _check(i, layer, table, name, metric, threshold, status) -> Column:
                     status.alias("status"))
 
 
+#: The layers that the checks of each part of the report read.
+CHECKED = {"bronze": ("bronze",), "silver": ("bronze", "silver"),
+           "gold": ("silver", "hourly", "daily", "anomalies"), "lineage": ("bronze", "silver", "anomalies")}
+
+
 def quality_report(bronze: DataFrame, silver: DataFrame, hourly: DataFrame, daily: DataFrame,
                    anomalies: DataFrame, run_id: str, checked_at: str,
                    cfg: PipelineConfig = DEFAULT, step_seconds: int = 0) -> DataFrame:
-    """Metric rows of one run: (run_id, layer, table_name, check_name,
+    """Metric rows of one run over all layers."""
+    counts = layer_counts(bronze, silver, hourly, daily, anomalies, cfg)
+    return report_rows(counts, run_id, checked_at, cfg, step_seconds)
+
+
+def layer_report(layer: str, frames: dict[str, DataFrame], run_id: str, checked_at: str,
+                 cfg: PipelineConfig = DEFAULT, step_seconds: int = 0) -> DataFrame:
+    """The checks of one layer; ``frames`` needs the layers in ``CHECKED[layer]`` only."""
+    counts = layer_counts(**{k: frames[k] for k in CHECKED[layer]}, cfg=cfg)
+    return report_rows(counts, run_id, checked_at, cfg, step_seconds, layer)
+
+
+def report_rows(k: DataFrame, run_id: str, checked_at: str, cfg: PipelineConfig = DEFAULT,
+                step_seconds: int = 0, only: str | None = None) -> DataFrame:
+    """Metric rows from ``layer_counts``: (run_id, layer, table_name, check_name,
     metric_value, threshold, status, checked_at).
 
     ``checked_at`` is a wall-clock string; row i is stamped
     ``checked_at + i * step_seconds`` (the source stamps every row separately).
     """
     t, n = cfg.thresholds, cfg.tables
-    k = layer_counts(bronze, silver, hourly, daily, anomalies, cfg)
     col = F.col
     null_pct = pct(col("bronze_nulls"), col("bronze_rows"), 2)
     dup_pct = pct(col("bronze_surplus"), col("bronze_rows"), 2)
@@ -131,7 +152,7 @@ def quality_report(bronze: DataFrame, silver: DataFrame, hourly: DataFrame, dail
         ("lineage", n.lineage, "anomaly_rate_pct", anomaly_rate, t.anomaly_high_pct,
          anomaly_rate_status(anomaly_rate, cfg)),
     ]
-    rows = F.array(*[_check(i + 1, *ch) for i, ch in enumerate(checks)])
+    rows = F.array(*[_check(i + 1, *ch) for i, ch in enumerate(checks) if only in (None, ch[0])])
     base_ts = F.lit(checked_at).cast("timestamp_ntz")
     out = k.select(F.inline(rows))
     stamp = base_ts + F.make_dt_interval(secs=((F.col("check_index") - 1) * step_seconds).cast("decimal(18,6)"))
@@ -159,9 +180,9 @@ def quality_by_layer(history: DataFrame) -> DataFrame:
 
 
 def quality_detail(history: DataFrame) -> DataFrame:
-    return latest_run(history).select("layer", "check_name",
-                                      round_half_up(F.col("metric_value"), 2).alias("metric_value"),
-                                      "threshold", "status")
+    return (latest_run(history).orderBy("layer", "check_name")
+            .select("layer", "check_name", round_half_up(F.col("metric_value"), 2).alias("metric_value"),
+                    "threshold", "status"))
 
 
 def check_failures(history: DataFrame) -> DataFrame:
@@ -176,7 +197,8 @@ def check_failure_count(history: DataFrame) -> DataFrame:
 def quality_trend(history: DataFrame) -> DataFrame:
     """One row per run. Grouped by run id (rows of a run carry different
     check times), showing the run's last check time."""
-    return history.groupBy("run_id").agg(F.max("checked_at").alias("checked_at"), *_counts_by_status())
+    return (history.groupBy("run_id").agg(F.max("checked_at").alias("checked_at"), *_counts_by_status())
+            .orderBy("checked_at", "run_id"))
 
 
 def _pass_rate(passed: Column, total: Column) -> Column:

@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT as _DEFAULT
 from ..config import FIXTURE
-from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules
+from ..functions.predicates import anomaly_rules, daily_rules, drop_rules, hourly_rules
 from ..operators import dedup as D
-from ..operators.expectations import expectation_metrics
-from ..session import ensure_checkpoint_dir
+from ..operators.expectations import expectation_metrics, failing_rows
 from ..sources import tables as T
 from . import anomaly_report as AR
 from . import explore as X
@@ -24,7 +23,7 @@ from . import health_report as HR
 from . import layers as L
 from . import quality as QR
 from . import summary as SM
-from .pipeline import shared_dir
+from .pipeline import ABOUT, run_pipeline, shared_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -70,7 +69,8 @@ def _silver_fa(spark, sf_dir):
 
 @query("expect_drop_rows")
 def _expect_drop_rows(spark, sf_dir):
-    return layers(spark, sf_dir).silver
+    ly = layers(spark, sf_dir)
+    return failing_rows(ly.deduped, drop_rules(ly.cfg))
 
 
 @query("gold_hourly_stats")
@@ -92,7 +92,7 @@ def _daily_bronze(spark, sf_dir):
 @query("rolling_zscore")
 def _rolling(spark, sf_dir):
     ly = layers(spark, sf_dir)
-    return L.rolling_zscore(ly.silver, ly.cfg, "auto")
+    return L.rolling_zscore(ly.silver, ly.cfg)
 
 
 @query("rolling_zscore_bucketed")
@@ -225,7 +225,7 @@ def _warn_metrics(ly: L.Layers):
 
 @query("expect_warn_metrics")
 def _warn(spark, sf_dir):
-    return _warn_metrics(layers(spark, sf_dir))
+    return _warn_metrics(layers(spark, sf_dir, materialize=True))
 
 
 # ---- anomaly analytics ----------------------------------------------------------
@@ -336,13 +336,29 @@ def run_report(spark, sf_dir, run=RUN_LATEST, ly: L.Layers | None = None):
                              run_id, at, cfg, step_seconds=1)
 
 
+# Tables that several queries of one application read, written once: (application, folder, name) -> path.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_once(spark, sf_dir, name, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = shared_dir(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+REPORT_SCHEMA = ("run_id string, layer string, table_name string, check_name string, metric_value double, "
+                 "threshold double, status string, checked_at timestamp_ntz")
+
+
 def history(spark, sf_dir):
-    """The report history as a stored table would hold it: both runs computed
-    once and checkpointed, so the latest-run subquery and the main query read
-    30 stored rows instead of recomputing every layer twice."""
-    ensure_checkpoint_dir(spark)
-    return (run_report(spark, sf_dir, RUN_PREV).unionByName(run_report(spark, sf_dir, RUN_LATEST))
-            .checkpoint(eager=True))
+    """The report history: both runs appended to a stored table, which the queries read."""
+    def write(path):
+        for run in (RUN_PREV, RUN_LATEST):
+            T.append(run_report(spark, sf_dir, run), path)
+    return spark.read.schema(REPORT_SCHEMA).parquet(stored_once(spark, sf_dir, "quality_history", write))
 
 
 @query("quality_report")
@@ -350,6 +366,19 @@ def _qr(spark, sf_dir):
     return run_report(spark, sf_dir)
 
 
+def _layer_checks(layer):
+    def checks(spark, sf_dir):
+        run_id, at, cfg, order = RUN_LATEST
+        ly = layers(spark, sf_dir, cfg=cfg, order=order, materialize=layer != "bronze")
+        frames = {k: getattr(ly, k) for k in QR.CHECKED[layer]}
+        return QR.layer_report(layer, frames, run_id, at, cfg, step_seconds=1)
+    return checks
+
+
+for _layer in QR.CHECKED:
+    query(f"check_{_layer}")(_layer_checks(_layer))
+
+
 @query("latest_run_checks")
 def _latest(spark, sf_dir):
     return QR.latest_run(history(spark, sf_dir))
@@ -400,14 +429,19 @@ def _flow(spark, sf_dir):
 
 @query("key_findings")
 def _findings(spark, sf_dir):
+    run_id, at, cfg, _ = RUN_LATEST
     ly = run_layers(spark, sf_dir, RUN_LATEST)
-    return SM.key_findings(ly.bronze, ly.silver, ly.daily, ly.anomalies,
-                           run_report(spark, sf_dir, RUN_LATEST, ly), ly.cfg)
+    # one row, counted once for the report and the findings
+    counts = QR.layer_counts(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies, cfg).checkpoint(eager=True)
+    return SM.key_findings(counts, ly.daily, ly.anomalies, QR.report_rows(counts, run_id, at, cfg), cfg)
 
 
 @query("dash_hourly_trend")
 def _dht(spark, sf_dir):
-    return SM.dash_hourly_trend(layers(spark, sf_dir).hourly, 7)
+    hourly = layers(spark, sf_dir).hourly
+    path = stored_once(spark, sf_dir, "hourly",
+                       lambda p: T.write_partitioned(hourly, p, T.LAYOUTS["gold_hourly_stats"]))
+    return SM.dash_hourly_trend(T.read_as(spark, path, hourly), 7)
 
 
 @query("dash_health_heatmap")
@@ -428,33 +462,58 @@ def _ddr(spark, sf_dir):
 # ---- tables: write layouts, append history, metadata -----------------------------------------
 
 
+def _written(spark, sf_dir, name, df):
+    path = shared_dir(spark, name)
+    T.write_partitioned(df, path, T.LAYOUTS[name])
+    return T.read_as(spark, path, df)
+
+
 @query("write_partitioned_roundtrip")
 def _roundtrip(spark, sf_dir):
-    path = shared_dir(spark, "silver")
-    T.write_partitioned(layers(spark, sf_dir).silver, path, T.LAYOUTS["silver_sensors"])
-    return spark.read.parquet(path)
+    return _written(spark, sf_dir, "silver_sensors", layers(spark, sf_dir).silver)
 
 
 @query("partition_pruned_read")
 def _pruned(spark, sf_dir):
-    path = shared_dir(spark, "silver")
-    T.write_partitioned(layers(spark, sf_dir).silver, path, T.LAYOUTS["silver_sensors"])
-    return spark.read.parquet(path).filter("sensor_type = 'temperature'")
+    return _written(spark, sf_dir, "silver_sensors", layers(spark, sf_dir).silver) \
+        .filter("sensor_type = 'temperature'")
 
 
 @query("quality_report_append")
 def _append(spark, sf_dir):
-    path = shared_dir(spark, "quality_report")
-    T.append(run_report(spark, sf_dir, RUN_PREV), path)
-    T.append(run_report(spark, sf_dir, RUN_LATEST), path)
-    return spark.read.parquet(path)
+    return history(spark, sf_dir)
 
 
 @query("table_detail")
 def _detail(spark, sf_dir):
-    path = shared_dir(spark, "bronze")
-    T.write_partitioned(_bronze(spark, sf_dir), path, T.LAYOUTS["bronze_sensors"])
-    return T.table_detail(spark.read.parquet(path))
+    return T.partition_detail(_written(spark, sf_dir, "bronze_sensors", _bronze(spark, sf_dir)), "sensor_type")
+
+
+@query("pipeline_rule_metrics")
+def _pipeline_rules(spark, sf_dir):
+    paths = _run(spark, sf_dir)
+    return spark.read.parquet(paths["rule_metrics"])
+
+
+def _run(spark, sf_dir):
+    """One end-to-end run over the test tables, written once for the queries that read its tables."""
+    def write(path):
+        run_pipeline(spark, _bronze(spark, sf_dir), path, RUN_LATEST[0], RUN_LATEST[1], FIXTURE)
+    path = stored_once(spark, sf_dir, "pipeline", write)
+    return {n: f"{path}/{n}" for n in (*T.LAYOUTS, "rule_metrics")}
+
+
+def _pipeline_gold(name):
+    def read(spark, sf_dir):
+        ly = layers(spark, sf_dir)
+        like = {"gold_hourly_stats": L.gold_hourly, "gold_daily_health": L.gold_daily}.get(name)
+        like = like(ly.bronze, ly.cfg) if like else L.anomalies(L.rolling_zscore(ly.bronze, ly.cfg, "window"), ly.cfg)
+        return T.read_as(spark, _run(spark, sf_dir)[name], like)
+    return read
+
+
+for _name in ("gold_hourly_stats", "gold_daily_health", "gold_anomalies"):
+    query(f"pipeline_{_name}")(_pipeline_gold(_name))
 
 
 @query("row_and_column_count")
@@ -467,41 +526,43 @@ def _sample(spark, sf_dir):
     return T.sample_rows(layers(spark, sf_dir).silver, 20, "event_id")
 
 
+def _published(spark, sf_dir) -> str:
+    """Daily health as a catalog table; each run has a database of its own, so sessions that
+    share a catalog don't meet."""
+    path = shared_dir(spark, "published")
+    name = f"sensorlake_{path[-12:]}.gold_daily_health"
+    comment, properties = ABOUT["gold_daily_health"]
+    T.publish(layers(spark, sf_dir).daily, name, comment, properties | {"note": "it's the maintenance team's"},
+              partition_by=T.LAYOUTS["gold_daily_health"], path=f"{path}/gold_daily_health")
+    return name
+
+
 @query("publish_roundtrip")
 def _publish(spark, sf_dir):
-    ly = layers(spark, sf_dir)
-    name = "sensorlake_gold.gold_daily_health"
-    T.publish(ly.daily, name, comment="Daily health score per machine.",
-              properties={"quality": "gold", "consumer": "maintenance-dashboard"},
-              partition_by=T.LAYOUTS["gold_daily_health"], path=shared_dir(spark, "published"))
-    return spark.table(name)
-
-
-# ---- SQL over a temp view (same plan as the DataFrame form) ----------------------------------
-ANOMALY_SUMMARY_SQL = """
-SELECT machine_id, sensor_type,
-       COUNT(*) AS total_readings,
-       COUNT_IF(is_anomaly) AS anomaly_count,
-       {rate} AS anomaly_rate_pct,
-       {maxz} AS max_z_score
-FROM silver_with_anomalies
-GROUP BY machine_id, sensor_type
-"""
+    return spark.table(_published(spark, sf_dir))
 
 
-def _rhu_sql(e: str, n: int) -> str:
-    s = f"{10 ** n}.0D"
-    return f"(SIGNUM({e}) * FLOOR(ABS({e}) * {s} + 0.500001D) / {s})"
+@query("published_properties")
+def _properties(spark, sf_dir):
+    return T.table_properties(spark, _published(spark, sf_dir), ["quality", "consumer", "note"])
 
 
+# ---- SQL over a temp view ----------------------------------------------------------------------
+
 @query("anomaly_summary_sql")
 def _asum_sql(spark, sf_dir):
-    layers(spark, sf_dir).scored.createOrReplaceTempView("silver_with_anomalies")
-    return spark.sql(ANOMALY_SUMMARY_SQL.format(
-        rate=_rhu_sql("COUNT_IF(is_anomaly) / COUNT(*) * 100.0D", 2),
-        maxz=_rhu_sql("MAX(CASE WHEN is_anomaly THEN z_score END)", 2)))
+    """Which machines have anomalies in more than one sensor type, asked in SQL of the library's summary."""
+    AR.anomaly_summary(layers(spark, sf_dir).scored).createOrReplaceTempView("anomaly_summary")
+    return spark.sql("""
+        SELECT machine_id, COUNT(*) AS sensor_types, SUM(anomaly_count) AS anomalies, MAX(max_z_score) AS highest_z
+        FROM anomaly_summary WHERE anomaly_count > 0
+        GROUP BY machine_id HAVING COUNT(*) > 1""")
+
+
+#: The days of the supplied events.
+HEATMAP_DATES = [f"2024-01-{d:02d}" for d in range(1, 31)]
 
 
 @query("dash_health_heatmap_wide")
 def _heat_wide(spark, sf_dir):
-    return SM.health_heatmap_wide(_daily_deduped_bronze(spark, sf_dir))
+    return SM.health_heatmap_wide(_daily_deduped_bronze(spark, sf_dir), HEATMAP_DATES)

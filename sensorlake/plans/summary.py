@@ -37,37 +37,41 @@ def _fold(*pieces: DataFrame) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in u.columns])
 
 
-def key_findings(bronze: DataFrame, silver: DataFrame, daily: DataFrame, anomalies: DataFrame,
+def key_findings(counts: DataFrame, daily: DataFrame, anomalies: DataFrame,
                  report: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """One wide row: raw and clean counts, retention, check pass rate, anomaly
     count, the machine with the lowest mean health score, the sensor type with
-    most anomalies, and the single most extreme reading."""
+    most anomalies, and the single most extreme reading.
+
+    ``counts`` is the one row of ``layer_counts`` that ``report`` was made from.
+    """
     c = cfg.cols
-    counts = tagged({"b": bronze, "s": silver, "a": anomalies}).agg(
-        F.count_if(F.col("_t") == "b").alias("total_raw_readings"),
-        F.count_if(F.col("_t") == "s").alias("clean_readings"),
-        F.count_if(F.col("_t") == "a").alias("anomalies_detected"))
-    counts = counts.withColumn("retained_pct",
-                               pct(F.col("clean_readings"), F.col("total_raw_readings"), 1))
+    counts = counts.select(
+        F.col("bronze_rows").alias("total_raw_readings"), F.col("silver_rows").alias("clean_readings"),
+        F.col("anomaly_rows").alias("anomalies_detected"),
+        pct(F.col("silver_rows"), F.col("bronze_rows"), 1).alias("retained_pct"))
     per_machine = daily.groupBy(c.machine).agg(avg_score_1dp(F.col("health_score_pct")).alias("s"))
     worst = per_machine.agg(F.min_by(F.struct(F.col(c.machine).alias("m"), F.col("s")),
                                      F.struct(F.col("s"), F.col(c.machine))).alias("w")).select(
         F.col("w.m").alias("worst_machine_id"), F.col("w.s").alias("worst_machine_avg_score"))
-    per_sensor = anomalies.groupBy(c.sensor).agg(F.count(F.lit(1)).alias("n"))
-    sensor = per_sensor.agg(F.min_by(F.struct(F.col(c.sensor).alias("t"), F.col("n")),
-                                     F.struct((-F.col("n")).alias("o"), F.col(c.sensor))).alias("x")).select(
-        F.col("x.t").alias("most_anomalous_sensor"), F.col("x.n").alias("most_anomalous_sensor_count"))
+    # anomalies in one pass: per sensor type the count and its most extreme reading
     rz = round_half_up(F.col("z_score"), 2)
-    top = anomalies.agg(F.min_by(F.struct(F.col(c.machine).alias("m"), F.col(c.sensor).alias("t"), rz.alias("z")),
-                                 F.struct((-rz).alias("o1"), (-F.col("z_score")).alias("o2"),
-                                          F.col(c.event_id))).alias("x")).select(
-        F.col("x.m").alias("max_z_machine_id"), F.col("x.t").alias("max_z_sensor_type"),
-        F.col("x.z").alias("max_z_score"))
+    extreme = F.struct((-rz).alias("o1"), (-F.col("z_score")).alias("o2"), F.col(c.event_id).alias("o3"))
+    reading = F.struct(F.col(c.machine).alias("m"), F.col(c.sensor).alias("t"), rz.alias("z"))
+    per_sensor = anomalies.groupBy(c.sensor).agg(
+        F.count(F.lit(1)).alias("n"), F.min(extreme).alias("o"), F.min_by(reading, extreme).alias("x"))
+    found = per_sensor.agg(
+        F.min_by(F.struct(F.col(c.sensor).alias("t"), F.col("n")),
+                 F.struct((-F.col("n")).alias("o"), F.col(c.sensor))).alias("most"),
+        F.min_by("x", "o").alias("top")).select(
+        F.col("most.t").alias("most_anomalous_sensor"), F.col("most.n").alias("most_anomalous_sensor_count"),
+        F.col("top.m").alias("max_z_machine_id"), F.col("top.t").alias("max_z_sensor_type"),
+        F.col("top.z").alias("max_z_score"))
     s = F.col("status")
     rate = report.agg(round_half_up(F.try_divide(F.count_if(s == "PASS").cast("double"),
                                                  F.count(F.lit(1)).cast("double")) * F.lit(100.0), 0)
                       .alias("quality_pass_rate"))
-    return _fold(counts, rate, worst, sensor, top).select(
+    return _fold(counts, rate, worst, found).select(
         "total_raw_readings", "clean_readings", "retained_pct", "quality_pass_rate", "anomalies_detected",
         "worst_machine_id", "worst_machine_avg_score", "most_anomalous_sensor",
         "most_anomalous_sensor_count", "max_z_machine_id", "max_z_sensor_type", "max_z_score")
@@ -76,11 +80,17 @@ def key_findings(bronze: DataFrame, silver: DataFrame, daily: DataFrame, anomali
 # ---- dashboard datasets ----------------------------------------------------
 
 def dash_hourly_trend(hourly: DataFrame, days: int = 7, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Hourly statistics of the last ``days`` days of data (relative to the
-    newest hour present, found by a scalar subquery in the same job)."""
+    """Hourly statistics of the last ``days`` days of data, in order.
+
+    ``hourly`` is best the stored table, partitioned by date: the newest date
+    comes from the partition values alone, and only the last partitions are read.
+    """
     c = cfg.cols
-    newest = hourly.agg(F.max("hour_window")).scalar()
-    return (hourly.filter(F.col("hour_window") > newest - F.make_dt_interval(days=F.lit(days)))
+    newest = hourly.agg(F.max("date")).scalar()
+    recent = hourly.filter(F.col("date") >= F.date_sub(newest, days))
+    last = recent.agg(F.max("hour_window")).scalar()
+    return (recent.filter(F.col("hour_window") > last - F.make_dt_interval(days=F.lit(days)))
+                  .orderBy(c.machine, c.sensor, c.unit, "hour_window")
                   .select(c.machine, c.sensor, c.unit, "hour_window", "reading_count",
                           "avg_value", "min_value", "max_value"))
 
@@ -90,12 +100,11 @@ def dash_health_heatmap(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> Data
     return daily.select(cfg.cols.machine, "date", "health_score_pct", "machine_status")
 
 
-def health_heatmap_wide(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Machine x date matrix of scores, one column per date.
-
-    The dates become columns, so their distinct list is fetched first (one
-    small job; its size is the number of days, not of readings)."""
-    return daily.groupBy(cfg.cols.machine).pivot("date").agg(F.max("health_score_pct"))
+def health_heatmap_wide(daily: DataFrame, dates: list[str], cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """Machine x date matrix of scores, one column for each of ``dates`` (ISO text)."""
+    day = F.col("date").cast("string")
+    return daily.groupBy(cfg.cols.machine).agg(
+        *[F.max(F.when(day == F.lit(d), F.col("health_score_pct"))).alias(d) for d in dates])
 
 
 def dash_anomaly_points(anomalies: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

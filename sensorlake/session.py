@@ -38,7 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A folder is set here only when the session names none, as in local tests.
+    A folder of this machine is set only when the session names none and Spark
+    runs in one process, as in tests: on a cluster each executor would write to
+    its own disk, so there the missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -46,11 +48,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder; removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.mkdirs(folder):
+        fs.deleteOnExit(folder)
+    return path
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large run, sized from the input volume.

@@ -25,18 +25,28 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_as(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Read a folder table back with the columns and types it was written with.
+
+    Partition values keep their type (``007`` stays a string), and a table
+    without rows, hence without files, reads as empty.
+    """
+    return spark.read.schema(like.schema).parquet(path).select(*[F.col(f"`{c}`") for c in like.columns])
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite",
-                      fmt: str = "parquet") -> None:
+                      fmt: str = "parquet", rebalance: bool = True) -> None:
     """Overwrite (or append) a directory table partitioned by ``partition_by``.
 
     A REBALANCE on the partition columns clusters rows so each task writes
     few files, and lets AQE split a partition value that holds a large share
     of the rows over several tasks (a plain ``repartition(col)`` would send
     all rows of one sensor type, a third of the table, to one task) and merge
-    small ones.
+    small ones. Without ``rebalance`` the rows are written where they are, which
+    spares the shuffle when a task's rows have few partition values.
     """
     w = df
-    if partition_by:
+    if partition_by and rebalance:
         w = df.hint("rebalance", *partition_by)
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
@@ -51,7 +61,7 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def publish(df: DataFrame, name: str, comment: str | None = None,
             properties: dict[str, str] | None = None, partition_by=(),
-            mode: str = "overwrite", path: str | None = None) -> None:
+            mode: str = "overwrite", path: str | None = None, rebalance: bool = True) -> None:
     """Save as a catalog table with a comment and table properties.
 
     With ``path`` the table's files live there (a shared location) and the
@@ -60,9 +70,10 @@ def publish(df: DataFrame, name: str, comment: str | None = None,
     spark = df.sparkSession
     db = name.split(".")[0] if "." in name else None
     if db:
-        loc = f" LOCATION '{path.rstrip('/')}/_db_{db}'" if path else ""
+        loc = f" LOCATION {_quoted(path.rstrip('/').rpartition('/')[0] + '/_db_' + db)}" if path else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
-    writer = df.write.mode(mode).format("parquet")
+    w = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
+    writer = w.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
@@ -71,10 +82,20 @@ def publish(df: DataFrame, name: str, comment: str | None = None,
         writer = writer.option("comment", comment)
     writer.saveAsTable(name)
     if properties:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        props = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def table_properties(spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
+    """(key, value) of the named properties of a catalog table."""
+    return spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key").isin(keys))
+
+
 def table_detail(df: DataFrame) -> DataFrame:
     """Format, file count and bytes of a file-based table.
 
@@ -88,6 +109,15 @@ def table_detail(df: DataFrame) -> DataFrame:
                      F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("size_in_bytes"))
 
 
+def partition_detail(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Per partition value of a file-based table: format, rows, and whether it has files and bytes."""
+    files = df.select(*partition_by, F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
+    per_file = files.groupBy(*partition_by, "p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
+    return per_file.groupBy(*partition_by).agg(
+        F.lit("parquet").alias("format"), F.sum("n").alias("row_count"),
+        (F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("s") > 0).alias("has_bytes"))
+
+
 def row_and_column_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"),
                   F.lit(len(df.columns)).alias("column_count"))

@@ -31,9 +31,11 @@ def test_schema_rows(readings):
 def test_heatmap_wide_has_one_column_per_day(spark):
     ly = Layers.from_testdata(spark, "/root/testdata/sf0.001")
     daily = ly.daily
-    wide = health_heatmap_wide(daily)
-    n_days = daily.select("date").distinct().count()
-    assert len(wide.columns) == n_days + 1 and wide.count() == 5
+    days = [f"2024-01-{d:02d}" for d in range(1, 31)]
+    wide = health_heatmap_wide(daily, days)
+    assert wide.columns == ["machine_id", *days] and wide.count() == 5
+    long = {(r.machine_id, str(r.date)): r.health_score_pct for r in daily.collect()}
+    assert {(r.machine_id, d): r[d] for r in wide.collect() for d in days if r[d] is not None} == long
 
 
 def test_fixture_anchor_figures(spark):

@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sensorlake.plans.registry import QUERIES
 from tools.check_oracles import TABLES, digest
 
 SF = os.environ.get("SENSORLAKE_TEST_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)  # operators beyond the library have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -22,18 +23,14 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_listed():
-    no_oracle = set(KEYS) - set(E.oracle_sql())
-    assert no_oracle <= {"table_detail"}
+def test_every_query_has_an_oracle():
+    assert set(KEYS) <= set(E.oracle_sql()) and set(KEYS) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    if key not in E.oracle_sql():
-        assert len(rows) >= 1
-        return
     res = duck.sql(E.oracle_sql()[key])
     assert sorted(df.columns) == sorted(res.columns)
     orows = res.fetchall()

@@ -1,5 +1,8 @@
 """Write layouts, append history, publish with properties, table detail."""
 
+import pytest
+
+from sensorlake.config import DEFAULT
 from sensorlake.plans import quality as QR
 from sensorlake.plans.layers import Layers
 from sensorlake.plans.pipeline import run_pipeline, shared_dir
@@ -43,11 +46,77 @@ def test_pipeline_run_and_two_appends_make_two_runs(spark):
     hist = spark.read.parquet(out["paths"]["quality_report"])
     trend = QR.quality_trend(hist).collect()
     assert len(trend) == 2 and all(t.total_checks == 15 for t in trend)
-    rules = out["rules"]["silver"]
-    assert rules["input_records"] == ly.deduped.count()
+    rules = spark.read.parquet(out["paths"]["rule_metrics"])
+    assert rules.groupBy("run_id").count().collect()[0]["count"] == 11
+    silver = rules.filter("dataset = 'silver_sensors' AND run_id = '20240102_000000'").collect()
+    assert {r.input_records for r in silver} == {ly.deduped.count()}
     assert spark.read.parquet(out["paths"]["gold_anomalies"]).count() == 34
 
 
+def _same(stored, direct):
+    cols = direct.columns
+    rows = lambda df: sorted(map(repr, df.select(cols).collect()))
+    assert [f.dataType for f in stored.select(cols).schema] == [f.dataType for f in direct.schema]
+    assert rows(stored) == rows(direct)
+
+
+@pytest.mark.parametrize("kind", ["digits", "clean", "empty"])
+def test_pipeline_tables_equal_the_direct_functions(spark, readings, kind):
+    rows = []
+    if kind == "digits":  # machine names that look like numbers stay apart
+        rows = [(f"{m}-{i}", m, "temperature", 80.0 + i % 5 + (25.0 if i == 55 else 0), i) for m in ("007", "7") for i in range(60)]
+    if kind == "clean":  # no anomalies: nothing is written for them
+        rows = [(f"e{i}", "M1", "pressure", 5.0, i) for i in range(5)]
+    bronze = readings(rows)
+    out = run_pipeline(spark, bronze, shared_dir(spark, f"t-{kind}"), "r1", "2024-01-01 00:00:00")
+    direct = Layers(bronze, DEFAULT)
+    for name, df in (("silver_sensors", direct.silver), ("gold_hourly_stats", direct.hourly),
+                     ("gold_daily_health", direct.daily), ("gold_anomalies", direct.anomalies)):
+        _same(out["tables"][name], df)
+    assert spark.read.parquet(out["paths"]["quality_report"]).count() == 15
+    if kind == "digits":
+        daily = {r.machine_id: r.total_readings for r in out["tables"]["gold_daily_health"].collect()}
+        assert daily == {"007": 60, "7": 60}
+
+
+def test_pipeline_publishes_catalog_tables(spark, readings):
+    bronze = readings([(f"e{i}", "M1", "pressure", 5.0, i) for i in range(5)])
+    bronze.createOrReplaceTempView("raw_readings")
+    wh = shared_dir(spark, "t-catalog")
+    run_pipeline(spark, "raw_readings", wh, "r1", "2024-01-01 00:00:00", database="sensors_run")
+    for name in ("bronze_sensors", "silver_sensors", "gold_hourly_stats", "gold_daily_health", "gold_anomalies"):
+        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES sensors_run.{name}").collect()}
+        assert props["quality"] == name.split("_")[0]
+    assert spark.table("sensors_run.silver_sensors").count() == 5
+    spark.sql("DROP DATABASE sensors_run CASCADE")
+
+
+def test_properties_are_quoted(spark):
+    T.publish(spark.range(1).toDF("n"), "sensors_quoted.t", properties={"o'key": "it's \\ here"})
+    got = {r.key: r.value for r in T.table_properties(spark, "sensors_quoted.t", ["o'key"]).collect()}
+    assert got == {"o'key": "it's \\ here"}
+    spark.sql("DROP DATABASE sensors_quoted CASCADE")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from sensorlake.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_scratch_folder_is_removed_with_the_driver(spark):
+    from sensorlake.session import scratch_dir
+    path = scratch_dir(spark)
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert shared_dir(spark, "x").startswith(path)
+    assert fs.cancelDeleteOnExit(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+    scratch_dir(spark)  # marked again
+
+
 def test_cluster_conf_sizes_partitions_by_volume():
     from sensorlake.session import cluster_conf
     c = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
