@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Text handled at once inside a task; a longer single document is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -70,6 +71,24 @@ def crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("null")).cast("binary")) % n
 
 
+def smallest(rows: DataFrame, per: int, hashed: str, by: list[str] | None = None) -> DataFrame:
+    """The ``per`` rows with the smallest values of ``hashed`` (a 64-bit hash) of all rows, or of each group.
+
+    Hashes are spread evenly, so a threshold from the number of rows leaves about
+    sixteen times ``per``, and only those are sorted, whatever the input's size.
+    """
+    by = by or []
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("_size"))
+    if not by:
+        rows = rows.withColumn("_size", F.lit(sizes.first()[0]))
+    else:
+        rows = rows.join(sizes, by)
+    share = F.pmod(F.col(hashed), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    few = rows.filter(share * F.col("_size") <= 16.0 * per).drop("_size")
+    order = Window.partitionBy(*by, F.lit(0)).orderBy(F.pmod(F.col(hashed), F.lit(1 << 40)), *rows.drop("_size").columns)
+    return few.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per).drop("_n")
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
                 max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut and join Arrow batches so that each holds about ``max_bytes`` of text."""

@@ -27,9 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import Words, crc_mod, table, text_blocks
+from .common import Words, crc_mod, smallest, table, text_blocks
 
 SAMPLE = 2500
 SAMPLE_BYTES = 32 << 10
@@ -49,7 +48,7 @@ OFTEN, OFTEN_BESIDE = 4, 200
 PRIOR = 0.5
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-KINDS = ("word", "p3", "p4", "p5", "p6", "p8", "s3", "previous", "next")
+KINDS = ("word", "p3", "p4", "p5", "p6", "p7", "p8", "s3", "previous", "next")
 
 
 def _mixed(x: np.ndarray, kind: int) -> np.ndarray:
@@ -80,11 +79,11 @@ def word_keys(vocab: pa.StringArray) -> dict[str, np.ndarray]:
         live = size > k
         part = taken(offs[:-1] + np.where(live, k, 0), np.where(live, np.minimum(size - k, 8), 0))
         whole = np.where(live, _mixed(whole ^ part, 99), whole)
-    keys = {"word": _mixed(whole, 0), "previous": _mixed(whole, 7), "next": _mixed(whole, 8)}
-    for kind, k in ((1, 3), (2, 4), (3, 5), (4, 6), (5, 8)):
+    keys = {"word": _mixed(whole, 0), "previous": _mixed(whole, 8), "next": _mixed(whole, 9)}
+    for kind, k in ((1, 3), (2, 4), (3, 5), (4, 6), (5, 7), (6, 8)):
         keys[KINDS[kind]] = np.where(size > k, _mixed(taken(offs[:-1], np.minimum(size, k)), kind), np.uint64(0))
     back = np.minimum(size, 3)
-    keys["s3"] = np.where(size > 3, _mixed(taken(offs[1:] - back, back), 6), np.uint64(0))
+    keys["s3"] = np.where(size > 3, _mixed(taken(offs[1:] - back, back), 7), np.uint64(0))
     return keys
 
 
@@ -219,7 +218,7 @@ def marked(words: Words, toxic: np.ndarray) -> np.ndarray:
     keys = word_keys(words.vocab)
     best = np.full(len(words.vocab), -np.inf)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    for kind in ("word", "p4", "p5", "p6"):
+    for kind in ("word", "p4", "p5", "p6", "p7", "p8"):
         vocab_keys = keys[kind]
         distinct, of = np.unique(vocab_keys, return_inverse=True)
         pair = np.unique(of[words.codes].astype(np.int64) * len(toxic) + doc)
@@ -348,8 +347,7 @@ def _heads(inside: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataFrame:
     known = labels.filter((crc_mod("doc_id", 5) != 0) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label).drop("n")
+    chosen = smallest(known.withColumn("h", F.xxhash64("doc_id")), per_label, "h", ["toxic"]).drop("h")
     rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
     # two labels of at most SAMPLE rows
     return rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import table, text_blocks
+from .common import smallest, table, text_blocks
 from .html_dom import LEAF, Dom, parse
 
 SAMPLE = 150
@@ -271,7 +271,8 @@ def train(pages: DataFrame, sample: int = SAMPLE, designs: int = DESIGNS) -> boo
     """Fit the trees on the sample's own marks and on designed pages of its texts."""
     rows = pages.select("html").filter(F.col("html").isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES)) \
         .withColumn("h", F.xxhash64("html"))
-    found = sorted({(r.h, r.html) for r in rows.orderBy("h").limit(sample).collect()})
+    chosen = [r.h for r in smallest(rows.select("h").distinct(), sample, "h").collect()]
+    found = sorted((r.h, r.html) for r in rows.filter(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html")).collect())
     doms = [parse(page) for _, page in found]
     prose = sorted({t for d in doms for t in d.text if len(t) > 80})
     short = sorted({t for d in doms for t in d.text if 0 < len(t) <= 80})

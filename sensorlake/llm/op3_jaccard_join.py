@@ -225,8 +225,8 @@ def common_runs(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return out
 
 
-def verified(group: list[tuple[int, bytes, int, bytes]], threshold: float) -> list[tuple[bytes, int, bytes]]:
-    """(set, documents linked to it, least set of its component) of one block, or of two blocks against each other.
+def verified(group: list[tuple[int, bytes, int, bytes]], across: bool, threshold: float) -> list[tuple[bytes, int, bytes]]:
+    """(set, documents linked to it, least set of its component) of one block, or ``across`` two blocks.
 
     ``group``: (block, set, documents of the class, runs).
     """
@@ -239,7 +239,7 @@ def verified(group: list[tuple[int, bytes, int, bytes]], threshold: float) -> li
     # equality at the threshold counts: compare whole numbers, with room for the product's rounding
     linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
     np.fill_diagonal(linked, False)
-    if (block != block[0]).any():
+    if across:
         linked &= block[:, None] != block[None, :]
     order = sorted(range(len(names)), key=names.__getitem__)
     place = np.empty(len(names), np.int64)
@@ -286,14 +286,14 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, reca
                 key = (row["label"], row["i"], row["j"])
                 if key != now:
                     if group:
-                        out += verified(group, threshold)
+                        out += verified(group, now[1] != now[2], threshold)
                     now, group = key, []
                 group.append((row["b"], row["set"], row["n"], row["runs"]))
             if len(out) > 5000:
                 yield _verified_batch(out)
                 out = []
         if group:
-            out += verified(group, threshold)
+            out += verified(group, now[1] != now[2], threshold)
         if out:
             yield _verified_batch(out)
 

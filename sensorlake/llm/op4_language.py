@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import _LOWER, crc_mod, table, text_blocks, utf8
+from .common import _LOWER, crc_mod, smallest, table, text_blocks, utf8
 
 BINS = 8192
 SAMPLE = 400
@@ -133,8 +132,7 @@ def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
         & (F.octet_length("text") <= SAMPLE_BYTES))
     keyed = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
     kinds = keyed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = kinds.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language).drop("n")
+    chosen = smallest(kinds, per_language, "h", ["lang"])
     # at most SAMPLE rows for each of MOST_LANGUAGES languages
     return rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi")
 
