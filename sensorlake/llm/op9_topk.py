@@ -152,7 +152,7 @@ def _at_least(slices: list[np.ndarray], live: np.ndarray, value: int) -> np.ndar
 
 
 def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
 def build_index(vectors: DataFrame, rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
