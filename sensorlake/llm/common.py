@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import scratch_dir
+
 #: Text handled at once inside a task; a longer single document is a block of its own.
 BLOCK_BYTES = 4 << 20
 
@@ -34,28 +36,10 @@ def ship(spark: SparkSession) -> None:
     sc._sensorlake_shipped = True
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, as read from the session.
-
-    A folder of this machine is used, and set, only where the setting is empty
-    and Spark runs in one process, as in tests; a cluster without it is refused.
-    """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    root = root or sc.getCheckpointDir()
-    if not root:
-        master = sc.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="sensorlake-shared-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; a run never meets another run's files."""
-    return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new path below the folder in ``spark.checkpoint.dir`` (see ``scratch_dir``): a run never meets
+    another run's files, and all of them are removed when the driver ends."""
+    return f"{scratch_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

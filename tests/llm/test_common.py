@@ -1,9 +1,9 @@
 import pyarrow as pa
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Words, shared_root, text_blocks
+from sensorlake.llm.common import Words, smallest, stored, text_blocks, work_path
 
 from tests.llm.conftest import words_of
 
@@ -26,9 +26,19 @@ def test_blocks_keep_all_rows_in_order(parts, size):
     assert all(b.num_rows for b in out)
 
 
-def test_a_cluster_must_name_a_shared_folder():
-    from types import SimpleNamespace
-    conf = SimpleNamespace(get=lambda *a: None)
-    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_root(SimpleNamespace(sparkContext=sc, conf=conf))
+def test_tables_lie_in_the_shared_folder(spark):
+    shared = spark.sparkContext.getCheckpointDir().rsplit("/", 1)[0]
+    path = work_path(spark, "x")
+    assert shared.removeprefix("file:").lstrip("/") in path and path != work_path(spark, "x")
+    assert stored(spark.range(3), "x").count() == 3
+
+
+def test_the_smallest_hashes_of_each_group(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("g"), F.xxhash64("id").alias("h"))
+    got = {(r.g, r.h) for r in smallest(rows, 7, "h", ["g"]).collect()}
+    want = set()
+    for g in range(3):
+        some = [r.h for r in rows.collect() if r.g == g]
+        want |= {(g, h) for h in sorted(some, key=lambda h: h % (1 << 40))[:7]}
+    assert got == want
+    assert smallest(rows.limit(0), 7, "h").count() == 0 and smallest(rows, 5, "h").count() == 5
