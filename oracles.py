@@ -149,6 +149,7 @@ def register(name: str, body: str) -> None:
 
 # ---- sources / layers ------------------------------------------------------
 register("bronze_ingest", f"SELECT *, 'sensors.bronze_sensors' AS _source FROM bronze")
+register("typed_records", "SELECT * FROM bronze")
 register("dedup_prefer_value", "SELECT * FROM deduped")
 register("dedup_first_arrival", "SELECT * FROM deduped_fa")
 register("silver_clean", "SELECT * FROM silver")

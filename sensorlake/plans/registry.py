@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce as _reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT as _DEFAULT
 from ..config import FIXTURE
@@ -47,6 +48,13 @@ def _bronze_ingest(spark, sf_dir):
     return L.bronze_ingest(layers(spark, sf_dir).bronze, FIXTURE, audit_time=False)
 
 
+@query("typed_records")
+def _typed(spark, sf_dir):
+    readings = layers(spark, sf_dir).bronze
+    lines = readings.select(F.to_json(F.struct("*"), {"timestampNTZFormat": T.NTZ_FORMAT}).alias("line"))
+    return T.typed_records(lines, "line", readings.schema)
+
+
 @query("dedup_prefer_value")
 def _dedup_pv(spark, sf_dir):
     return layers(spark, sf_dir, order="prefer_value").deduped

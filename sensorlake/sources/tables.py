@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Partition layouts of the published layers.
 LAYOUTS = {
@@ -25,6 +26,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def typed_records(lines: DataFrame, column: str, schema: str | StructType) -> DataFrame:
+    """A typed table from records in JSON, one a row, by an explicit schema (a field that is
+    missing or of another type is NULL; a NULL or unreadable record is a row of NULLs)."""
+    parsed = F.from_json(F.col(column), schema, {"timestampNTZFormat": NTZ_FORMAT})
+    return lines.select(parsed.alias("_r")).select("_r.*")
+
+
 def read_as(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Read a folder table back with the columns and types it was written with.
 

@@ -136,3 +136,20 @@ def test_pipeline_command_line(spark):
     failed = [(r.layer, r.check_name) for r in rep.filter("status <> 'PASS'").collect()]
     assert failed == [("bronze", "row_count")]
     assert spark.read.parquet(out["paths"]["silver_sensors"]).count() == 938
+
+
+def test_typed_records(spark):
+    lines = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": "no", "c": 2}',), (None,), ("{",)], "line string")
+    got = [tuple(r) for r in T.typed_records(lines, "line", "a int, b string").collect()]
+    assert got == [(1, "x"), (None, None), (None, None), (None, None)]
+
+
+def test_building_a_plan_starts_no_job(spark):
+    from sensorlake.plans import health_report as HR
+    events = Layers.from_testdata(spark, SF)
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    for df in (events.silver, events.hourly, events.daily, HR.machine_health_overall(events.daily),
+               Layers(events.bronze, events.cfg, strategy="window").scored):
+        assert df.columns
+    assert jobs() == before
