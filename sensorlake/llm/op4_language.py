@@ -132,7 +132,7 @@ def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
         & (F.octet_length("text") <= SAMPLE_BYTES))
     keyed = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
     kinds = keyed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
-    chosen = smallest(kinds, per_language, "h", ["lang"])
+    chosen = smallest(kinds, per_language, "h", ["lang"], MOST_LANGUAGES)
     # at most SAMPLE rows for each of MOST_LANGUAGES languages
     return rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi")
 
@@ -156,8 +156,6 @@ def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     if not found:
         return None
     langs = sorted({r.lang for r in found})
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the sample is bounded for {MOST_LANGUAGES}")
     found.sort(key=lambda r: (r.lang, bytes(r.x)))
     x = np.zeros((len(found), BINS), np.float32)
     for k, r in enumerate(found):
