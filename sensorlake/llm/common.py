@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from ..session import scratch_dir
 
 #: Text handled at once inside a task; a longer single document is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, crc_mod, smallest, table, text_blocks
 
-SAMPLE = 2500
-SAMPLE_BYTES = 32 << 10
+SAMPLE = 1500
+SAMPLE_BYTES = 16 << 10
 #: Tokens on each side of a passage's middle.
 AROUND = 8
 SUPPORT = 3
@@ -41,7 +41,7 @@ OUT = ("doc_id long, held_out boolean, score double, predicted int, "
        "spans array<struct<start:int,end:int,score:double>>")
 
 #: Passages of each kind for a round of training.
-PASSAGES = 5000
+PASSAGES = 4000
 #: A feature of the word, and of a neighbour, counts if the passages have it so often.
 OFTEN, OFTEN_BESIDE = 4, 200
 #: Precision of the weights' Gaussian prior.

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import _LOWER, crc_mod, smallest, table, text_blocks, utf8
 
 BINS = 8192
-SAMPLE = 400
-SAMPLE_BYTES = 32 << 10
+SAMPLE = 300
+SAMPLE_BYTES = 16 << 10
 #: Languages that the sample's size is proven for; more are refused.
 MOST_LANGUAGES = 256
 AMBIGUOUS = 0.2
