@@ -8,8 +8,9 @@ smallest loss. Its share of exp(-loss) over all languages is the score; a text w
 two best languages are close is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: of each language at most
-``SAMPLE`` different texts of at most ``SAMPLE_BYTES`` bytes, those with the smallest
-hashes, and one short passage of each. All texts are scored whole.
+``SAMPLE`` different texts, those with the smallest hashes, and one short passage of
+each. Of a text over ``SAMPLE_BYTES`` bytes the sample has a passage of at most so many
+bytes, at a place given by the text's hash (``excerpt``). All texts are scored whole.
 
 Cases: null text and text without a letter is ``und`` with score 0; without any
 labelled text everything is ``und``; with one language every text with a letter is
@@ -24,14 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import _LOWER, crc_mod, smallest, table, text_blocks, utf8
 
 BINS = 8192
-SAMPLE = 300
-SAMPLE_BYTES = 16 << 10
+SAMPLE = 400
+SAMPLE_BYTES = 32 << 10
+#: Training rows whose n-gram vectors are held densely at once.
+ROWS = 2048
 #: Languages that the sample's size is proven for; more are refused.
 MOST_LANGUAGES = 256
 AMBIGUOUS = 0.2
@@ -104,37 +107,71 @@ class Model:
         return share.argmax(1), order[:, -1], order[:, -1] - order[:, -2] < AMBIGUOUS
 
 
-def fit(x: np.ndarray, y: np.ndarray, langs: list[str], steps: int = 120, rate: float = 40.0,
+class Sparse:
+    """Rows of a matrix as places and values; ``blocks`` gives them densely, some at a time."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], columns: int) -> None:
+        self.rows, self.shape = rows, (len(rows), columns)
+        self.one = self._dense(0) if len(rows) <= ROWS else None
+
+    def _dense(self, at: int) -> np.ndarray:
+        some = self.rows[at:at + ROWS]
+        out = np.zeros((len(some), self.shape[1]), np.float32)
+        for k, (places, values) in enumerate(some):
+            out[k, places] = values
+        return out
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for at in range(0, len(self.rows), ROWS):
+            yield slice(at, at + ROWS), self._dense(at) if self.one is None else self.one
+
+
+def fit(x: np.ndarray | Sparse, y: np.ndarray, langs: list[str], steps: int = 120, rate: float = 40.0,
         decay: float = 1e-4) -> Model:
     """Logistic regression for each bit, by accelerated gradient descent."""
     code = codewords(len(langs))
-    target = code[y]
     counts = np.bincount(y, minlength=len(langs))
-    weight = (1 / counts[y])[:, None] / len(langs)
     w = np.zeros((x.shape[1], code.shape[1]), np.float32)
     b = np.zeros(code.shape[1])
     vw, vb = np.zeros_like(w), np.zeros_like(b)
+    blocks = x.blocks if isinstance(x, Sparse) else lambda: [(slice(None), x)]
     for _ in range(steps if code.shape[1] else 0):
-        margin = x @ (w + 0.9 * vw) + b + 0.9 * vb
-        pull = (weight * target / (1 + np.exp(np.clip(target * margin, -30, 30)))).astype(np.float32)
-        vw = 0.9 * vw + rate * (x.T @ pull - decay * w)
-        vb = 0.9 * vb + rate * 0.1 * pull.sum(0)
+        ahead, ahead_b, gw, gb = w + 0.9 * vw, b + 0.9 * vb, np.zeros_like(w), np.zeros_like(b)
+        for rows, part in blocks():
+            target, weight = code[y[rows]], (1 / counts[y[rows]])[:, None] / len(langs)
+            margin = part @ ahead + ahead_b
+            pull = (weight * target / (1 + np.exp(np.clip(target * margin, -30, 30)))).astype(np.float32)
+            gw, gb = gw + part.T @ pull, gb + pull.sum(0)
+        vw = 0.9 * vw + rate * (gw - decay * w)
+        vb = 0.9 * vb + rate * 0.1 * gb
         w, b = w + vw, b + vb
-    right = ((x @ w + b) * target > 0).mean(0)
+    right = sum((((part @ w + b) * code[y[rows]] > 0).sum(0) for rows, part in blocks()), np.zeros(len(b))) / len(y)
     trust = np.log((right + 0.01) / (1 - right + 0.01))
     return Model(langs, code, w, b, np.maximum(trust, 0.1) / max(np.maximum(trust, 0.1).max(initial=0.1), 0.1))
 
 
+def excerpt(text: Column, hashed: Column) -> Column:
+    """The text, or of a text over SAMPLE_BYTES bytes a passage with a letter, from a place that its hash gives.
+
+    A passage without a letter gives way to the one from the text's first letter on.
+    """
+    size = SAMPLE_BYTES // 4  # characters, of at most four bytes each
+    room = F.greatest(F.char_length(text) - size + 1, F.lit(1))
+    passage = text.substr((F.pmod(hashed, room) + 1).cast("int"), F.lit(size))
+    first = F.regexp_extract(text, rf"\p{{L}}[\s\S]{{0,{size - 1}}}", 0)
+    return F.when(F.octet_length(text) <= SAMPLE_BYTES, text).when(passage.rlike(r"\p{L}"), passage).otherwise(first)
+
+
 def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     """Training texts and languages of the documents outside the held-out fold."""
     rows = docs.select("doc_id", "text", "lang").filter(
-        (crc_mod("doc_id", 4) != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
-        & (F.octet_length("text") <= SAMPLE_BYTES))
+        (crc_mod("doc_id", 4) != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     keyed = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
     kinds = keyed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
     chosen = smallest(kinds, per_language, "h", ["lang"], MOST_LANGUAGES)
     # at most SAMPLE rows for each of MOST_LANGUAGES languages
-    return rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi")
+    return rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi") \
+        .withColumn("text", excerpt(F.col("text"), F.col("h")))
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
@@ -157,10 +194,9 @@ def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
         return None
     langs = sorted({r.lang for r in found})
     found.sort(key=lambda r: (r.lang, bytes(r.x)))
-    x = np.zeros((len(found), BINS), np.float32)
-    for k, r in enumerate(found):
-        x[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["x"], np.float32)
-    return fit(x, np.array([langs.index(r.lang) for r in found]), langs)
+    number = {lang: k for k, lang in enumerate(langs)}
+    x = Sparse([(np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], np.float32)) for r in found], BINS)
+    return fit(x, np.array([number[r.lang] for r in found]), langs)
 
 
 #: Columns that a stage adds while it decides; no document column begins like this.
@@ -202,13 +238,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject the documents in no language: null text or text without a letter."""
+    """Reject the documents in no language: null text or text without a letter, with a model or without."""
     shared = spark.sparkContext.broadcast(train(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, max_bytes=1 << 20):
-            names, _, _ = predicted(shared.value, batch.column("text"), batch.column(PREDICTED))
-            yield batch.drop_columns([PREDICTED]).filter(pa.array(names != UNKNOWN))
+            kept = batch.column(PREDICTED)
+            if shared.value is not None:
+                names, _, _ = predicted(shared.value, batch.column("text"), kept)
+                kept = pa.array(names != UNKNOWN)
+            yield batch.drop_columns([PREDICTED]).filter(kept)
 
     spoken = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return docs.withColumn(PREDICTED, spoken).mapInArrow(run, docs.schema)

@@ -59,3 +59,31 @@ def test_close_languages_are_flagged():
     model = op.fit(x, np.arange(4), ["a", "b", "c", "d"])
     _, share, close = model.decode(np.concatenate([x, (x[:1] + x[1:2]) / 2]))
     assert not close[:4].any() and close[4] and share[4] < 0.6
+
+
+def test_a_language_of_long_texts_only_is_learned(spark, documents):
+    rows = [(k, f"{k} the house and the garden of words " * 2000, "en") for k in range(12)]
+    rows += [(k, f"{k} la maison et le jardin des mots é", "fr") for k in range(20, 32)]
+    docs = documents(rows)
+    assert all(0 < len(r.text.encode()) <= op.SAMPLE_BYTES for r in op.sample(docs).collect())
+    got = op.identify(docs, op.train(docs)).collect()
+    assert len(got) == 24 and all(r.lang_pred == ("en" if r.doc_id < 20 else "fr") for r in got)
+    # digits but for the end: the passage is the one with the letters
+    digits = documents([(k, "7 " * 60_000 + f"mot {k}", "fr") for k in range(4)])
+    assert all("mot" in r.text for r in op.sample(digits).collect())
+
+
+def test_stage_keeps_long_and_unlabelled_texts(spark, documents):
+    for lang in ("en", None):
+        docs = documents([(k, f"{k} words of a book " * 3000, lang) for k in range(4)] + [(9, "12 34", lang)])
+        assert sorted(r.doc_id for r in op.stage(spark, docs, "").collect()) == [0, 1, 2, 3]
+
+
+def test_fit_in_blocks_equals_fit_at_once(monkeypatch):
+    rng = np.random.default_rng(0)
+    x = (rng.random((30, op.BINS)) * (rng.random((30, op.BINS)) < 0.01)).astype(np.float32)
+    y = np.arange(30) % 3
+    want = op.fit(x, y, ["a", "b", "c"])
+    monkeypatch.setattr(op, "ROWS", 7)
+    got = op.fit(op.Sparse([(np.flatnonzero(r), r[r != 0]) for r in x], op.BINS), y, ["a", "b", "c"])
+    assert np.allclose(got.weights, want.weights, atol=1e-3) and np.allclose(got.trust, want.trust)
