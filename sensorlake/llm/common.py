@@ -55,20 +55,19 @@ def crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("null")).cast("binary")) % n
 
 
-def smallest(rows: DataFrame, per: int, hashed: str, by: list[str] | None = None, most: int = 256) -> DataFrame:
-    """The ``per`` rows with the smallest values of ``hashed`` (a 64-bit hash) of all rows, or of each
-    of at most ``most`` groups.
+def smallest(rows: DataFrame, per: int, hashed: str, by: list[str] | None = None) -> DataFrame:
+    """The ``per`` rows with the smallest values of ``hashed`` (a 64-bit hash) of all rows, or of each group.
 
     Hashes are spread evenly, so a threshold from the number of rows leaves about four
-    times ``per``, and only those are sorted, whatever the input's size.
+    times ``per``, and only those are sorted, whatever the input's size. There may be any
+    number of groups: their sizes are joined, not collected.
     """
     by = by or []
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("_size"))
-    found = sizes.limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} groups of {by}; the sample is bounded for that many")
-    known = F.broadcast(rows.sparkSession.createDataFrame(found, sizes.schema))
-    rows = rows.join(known, by) if by else rows.withColumn("_size", F.lit(found[0]["_size"]))
+    if by:
+        sizes = salted_max(rows, by, [F.count("*").alias("_m")], [F.sum("_m").alias("_size")], spread=hashed)
+        rows = copies_joined(rows, by, sizes, spread=hashed)
+    else:
+        rows = rows.withColumn("_size", F.lit(rows.count()))
     place = F.pmod(F.col(hashed), F.lit(1 << 40))
     few = rows.filter(place / F.lit(float(1 << 40)) * F.col("_size") <= 4.0 * per).drop("_size")
     order = Window.partitionBy(*by, F.lit(0)).orderBy(place, *few.columns)

@@ -9,7 +9,8 @@ two best languages are close is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: of each language at most
 ``SAMPLE`` different texts, those with the smallest hashes, and one short passage of
-each. Of a text over ``SAMPLE_BYTES`` bytes the sample has a passage of at most so many
+each; of more than ``TOTAL / SAMPLE`` languages evenly fewer, but one at least, so that
+there may be any number. Of a text over ``SAMPLE_BYTES`` bytes the sample has a passage of at most so many
 bytes, at a place given by the text's hash (``excerpt``). All texts are scored whole.
 
 Cases: null text and text without a letter is ``und`` with score 0; without any
@@ -28,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _LOWER, crc_mod, smallest, table, text_blocks, utf8
+from .common import _LOWER, crc_mod, smallest, stored, table, text_blocks, utf8
 
 BINS = 8192
 SAMPLE = 400
 SAMPLE_BYTES = 32 << 10
 #: Training rows whose n-gram vectors are held densely at once.
 ROWS = 2048
-#: Languages that the sample's size is proven for; more are refused.
-MOST_LANGUAGES = 256
+#: Texts of the sample; more languages than ``TOTAL / SAMPLE`` share them evenly.
+TOTAL = 256 * SAMPLE
 AMBIGUOUS = 0.2
 UNKNOWN = "und"
 OUT = "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
@@ -54,10 +55,15 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
         return np.concatenate([np.ones((1, len(bits))), 1 - 2.0 * rest])
     rng = np.random.default_rng(seed)
     best, apart = None, -1
-    for _ in range(50):
+    # all pairs are compared, so very many languages have fewer draws to choose from
+    for _ in range(max(1, min(50, 50 * 1024 ** 2 // n ** 2))):
         code = rng.choice([-1.0, 1.0], (n, int(np.ceil(10 * np.log2(n)))))
         code[:, np.abs(code.sum(0)) == n] = np.where(np.arange(n) % 2, 1.0, -1.0)[:, None]
-        least = ((code.shape[1] - code @ code.T) / 2 + code.shape[1] * np.eye(n)).min()
+        least = np.inf
+        for a in range(0, n, 1024):
+            some = (code.shape[1] - code[a:a + 1024] @ code.T) / 2
+            some[np.arange(len(some)), a + np.arange(len(some))] = np.inf
+            least = min(least, some.min())
         if least > apart:
             best, apart = code, least
     return best
@@ -100,11 +106,12 @@ class Model:
         if len(self.langs) == 1:
             return np.zeros(len(x), np.int64), np.ones(len(x)), np.zeros(len(x), bool)
         margin = x @ self.weights + self.bias
-        loss = np.logaddexp(0, -margin[:, None, :] * self.code[None]) @ self.trust
-        share = np.exp(loss.min(1, keepdims=True) - loss)
+        # log(1 + exp(-c m)) is a part without c, the same for all languages, less c m / 2
+        gain = (margin * self.trust) @ self.code.T / 2
+        share = np.exp(gain - gain.max(1, keepdims=True))
         share /= share.sum(1, keepdims=True)
-        order = np.sort(share, 1)
-        return share.argmax(1), order[:, -1], order[:, -1] - order[:, -2] < AMBIGUOUS
+        top = np.partition(share, -2, 1)[:, -2:]
+        return share.argmax(1), top[:, 1], top[:, 1] - top[:, 0] < AMBIGUOUS
 
 
 class Sparse:
@@ -168,9 +175,11 @@ def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
         (crc_mod("doc_id", 4) != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     keyed = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
     kinds = keyed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
-    chosen = smallest(kinds, per_language, "h", ["lang"], MOST_LANGUAGES)
-    # at most SAMPLE rows for each of MOST_LANGUAGES languages
-    return rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi") \
+    languages = rows.select("lang").distinct().count()
+    share = max(1, min(per_language, TOTAL // max(1, languages)))
+    # stored, so that its size is known: broadcast only if it is small
+    chosen = stored(smallest(kinds, share, "h", ["lang"]), "language-sample")
+    return rows.withColumn("h", F.xxhash64("text")).join(chosen, ["doc_id", "lang", "h"], "left_semi") \
         .withColumn("text", excerpt(F.col("text"), F.col("h")))
 
 
@@ -224,8 +233,10 @@ def predicted(model: Model | None, texts: pa.Array, spoken: pa.Array) -> tuple[n
     n = len(texts)
     spoken = spoken.to_numpy(zero_copy_only=False)
     names, score, close = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
-    for at in range(0, n if model is not None else 0, TEXTS):
-        some = np.flatnonzero(spoken[at:at + TEXTS]) + at
+    # the shares of many languages are held for fewer texts
+    step = max(1, min(TEXTS, (4 << 20) // max(1, len(model.langs)))) if model is not None else TEXTS
+    for at in range(0, n if model is not None else 0, step):
+        some = np.flatnonzero(spoken[at:at + step]) + at
         if len(some):
             best, share, near = model.decode(features(*utf8(texts.take(pa.array(some)))))
             names[some], score[some], close[some] = np.array(model.langs, object)[best], share, near

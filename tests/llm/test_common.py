@@ -42,3 +42,8 @@ def test_the_smallest_hashes_of_each_group(spark):
         want |= {(g, h) for h in sorted(some, key=lambda h: h % (1 << 40))[:7]}
     assert got == want
     assert smallest(rows.limit(0), 7, "h").count() == 0 and smallest(rows, 5, "h").count() == 5
+
+
+def test_smallest_hashes_of_many_groups(spark):
+    rows = spark.range(900).select((F.col("id") % 300).alias("g"), F.xxhash64("id").alias("h"))
+    assert {(r.g, r["count"]) for r in smallest(rows, 2, "h", ["g"]).groupBy("g").count().collect()} == {(g, 2) for g in range(300)}

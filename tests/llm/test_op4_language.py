@@ -87,3 +87,27 @@ def test_fit_in_blocks_equals_fit_at_once(monkeypatch):
     monkeypatch.setattr(op, "ROWS", 7)
     got = op.fit(op.Sparse([(np.flatnonzero(r), r[r != 0]) for r in x], op.BINS), y, ["a", "b", "c"])
     assert np.allclose(got.weights, want.weights, atol=1e-3) and np.allclose(got.trust, want.trust)
+
+
+def test_any_number_of_languages(spark, documents, monkeypatch):
+    words = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(400)]
+    docs = documents([(k, f"{w * 3} {w * 2} {w * 4}", w) for k, w in enumerate(words)])
+    model = op.train(docs)
+    known = {r.lang for r in docs.filter(crc_mod("doc_id", 4) != 2).collect()}
+    assert set(model.langs) == known and len(known) > 256
+    got = [(r.doc_id, r.lang_pred) for r in op.identify(docs, model).collect() if not r.held_out]
+    assert np.mean([words[k] == lang for k, lang in got]) > 0.9
+    # of more languages than the sample has room for, each still gives a text
+    monkeypatch.setattr(op, "TOTAL", 10)
+    assert op.sample(docs).count() == len(known)
+
+
+def test_decoding_equals_the_logistic_loss():
+    rng = np.random.default_rng(1)
+    x = rng.random((9, op.BINS)).astype(np.float32)
+    model = op.fit(x, np.arange(9), list("abcdefghi"))
+    margin = x @ model.weights + model.bias
+    loss = np.logaddexp(0, -margin[:, None, :] * model.code[None]) @ model.trust
+    share = np.exp(-loss) / np.exp(-loss).sum(1, keepdims=True)
+    best, score, _ = model.decode(x)
+    assert (best == share.argmax(1)).all() and np.allclose(score, share.max(1))
