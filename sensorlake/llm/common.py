@@ -74,6 +74,18 @@ def smallest(rows: DataFrame, per: int, hashed: str, by: list[str] | None = None
     return few.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per).drop("_n")
 
 
+def excerpt(text: Column, hashed: Column, most: int) -> Column:
+    """The text, or of a text over ``most`` bytes a passage of at most so many, from a place that its hash gives.
+
+    A passage without a letter gives way to the one from the text's first letter on.
+    """
+    size = most // 4  # characters, of at most four bytes each
+    room = F.greatest(F.char_length(text) - size + 1, F.lit(1))
+    passage = text.substr((F.pmod(hashed, room) + 1).cast("int"), F.lit(size))
+    first = F.regexp_extract(text, rf"\p{{L}}[\s\S]{{0,{size - 1}}}", 0)
+    return F.when(F.octet_length(text) <= most, text).when(passage.rlike(r"\p{L}") | (first == ""), passage).otherwise(first)
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
                 max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut and join Arrow batches so that each holds about ``max_bytes`` of text."""

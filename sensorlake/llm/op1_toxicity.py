@@ -9,8 +9,9 @@ likelihood. Forward-backward over all tokens of a text gives each token's margin
 a document's score is its largest, and runs of tokens from 0.5 on are its offending
 spans, with character offsets.
 
-The sample: at most ``SAMPLE`` toxic and as many other labelled documents, of at most
-``SAMPLE_BYTES`` bytes, those with the smallest hashes.
+The sample: at most ``SAMPLE`` toxic and as many other labelled documents, those with
+the smallest hashes of all that have words; of a text over ``SAMPLE_BYTES`` bytes a
+passage of at most so many bytes, at a place given by its hash.
 
 Cases: null or empty text and text without words has score 0; conflicting labels of
 one id count as toxic; null labels are left out; without a toxic label in the sample
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, crc_mod, smallest, table, text_blocks
+from .common import Words, crc_mod, excerpt, smallest, table, text_blocks
 
-SAMPLE = 1500
-SAMPLE_BYTES = 16 << 10
+SAMPLE = 2500
+SAMPLE_BYTES = 32 << 10
 #: Tokens on each side of a passage's middle.
 AROUND = 8
 SUPPORT = 3
@@ -41,7 +42,7 @@ OUT = ("doc_id long, held_out boolean, score double, predicted int, "
        "spans array<struct<start:int,end:int,score:double>>")
 
 #: Passages of each kind for a round of training.
-PASSAGES = 4000
+PASSAGES = 5000
 #: A feature of the word, and of a neighbour, counts if the passages have it so often.
 OFTEN, OFTEN_BESIDE = 4, 200
 #: Precision of the weights' Gaussian prior.
@@ -272,16 +273,18 @@ def _fitted(words: Words, label: np.ndarray, doc: np.ndarray, centre: np.ndarray
     keys = word_keys(words.vocab)
     columns = [keys[k][words.codes[at]] for k in KINDS[:-2]]
     columns += [_moved(keys["previous"][words.codes[at]], inside, 1), _moved(keys["next"][words.codes[at]], inside, -1)]
-    every = np.stack([np.where(inside, c, np.uint64(0)) for c in columns], -1)
-    distinct, of, counts = np.unique(every, return_inverse=True, return_counts=True)
-    of = of.reshape(every.shape)
+    columns = [np.where(inside, c, np.uint64(0)) for c in columns]
+    # one kind after the other: sorting all kinds at once takes several times their size
+    distinct = np.unique(np.concatenate([np.unique(c) for c in columns]))
+    of = np.stack([np.searchsorted(distinct, c).astype(np.int32) for c in columns], -1)
+    counts = np.bincount(of.reshape(-1), minlength=len(distinct))
     # features too rare to tell anything share one place without weight
     least = np.full(len(distinct), OFTEN)
     beside = np.zeros(len(distinct), bool)
     beside[of[..., -2:]] = True
     least[beside] = OFTEN_BESIDE
     kept = (counts >= least) & (distinct != 0)
-    place = np.where(kept, np.cumsum(kept), 0)
+    place = np.where(kept, np.cumsum(kept), 0).astype(np.int32)
     of, distinct = place[of], distinct[kept]
     y = label[at] & inside
     w, g2 = np.zeros(len(distinct) + 1), np.full(len(distinct) + 1, 1e-6)
@@ -347,10 +350,13 @@ def _heads(inside: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataFrame:
     known = labels.filter((crc_mod("doc_id", 5) != 0) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = docs.select("doc_id", "text").filter(F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
+    # only documents that are there are chosen from
+    known = known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = smallest(known.withColumn("h", F.xxhash64("doc_id")), per_label, "h", ["toxic"]).drop("h")
-    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
     # two labels of at most SAMPLE rows
-    return rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    return rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]) \
+        .withColumn("text", excerpt(F.col("text"), F.xxhash64("text"), SAMPLE_BYTES))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> Model | None:

@@ -8,7 +8,8 @@ keep or drop it so that the product of probabilities is largest and nothing is k
 below a dropped node.
 
 The trees are fitted on a bounded sample: the ``SAMPLE`` pages with the smallest
-hashes, of at most ``SAMPLE_BYTES`` bytes. Their own marked-up parts (article or main,
+hashes, of a page over ``SAMPLE_BYTES`` bytes the beginning of its body, without scripts,
+styles and comments, of at most so many bytes. Their own marked-up parts (article or main,
 against navigation, footers and the like) are labels, and their texts are set anew in
 random page designs whose parts are known.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import boosting
@@ -267,12 +268,20 @@ class Design:
         return f"<html><body>{body}</body></html>"
 
 
+def beginning(page: Column) -> Column:
+    """The page, or of a page over SAMPLE_BYTES bytes the beginning of what is shown."""
+    shown = F.regexp_replace(page, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    body = F.regexp_extract(shown, rf"(?i)<body\b[\s\S]{{0,{SAMPLE_BYTES // 4 - 5}}}", 0)
+    cut = F.when(body != "", body).otherwise(shown.substr(1, SAMPLE_BYTES // 4))
+    return F.when(F.octet_length(page) <= SAMPLE_BYTES, page).otherwise(cut)
+
+
 def train(pages: DataFrame, sample: int = SAMPLE, designs: int = DESIGNS) -> boosting.Trees | None:
     """Fit the trees on the sample's own marks and on designed pages of its texts."""
-    rows = pages.select("html").filter(F.col("html").isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES)) \
-        .withColumn("h", F.xxhash64("html"))
+    rows = pages.select("html").filter(F.col("html").isNotNull()).withColumn("h", F.xxhash64("html"))
     chosen = [r.h for r in smallest(rows.select("h").distinct(), sample, "h").collect()]
-    found = sorted((r.h, r.html) for r in rows.filter(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html")).collect())
+    found = sorted((r.h, r.html) for r in rows.filter(F.col("h").isin(chosen)).withColumn("html", beginning(F.col("html")))
+                   .groupBy("h").agg(F.min("html").alias("html")).collect())
     doms = [parse(page) for _, page in found]
     prose = sorted({t for d in doms for t in d.text if len(t) > 80})
     short = sorted({t for d in doms for t in d.text if 0 < len(t) <= 80})

@@ -26,10 +26,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _LOWER, crc_mod, smallest, stored, table, text_blocks, utf8
+from .common import _LOWER, crc_mod, excerpt, smallest, stored, table, text_blocks, utf8
 
 BINS = 8192
 SAMPLE = 400
@@ -157,18 +157,6 @@ def fit(x: np.ndarray | Sparse, y: np.ndarray, langs: list[str], steps: int = 12
     return Model(langs, code, w, b, np.maximum(trust, 0.1) / max(np.maximum(trust, 0.1).max(initial=0.1), 0.1))
 
 
-def excerpt(text: Column, hashed: Column) -> Column:
-    """The text, or of a text over SAMPLE_BYTES bytes a passage with a letter, from a place that its hash gives.
-
-    A passage without a letter gives way to the one from the text's first letter on.
-    """
-    size = SAMPLE_BYTES // 4  # characters, of at most four bytes each
-    room = F.greatest(F.char_length(text) - size + 1, F.lit(1))
-    passage = text.substr((F.pmod(hashed, room) + 1).cast("int"), F.lit(size))
-    first = F.regexp_extract(text, rf"\p{{L}}[\s\S]{{0,{size - 1}}}", 0)
-    return F.when(F.octet_length(text) <= SAMPLE_BYTES, text).when(passage.rlike(r"\p{L}"), passage).otherwise(first)
-
-
 def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     """Training texts and languages of the documents outside the held-out fold."""
     rows = docs.select("doc_id", "text", "lang").filter(
@@ -180,7 +168,7 @@ def sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     # stored, so that its size is known: broadcast only if it is small
     chosen = stored(smallest(kinds, share, "h", ["lang"]), "language-sample")
     return rows.withColumn("h", F.xxhash64("text")).join(chosen, ["doc_id", "lang", "h"], "left_semi") \
-        .withColumn("text", excerpt(F.col("text"), F.col("h")))
+        .withColumn("text", excerpt(F.col("text"), F.col("h"), SAMPLE_BYTES))
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:

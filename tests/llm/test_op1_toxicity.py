@@ -73,3 +73,19 @@ def test_word_keys_tell_words_apart(word, size):
     keys = op.word_keys(pa.array([word, word[:-1] + "Z", word], pa.string()))
     assert keys["word"][0] == keys["word"][2] != keys["word"][1]
     assert (keys["p3"][0] != 0) == (size > 3)
+
+
+def test_sample_is_full_where_labels_lack_documents_or_texts_are_long(spark, documents):
+    docs = documents([(k, f"text number {k} " * (5000 if k < 100 else 1)) for k in range(200)])
+    labels = spark.range(4000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    found = op.sample(docs, labels, 20).collect()
+    assert [sum(r.toxic == t for r in found) for t in (0, 1)] == [20, 20]
+    assert max(len(r.text) for r in found) <= op.SAMPLE_BYTES
+
+
+def test_long_toxic_documents_are_learned(spark, documents):
+    rows = [(k, f"plain words {k} of a book and a garden " * 1200 if k % 2 else f"you idiotic fool {k} go on " * 1800) for k in range(120)]
+    docs = documents(rows)
+    labels = docs.selectExpr("doc_id", "cast(1 - doc_id % 2 as int) as toxic")
+    got = op.tag(docs, op.train(docs, labels)).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in got)

@@ -3,6 +3,7 @@ import itertools
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sensorlake.llm import boosting
 from sensorlake.llm import op2_extraction as op
@@ -91,3 +92,11 @@ def test_odd_rows(spark):
     assert next(r.n_chars for r in got if r.page_id == 5) == 20000 * 18 - 2
     assert op.extract(pages.limit(0), op.train(pages.limit(0))).count() == 0
     assert all(r.text == "" for r in op.extract(pages, None).collect())
+
+
+def test_a_table_of_long_pages_only(spark):
+    pages = table(spark, "/root/testdata/sf0.001", "pages").withColumn(
+        "html", F.concat(F.lit("<script>" + "var a = 1; " * 8000 + "</script>"), "html"))
+    got = op.extract(pages, op.train(pages)).collect()
+    want = {r.page_id: article(r.html) for r in pages.collect()}
+    assert any(want.values()) and np.mean([r.text == want[r.page_id] for r in got]) > 0.95
