@@ -1,10 +1,12 @@
-"""Near-duplicate join on word five-grams with a MinHash LSH forest.
+"""Near-duplicate join on word five-grams with MinHash banding.
 
 A text is the set of its runs of five words (``Words``; a text of one to four words
-is one run). Each of ``TREES`` tries holds the texts' signatures of its own hash
-functions, sorted; two texts meet in a trie if their signatures share a prefix. From
-the deepest prefix on, the prefix asked for is shortened until pairs at the threshold
-are met with the target recall (``prefix_length``).
+is one run). Each of ``TREES`` bands holds one hash of so many minima of each text, of
+its own hash functions; two texts meet in a band if all of these are equal. The number
+of minima is fixed by the constants (``prefix_length``), so that a pair at the threshold
+meets with the target recall: this is fixed banding in place of an LSH forest, whose
+prefixes are shortened by what the data shows. A pair that meets in no band, and that
+no other links join, is missed.
 
 Texts of one set are one class. Classes that meet in a trie are linked, and the
 connected components of these links are candidate groups. Within a group all pairs
