@@ -17,6 +17,9 @@ from . import (
     op8_packing,
     op9_topk,
     op10_warc,
+    op11_lexical,
+    op12_hamming,
+    op13_runs,
 )
 from .common import ship
 
@@ -39,10 +42,14 @@ QUERIES = {
     "op8_window_packing": _shipped(op8_packing.query),
     "op9_bit_sliced_topk": _shipped(op9_topk.query),
     "op10_warc_chunks": _shipped(op10_warc.query),
+    "op11_stratified_search": _shipped(op11_lexical.query),
+    "op12_multi_index_hashing": _shipped(op12_hamming.query),
+    "op13_grammar_runs": _shipped(op13_runs.query),
 }
 
 ORACLES = {
     "op7_positional_decontamination": op7_decontamination.ORACLE,
     "op9_bit_sliced_topk": op9_topk.ORACLE,
     "op10_warc_chunks": op10_warc.ORACLE,
+    "op11_stratified_search": op11_lexical.ORACLE,
 }
