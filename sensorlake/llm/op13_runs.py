@@ -21,16 +21,16 @@ one in a block of its own; an empty table gives no rows; other columns are not r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_blocks, utf8
 
-WORD = r"[^\x20\x09-\x0D]+"
 #: A run is at least so many words, and so many times its period.
 LEAST, TIMES = 24, 3
 #: Candidates that are extended at once, and words that are copied at once.
@@ -234,6 +234,10 @@ class Spaced:
                                                  [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(self.data[word]))])
         self.codes = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
+    def arranged(self, order: np.ndarray) -> None:
+        """The texts' words are replaced by the words with these numbers."""
+        self.starts, self.sizes, self.codes = self.starts[order], self.sizes[order], self.codes[order]
+
     def joined(self, kept: np.ndarray) -> pa.Array:
         """Each text's kept words, joined by one space."""
         counts = np.add.reduceat(np.append(kept, False).astype(np.int64), np.minimum(self.ptr[:-1], len(kept)))
@@ -258,9 +262,8 @@ class Spaced:
         return pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(offs), pa.py_buffer(out[spare])).cast(pa.string())
 
 
-def block_runs(texts: pa.Array, least: int = LEAST, times: int = TIMES) -> tuple[np.ndarray, list[list[dict]], pa.Array]:
-    """Words, runs and collapsed text of each text."""
-    words = Spaced(texts)
+def block_runs(words: Spaced, least: int = LEAST, times: int = TIMES) -> tuple[np.ndarray, list[list[dict]], pa.Array]:
+    """Words, runs and collapsed text of each text of a block."""
     counts = np.diff(words.ptr)
     n = len(words.codes)
     row = np.repeat(np.arange(len(counts)), counts)
@@ -283,12 +286,20 @@ def block_runs(texts: pa.Array, least: int = LEAST, times: int = TIMES) -> tuple
     return counts, runs, words.joined(kept)
 
 
-def periodic(docs: DataFrame, least: int = LEAST, times: int = TIMES) -> DataFrame:
-    """Words, runs (by start, then period) and text without repeated periods, of every row."""
+def periodic(docs: DataFrame, least: int = LEAST, times: int = TIMES,
+             arrange: Callable[[pa.Array, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """Words, runs (by start, then period) and text without repeated periods, of every row.
+
+    ``arrange`` may put other words of a block in the places of its words: from the doc_ids and from where each text's
+    words begin, it gives the number of the word for each place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches):
-            counts, runs, collapsed = block_runs(batch.column("text"), least, times)
+            words = Spaced(batch.column("text"))
+            if arrange is not None:
+                words.arranged(arrange(batch.column("doc_id"), words.ptr))
+            counts, runs, collapsed = block_runs(words, least, times)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(runs, pa.list_(RUN)), collapsed],
                 names=["doc_id", "n_words", "runs", "collapsed"])
@@ -296,21 +307,20 @@ def periodic(docs: DataFrame, least: int = LEAST, times: int = TIMES) -> DataFra
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, OUT)
 
 
-def planted(doc_id: Column, text: Column) -> Column:
-    """The text with the period that the query's contract plants in every tenth document, by the id's crc32."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    n = F.size(words)
-    a = F.pmod(g, n)
-    p = F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))) + 1
-    again = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int"))))
-    return F.when((F.pmod(h, F.lit(10)) == 0) & text.rlike(WORD), F.array_join(again, " ")).otherwise(text)
+def planted(ids: pa.Array, ptr: np.ndarray) -> np.ndarray:
+    """The arrangement of the query's contract: in every tenth document, by the id's crc32, words from one on are periodic."""
+    order = np.arange(ptr[-1])
+    for doc_id, first, n in zip(ids.to_pylist(), ptr.tolist(), np.diff(ptr).tolist(), strict=False):
+        if n and doc_id is not None and (h := zlib.crc32(str(doc_id).encode())) % 10 == 0:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            order[first + a:first + n] = first + a + np.arange(n - a) % p
+    return order
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = periodic(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    found = periodic(table(spark, sf_dir, "documents"), arrange=planted)
     # by exact length / period; runs come by start, then period, so the first of equals stays
     best = F.reduce("runs", F.get("runs", F.lit(0)), lambda x, y: F.when(
         y["length"] * x["period"] > x["length"] * y["period"], y).otherwise(x))

@@ -83,7 +83,7 @@ words = st.one_of(
 @given(st.lists(words, max_size=5), st.sampled_from([(24, 3), (4, 3), (9, 3), (6, 4)]))
 @settings(max_examples=300, deadline=None)
 def test_runs_are_those_of_every_period(texts, limits):
-    counts, runs, kept = op.block_runs(pa.array(["  ".join(t) for t in texts], pa.string()), *limits)
+    counts, runs, kept = op.block_runs(op.Spaced(pa.array(["  ".join(t) for t in texts], pa.string())), *limits)
     for text, n, mine, rest in zip(texts, counts, runs, kept.to_pylist(), strict=True):
         want = runs_of(text, *limits)
         assert n == len(text) and [(r["start"], r["length"], r["period"]) for r in mine] == want
