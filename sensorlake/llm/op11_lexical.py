@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from .common import Words, copies_joined, salted_max, stored, table, text_blocks
 TOP = 50
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Terms, with repeats, of the documents that an index block holds about.
-BLOCK_TERMS = 4 << 20
+BLOCK_TERMS = 2 << 20
 #: Documents of the first visit to strata; each further one takes twice as many.
 FIRST_VISIT = 2048
 
@@ -49,10 +50,33 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(0))
 
 
-def corpus_size(docs: DataFrame) -> tuple[int, int]:
+def bags(docs: DataFrame) -> DataFrame:
+    """doc_id, n, the different terms (joined by spaces) and how often each occurs, of the documents with a term.
+
+    Stored in the shared folder: every text is cut into terms once.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_blocks(batches):
+            words = Words(batch.column("text"))
+            n, v = words.counts(), max(1, len(words.vocab))
+            key, tf = np.unique(np.repeat(np.arange(len(n)), n) * v + words.codes, return_counts=True)
+            ptr = np.searchsorted(key, np.arange(len(n) + 1) * v)
+            ends = pa.array(ptr, pa.int32())
+            each = pa.ListArray.from_arrays(ends, words.vocab.take(pa.array(key % v)))
+            times = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.array(ptr * 4, pa.int32()).buffers()[1],
+                                                                     pa.py_buffer(tf.astype("<i4"))])
+            some = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), pc.binary_join(each, " "), times],
+                                              names=["doc_id", "n", "words", "times"])
+            yield some.filter(pa.array(n > 0))
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    return stored(rows.mapInArrow(count, "doc_id long, n long, words string, times binary"), "bags")
+
+
+def corpus_size(counted: DataFrame) -> tuple[int, int]:
     """N, the documents with a term, and L, all their terms with repeats."""
-    row = docs.filter(F.col("doc_id").isNotNull()).select(F.regexp_count("text", F.lit(TERM)).alias("n")) \
-        .filter("n > 0").agg(F.count("*").alias("documents"), F.sum("n").alias("terms")).first()
+    row = counted.agg(F.count("*").alias("documents"), F.sum("n").alias("terms")).first()
     return row.documents, row.terms or 0
 
 
@@ -78,11 +102,11 @@ class Block:
     @classmethod
     def build(cls, doc: np.ndarray, word: np.ndarray, tf: np.ndarray, ids: np.ndarray, m: np.ndarray, words: int) -> Block:
         """From (document, word, tf) postings, one for each document and word; documents by (m, id)."""
-        strata, firsts = np.unique(m, return_index=True)
+        strata, firsts, of = np.unique(m, return_index=True, return_inverse=True)
         firsts = np.append(firsts, len(m))
-        stratum = np.searchsorted(firsts, doc, "right") - 1
-        order = np.lexsort((doc, -tf, stratum, word))
-        doc, word, tf, stratum = doc[order], word[order], tf[order], stratum[order]
+        order = np.lexsort((doc, -tf, of[doc], word))
+        doc, word, tf = doc[order], word[order], tf[order].astype(np.int64)
+        stratum = of[doc]
         new_head = np.ones(len(doc), bool)
         new_head[1:] = (word[1:] != word[:-1]) | (stratum[1:] != stratum[:-1])
         new_group = new_head.copy()
@@ -169,51 +193,50 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def build_index(docs: DataFrame, documents: int, all_terms: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
+def build_index(counted: DataFrame, documents: int, all_terms: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """Index blocks (block, words, their documents, strata and postings as bytes), stored in the shared folder.
 
-    Of the strata only those with more terms than a quarter of a block are broadcast. There are fewer than
+    Of the strata only those with more terms than an eighth of a block are broadcast. There are fewer than
     10 * sqrt(N) strata at all: a stratum more spans at least L / (50 N) terms more, and all sum up to L.
     """
-    n = F.regexp_count("text", F.lit(TERM)).cast("long")
-    rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text", n.alias("n")).filter("n > 0") \
-        .withColumn("m", F.expr(f"50 + (50 * n * {documents}L) div {all_terms}L"))
-    piece = max(1, block_terms // 4)
+    rows = counted.withColumn("m", F.expr(f"50 + (50 * n * {documents}L) div {all_terms}L"))
+    piece = max(1, block_terms // 8)
     large = rows.groupBy("m").agg(F.sum("n").alias("terms")).filter(F.col("terms") > piece) \
         .select("m", F.ceil(F.col("terms") / piece).alias("pieces"))
     dealt = rows.join(F.broadcast(large), "m", "left") \
         .withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, vocabularies, ids, ms = [], [], [], []
-        known = held = 0
-        for batch in text_blocks(batches):
-            words = Words(batch.column("text"))
-            v = max(1, len(words.vocab))
-            key, tf = np.unique(np.repeat(np.arange(batch.num_rows), words.counts()) * v + words.codes, return_counts=True)
-            parts.append((key // v + held, key % v + known, tf))
-            vocabularies.append(words.vocab)
+        docs, words, times, ids, ms = [], [], [], [], []
+        vocabulary = pa.array([], pa.string())
+        held = 0
+        for batch in text_blocks(batches, "words"):
+            terms = pc.split_pattern(batch.column("words"), " ")
+            docs.append(np.repeat(np.arange(held, held + batch.num_rows, dtype=np.int32), pc.list_value_length(terms).to_numpy()))
+            # known terms keep their numbers
+            coded = pa.concat_arrays([vocabulary, terms.flatten()]).dictionary_encode()
+            words.append(coded.indices.to_numpy()[len(vocabulary):])
+            vocabulary = coded.dictionary
+            times.append(np.frombuffer(b"".join(batch.column("times").to_pylist()), "<i4"))
             ids.append(batch.column("doc_id").to_numpy())
             ms.append(batch.column("m").to_numpy())
-            known, held = known + len(words.vocab), held + batch.num_rows
+            held += batch.num_rows
         if not held:
             return
-        coded = pa.concat_arrays(vocabularies).dictionary_encode()
         ids, ms = np.concatenate(ids), np.concatenate(ms)
         order = np.lexsort((ids, ms))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        doc = place[np.concatenate([p[0] for p in parts])]
-        word = coded.indices.to_numpy().astype(np.int64)[np.concatenate([p[1] for p in parts])]
-        block = Block.build(doc, word, np.concatenate([p[2] for p in parts]), ids[order], ms[order], len(coded.dictionary))
+        place = np.empty(held, np.int32)
+        place[order] = np.arange(held, dtype=np.int32)
+        block = Block.build(place[np.concatenate(docs)], np.concatenate(words), np.concatenate(times),
+                            ids[order], ms[order], len(vocabulary))
         yield pa.RecordBatch.from_arrays([
-            pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
-            pa.array([block.dfs().tolist()], pa.list_(pa.int64())), pa.array([block.dump()], pa.binary())],
+            pa.array([TaskContext.get().partitionId()], pa.int32()),
+            pa.ListArray.from_arrays(pa.array([0, len(vocabulary)], pa.int32()), vocabulary),
+            pa.array([block.dfs()], pa.list_(pa.int64())), pa.array([block.dump()], pa.binary())],
             names=["block", "words", "dfs", "data"])
 
     blocks = max(1, -(-all_terms // block_terms))
-    return stored(dealt.select("doc_id", "text", "m", "piece").repartition(blocks, "m", "piece")
-                  .select("doc_id", "text", "m").mapInArrow(build, BLOCKS), "strata")
+    return stored(dealt.repartition(blocks, "m", "piece").select("doc_id", "m", "words", "times").mapInArrow(build, BLOCKS), "strata")
 
 
 def weighted(sets: DataFrame, index: DataFrame, documents: int) -> DataFrame:
@@ -277,8 +300,9 @@ def search(index: DataFrame, asked: DataFrame, k: int = TOP) -> DataFrame:
 
 def ranked(docs: DataFrame, items: DataFrame, k: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """item_id, rank, doc_id and score of the k best of ``docs`` for each of ``items`` (item_id, text)."""
-    documents, all_terms = corpus_size(docs)
-    index = build_index(docs, documents, max(1, all_terms), block_terms)
+    counted = bags(docs)
+    documents, all_terms = corpus_size(counted)
+    index = build_index(counted, documents, max(1, all_terms), block_terms)
     wanted = items.filter(F.col("text").isNotNull()) \
         .select("item_id", F.array_sort(F.array_distinct(terms(F.col("text")))).alias("terms")) \
         .withColumn("set_id", F.sha2(F.array_join("terms", " "), 256)).distinct()
