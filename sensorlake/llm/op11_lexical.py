@@ -81,23 +81,31 @@ def corpus_size(counted: DataFrame) -> tuple[int, int]:
 
 
 class Block:
-    """Documents by stratum; for each term its strata, and in each the postings by falling tf."""
-
-    #: Arrays of a block in the order in which they are stored, and their types.
-    LAYOUT = (("m", "<i8"), ("firsts", "<i8"), ("ids", "<i8"), ("heads", "<i8"), ("stratum", "<i4"),
-              ("groups", "<i8"), ("impact", "<i4"), ("ends", "<i8"), ("postings", "<i4"))
-
-    def __init__(self, arrays: dict[str, np.ndarray]) -> None:
-        #: m of each stratum, its first document (and the number of documents), the documents' ids
-        self.m, self.firsts, self.ids = arrays["m"], arrays["firsts"], arrays["ids"]
-        #: first head of each term; a head is a term in a stratum: its number and its first group
-        self.heads, self.stratum, self.groups = arrays["heads"], arrays["stratum"], arrays["groups"]
-        #: a group is a tf in a head: the impact, where its postings begin, and the documents
-        self.impact, self.ends, self.postings = arrays["impact"], arrays["ends"], arrays["postings"]
-        self.size = np.diff(self.firsts)
-        self.bound = self.impact[self.groups[:-1]].astype(np.int64)
-        self.begins = self.ends[self.groups]
-        self.each = np.repeat(self.impact, np.diff(self.ends))
+    """Documents by stratum; for each term its strata, and in each the postings by falling tf.
+
+    A head is a term in a stratum, a group is a tf in a head. Blocks are stored as small numbers, each array with the
+    fewest bytes: sizes in place of bounds, steps of strata, documents counted from their stratum's first one.
+    """
+
+    #: m and documents of each stratum; ids of the documents; heads of each term; from stratum to stratum, and groups, of
+    #: each head; tf and documents of each group; the documents
+    LAYOUT = ("m", "size", "ids", "heads", "step", "groups", "tf", "count", "place")
+
+    def __init__(self, m: np.ndarray, size: np.ndarray, ids: np.ndarray, heads: np.ndarray, step: np.ndarray,
+                 groups: np.ndarray, tf: np.ndarray, count: np.ndarray, place: np.ndarray) -> None:
+        self.stored = (m, size, ids, heads, step, groups, tf, count, place)
+        self.m, self.size, self.ids = m, size, ids
+        self.heads = _bounds(heads)
+        self.stratum = np.cumsum(step, dtype=np.int32)
+        groups = _bounds(groups)
+        of = np.repeat(self.stratum, np.diff(groups))
+        # once for each tf of a term in a stratum
+        impact = (1_000_000_000 * tf.astype(np.int64) // (1000 * tf.astype(np.int64) + 20 * m[of])).astype(np.int32)
+        self.bound = impact[groups[:-1]].astype(np.int64)
+        ends = _bounds(count)
+        self.begins = ends[groups]
+        self.each = np.repeat(impact, count)
+        self.postings = np.repeat(_bounds(size)[of].astype(np.int32), count) + place.astype(np.int32)
 
     @classmethod
     def build(cls, doc: np.ndarray, word: np.ndarray, tf: np.ndarray, ids: np.ndarray, m: np.ndarray, words: int) -> Block:
@@ -112,26 +120,26 @@ class Block:
         new_group = new_head.copy()
         new_group[1:] |= tf[1:] != tf[:-1]
         at_head, at_group = np.flatnonzero(new_head), np.flatnonzero(new_group)
-        count = tf[at_group]
-        return cls({
-            "m": strata, "firsts": firsts, "ids": ids,
-            "heads": np.searchsorted(word[at_head], np.arange(words + 1)), "stratum": stratum[at_head].astype(np.int32),
-            "groups": np.append(np.searchsorted(at_group, at_head), len(at_group)),
-            "impact": (1_000_000_000 * count // (1000 * count + 20 * strata[stratum[at_group]])).astype(np.int32),
-            "ends": np.append(at_group, len(doc)), "postings": doc.astype(np.int32)})
+        return cls(strata, np.diff(firsts), ids, np.diff(np.searchsorted(word[at_head], np.arange(words + 1))),
+                   np.diff(stratum[at_head], prepend=0), np.diff(np.append(np.searchsorted(at_group, at_head), len(at_group))),
+                   tf[at_group], np.diff(np.append(at_group, len(doc))), doc - firsts[stratum])
 
     def dump(self) -> bytes:
-        parts = [np.ascontiguousarray(getattr(self, name), kind) for name, kind in self.LAYOUT]
-        return np.array([len(x) for x in parts], "<i8").tobytes() + b"".join(x.tobytes() for x in parts)
+        parts = [np.asarray(x).astype(np.promote_types(np.min_scalar_type(x.min(initial=0)), np.min_scalar_type(x.max(initial=0))))
+                 for x in self.stored]
+        head = "".join(f"{x.dtype.str}:{len(x)};" for x in parts).encode()
+        return len(head).to_bytes(4, "little") + head + b"".join(x.tobytes() for x in parts)
 
     @classmethod
     def load(cls, data: bytes) -> Block:
-        sizes = np.frombuffer(data, "<i8", len(cls.LAYOUT))
-        at, arrays = sizes.nbytes, {}
-        for (name, kind), size in zip(cls.LAYOUT, sizes.tolist(), strict=True):
-            arrays[name] = np.frombuffer(data, kind, size, at)
-            at += arrays[name].nbytes
-        return cls(arrays)
+        at = 4 + int.from_bytes(data[:4], "little")
+        arrays = []
+        for part in bytes(data[4:at]).decode().rstrip(";").split(";"):
+            kind, size = part.split(":")
+            arrays.append(np.frombuffer(data, kind, int(size), at))
+            at += arrays[-1].nbytes
+        m, size, ids, *rest = arrays
+        return cls(m.astype(np.int64), size.astype(np.int64), ids.astype(np.int64), *rest)
 
     def dfs(self) -> np.ndarray:
         """Documents of each term."""
@@ -178,6 +186,12 @@ class Block:
         return score
 
 
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=out[1:])
+    return out
+
+
 def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All numbers of the ranges, one after the other."""
     sizes = ends - begins
@@ -277,7 +291,7 @@ def search(index: DataFrame, asked: DataFrame, k: int = TOP) -> DataFrame:
                 words = batch.column("terms")[r].as_py()
                 if row["kind"] == 0:
                     now, number = (row["block"], row["part"]), {word: i for i, word in enumerate(words)}
-                    block = Block.load(batch.column("data")[r].as_buffer().to_pybytes())
+                    block = Block.load(batch.column("data")[r].as_buffer())
                 elif (row["block"], row["part"]) == now:
                     weights = batch.column("weights")[r].as_py()
                     pairs = [(number[t], w) for t, w in zip(words, weights, strict=True) if t in number]
