@@ -304,9 +304,8 @@ def search(index: DataFrame, asked: DataFrame, k: int = TOP) -> DataFrame:
                     pa.array(np.concatenate([x[1] for x in out])), pa.array(np.concatenate([x[2] for x in out]))],
                     names=["set_id", "doc_id", "score"])
 
-    blocks = max(1, shape.n)
-    found = met.repartition(blocks * parts, "block", "part").sortWithinPartitions("block", "part", "kind") \
-        .mapInArrow(answer, FOUND)
+    found = met.repartitionById(((shape.last or 0) + 1) * parts, (F.col("block") * parts + F.col("part")).cast("int")) \
+        .sortWithinPartitions("block", "part", "kind").mapInArrow(answer, FOUND)
     order = Window.partitionBy("set_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("set_id", F.col("rank").cast("int"), "doc_id", "score")

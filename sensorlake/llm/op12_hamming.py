@@ -313,7 +313,7 @@ def met(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                     pa.array(np.concatenate([x[4] for x in out]).astype(np.int32))],
                     names=["query_id", "query_hash", "vec_id", "score", "distance"])
 
-    return sent.unionByName(asked).repartition(blocks * parts, "block", "part") \
+    return sent.unionByName(asked).repartitionById(blocks * parts, (F.col("block") * parts + F.col("part")).cast("int")) \
         .sortWithinPartitions("block", "part", "kind").mapInArrow(answer, FOUND)
 
 
