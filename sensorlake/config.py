@@ -81,6 +81,8 @@ class AnomalyConfig:
     threshold: float = 2.0
     # Rows per bucket of a series (raised to more than ``preceding`` if smaller).
     bucket_rows: int = 1_000_000
+    # Seconds of a series that are counted together to find the buckets.
+    cell_seconds: int = 60
 
 
 @dataclass(frozen=True)

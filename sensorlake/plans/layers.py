@@ -7,7 +7,9 @@ stay deterministic.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,6 @@ from ..operators.dedup import dedup
 from ..operators.expectations import expect_all_or_drop, expectation_metrics
 from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore
 from ..sources.fixture import bronze_from_events
-from ..session import ensure_checkpoint_dir
 from ..sources.tables import load
 
 BRONZE_AUDIT = ("_ingested_at", "_source")
@@ -75,55 +76,38 @@ class Layers:
     cfg: PipelineConfig = FIXTURE
     order: str | None = None
     strategy: str = "bucketed"
-    # Checkpoint Silver once when several outputs are built from it, so the
-    # dedup shuffle is not recomputed per consumer.
-    materialize: bool = False
-    _silver: DataFrame | None = None
-    _rolled: DataFrame | None = None
-    _daily: DataFrame | None = None
+    #: Stores a table of a name and gives it back read from storage; without it every table is computed where it is read.
+    keep: Callable[[str, DataFrame], DataFrame] | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE,
                       order: str | None = None, strategy: str = "bucketed",
-                      materialize: bool = False) -> "Layers":
-        return cls(bronze_from_events(load(spark, sf_dir, "events"), cfg), cfg, order, strategy,
-                   materialize)
+                      keep: Callable[[str, DataFrame], DataFrame] | None = None) -> "Layers":
+        return cls(bronze_from_events(load(spark, sf_dir, "events"), cfg), cfg, order, strategy, keep)
+
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        return df if self.keep is None else self.keep(name, df)
 
     @property
     def deduped(self) -> DataFrame:
         return deduplicated(self.bronze, self.cfg, self.order)
 
-    @property
+    @cached_property
     def silver(self) -> DataFrame:
-        if self._silver is None:
-            df = silver_clean(self.bronze, self.cfg, self.order)
-            if self.materialize:
-                ensure_checkpoint_dir(df.sparkSession)
-                df = df.checkpoint(eager=True)
-            self._silver = df
-        return self._silver
+        return self._kept("silver", silver_clean(self.bronze, self.cfg, self.order))
 
-    @property
+    @cached_property
     def hourly(self) -> DataFrame:
-        return gold_hourly(self.silver, self.cfg)
+        return self._kept("hourly", gold_hourly(self.silver, self.cfg))
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
-        if self._daily is None:
-            df = gold_daily(self.silver, self.cfg)
-            self._daily = df.checkpoint(eager=True) if self.materialize else df
-        return self._daily
+        return self._kept("daily", gold_daily(self.silver, self.cfg))
 
-    @property
+    @cached_property
     def rolled(self) -> DataFrame:
-        """Silver plus rolling statistics (computed once per instance)."""
-        if self._rolled is None:
-            rolled = rolling_zscore(self.silver, self.cfg, self.strategy)
-            if self.materialize:
-                # several consumers read the scores: compute the window once
-                rolled = rolled.checkpoint(eager=True)
-            self._rolled = rolled
-        return self._rolled
+        """Silver plus rolling statistics."""
+        return self._kept("rolled", rolling_zscore(self.silver, self.cfg, self.strategy))
 
     @property
     def scored(self) -> DataFrame:

@@ -41,6 +41,32 @@ def layers(spark: SparkSession, sf_dir: str, **kw) -> L.Layers:
     return L.Layers.from_testdata(spark, sf_dir, **kw)
 
 
+# Tables that several queries of one application read, written once: (application, folder, name) -> path.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_once(spark, sf_dir, name, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = shared_dir(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def kept_layers(spark: SparkSession, sf_dir: str, cfg=FIXTURE, order: str | None = None) -> L.Layers:
+    """Layers that are written once per application, as tables, and read back by every query: one dedup and one pass of
+    each rolling window, however many reports are made of them. Only thresholds may differ between configurations."""
+    run = f"{order or cfg.dedup_order}-{cfg.anomaly.preceding}-{cfg.anomaly.bucket_rows}"
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return T.read_as(spark, stored_once(spark, sf_dir, f"layer-{run}-{name}", lambda path: df.write.parquet(path)), df)
+
+    ly = layers(spark, sf_dir, cfg=cfg, order=order, keep=keep)
+    ly.bronze = keep("bronze", ly.bronze)
+    return ly
+
+
 # ---- sources / layers ------------------------------------------------------
 
 @query("bronze_ingest")
@@ -99,7 +125,7 @@ def _daily_bronze(spark, sf_dir):
 
 @query("rolling_zscore")
 def _rolling(spark, sf_dir):
-    ly = layers(spark, sf_dir)
+    ly = kept_layers(spark, sf_dir)
     return L.rolling_zscore(ly.silver, ly.cfg)
 
 
@@ -107,18 +133,19 @@ def _rolling(spark, sf_dir):
 def _rolling_bucketed(spark, sf_dir):
     # small buckets so that every series crosses many bucket edges
     cfg = FIXTURE.with_anomaly(bucket_rows=64)
-    ly = layers(spark, sf_dir, cfg=cfg)
-    return L.rolling_zscore(ly.silver, cfg, "bucketed")
+    return L.rolling_zscore(kept_layers(spark, sf_dir).silver, cfg, "bucketed")
 
 
 @query("anomaly_flags")
 def _flags(spark, sf_dir):
-    return layers(spark, sf_dir).scored
+    ly = kept_layers(spark, sf_dir)
+    return L.scored(ly.silver, ly.cfg)
 
 
 @query("gold_anomalies")
 def _anomalies(spark, sf_dir):
-    return layers(spark, sf_dir).anomalies
+    ly = kept_layers(spark, sf_dir)
+    return L.gold_anomalies(ly.silver, ly.cfg)
 
 
 # ---- exploration (Bronze unless stated) -------------------------------------
@@ -233,44 +260,44 @@ def _warn_metrics(ly: L.Layers):
 
 @query("expect_warn_metrics")
 def _warn(spark, sf_dir):
-    return _warn_metrics(layers(spark, sf_dir, materialize=True))
+    return _warn_metrics(kept_layers(spark, sf_dir))
 
 
 # ---- anomaly analytics ----------------------------------------------------------
 
 @query("anomaly_summary")
 def _asum(spark, sf_dir):
-    return AR.anomaly_summary(layers(spark, sf_dir).scored)
+    return AR.anomaly_summary(kept_layers(spark, sf_dir).scored)
 
 
 @query("anomaly_profile")
 def _aprof(spark, sf_dir):
-    return AR.anomaly_profile(layers(spark, sf_dir).anomalies)
+    return AR.anomaly_profile(kept_layers(spark, sf_dir).anomalies)
 
 
 @query("top_anomalies")
 def _atop(spark, sf_dir):
-    return AR.top_anomalies(layers(spark, sf_dir).anomalies, 10)
+    return AR.top_anomalies(kept_layers(spark, sf_dir).anomalies, 10)
 
 
 @query("anomalies_per_day")
 def _aday(spark, sf_dir):
-    return AR.anomalies_per_day(layers(spark, sf_dir).anomalies)
+    return AR.anomalies_per_day(kept_layers(spark, sf_dir).anomalies)
 
 
 @query("most_anomalous_sensor")
 def _amost(spark, sf_dir):
-    return AR.most_anomalous_sensor(layers(spark, sf_dir).anomalies)
+    return AR.most_anomalous_sensor(kept_layers(spark, sf_dir).anomalies)
 
 
 @query("max_anomaly")
 def _amax(spark, sf_dir):
-    return AR.max_anomaly(layers(spark, sf_dir).anomalies)
+    return AR.max_anomaly(kept_layers(spark, sf_dir).anomalies)
 
 
 @query("anomaly_headline")
 def _ahead(spark, sf_dir):
-    return AR.anomaly_headline(layers(spark, sf_dir).scored)
+    return AR.anomaly_headline(kept_layers(spark, sf_dir).scored)
 
 
 # ---- health roll-ups (Silver, and deduped Bronze where scores vary) --------------
@@ -334,7 +361,7 @@ RUN_LATEST = ("20240201_000000", "2024-02-01 00:00:00", _DEFAULT, "prefer_value"
 
 
 def run_layers(spark, sf_dir, run=RUN_LATEST) -> L.Layers:
-    return layers(spark, sf_dir, cfg=run[2], order=run[3], materialize=True)
+    return kept_layers(spark, sf_dir, cfg=run[2], order=run[3])
 
 
 def run_report(spark, sf_dir, run=RUN_LATEST, ly: L.Layers | None = None):
@@ -344,19 +371,6 @@ def run_report(spark, sf_dir, run=RUN_LATEST, ly: L.Layers | None = None):
                              run_id, at, cfg, step_seconds=1)
 
 
-# Tables that several queries of one application read, written once: (application, folder, name) -> path.
-_STORED: dict[tuple[str, str, str], str] = {}
-
-
-def stored_once(spark, sf_dir, name, write: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        path = shared_dir(spark, name)
-        write(path)
-        _STORED[key] = path
-    return _STORED[key]
-
-
 REPORT_SCHEMA = ("run_id string, layer string, table_name string, check_name string, metric_value double, "
                  "threshold double, status string, checked_at timestamp_ntz")
 
@@ -377,7 +391,7 @@ def _qr(spark, sf_dir):
 def _layer_checks(layer):
     def checks(spark, sf_dir):
         run_id, at, cfg, order = RUN_LATEST
-        ly = layers(spark, sf_dir, cfg=cfg, order=order, materialize=layer != "bronze")
+        ly = kept_layers(spark, sf_dir, cfg=cfg, order=order)
         frames = {k: getattr(ly, k) for k in QR.CHECKED[layer]}
         return QR.layer_report(layer, frames, run_id, at, cfg, step_seconds=1)
     return checks
@@ -431,7 +445,7 @@ def _qp(spark, sf_dir):
 
 @query("row_flow")
 def _flow(spark, sf_dir):
-    ly = layers(spark, sf_dir, materialize=True)
+    ly = kept_layers(spark, sf_dir)
     return SM.row_flow(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies)
 
 
@@ -439,14 +453,13 @@ def _flow(spark, sf_dir):
 def _findings(spark, sf_dir):
     run_id, at, cfg, _ = RUN_LATEST
     ly = run_layers(spark, sf_dir, RUN_LATEST)
-    # one row, counted once for the report and the findings
-    counts = QR.layer_counts(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies, cfg).checkpoint(eager=True)
+    counts = QR.layer_counts(ly.bronze, ly.silver, ly.hourly, ly.daily, ly.anomalies, cfg)
     return SM.key_findings(counts, ly.daily, ly.anomalies, QR.report_rows(counts, run_id, at, cfg), cfg)
 
 
 @query("dash_hourly_trend")
 def _dht(spark, sf_dir):
-    hourly = layers(spark, sf_dir).hourly
+    hourly = kept_layers(spark, sf_dir).hourly
     path = stored_once(spark, sf_dir, "hourly",
                        lambda p: T.write_partitioned(hourly, p, T.LAYOUTS["gold_hourly_stats"]))
     return SM.dash_hourly_trend(T.read_as(spark, path, hourly), 7)
@@ -459,7 +472,7 @@ def _dhh(spark, sf_dir):
 
 @query("dash_anomaly_points")
 def _dap(spark, sf_dir):
-    return SM.dash_anomaly_points(layers(spark, sf_dir).anomalies)
+    return SM.dash_anomaly_points(kept_layers(spark, sf_dir).anomalies)
 
 
 @query("dash_drop_rate")
@@ -560,7 +573,7 @@ def _properties(spark, sf_dir):
 @query("anomaly_summary_sql")
 def _asum_sql(spark, sf_dir):
     """Which machines have anomalies in more than one sensor type, asked in SQL of the library's summary."""
-    AR.anomaly_summary(layers(spark, sf_dir).scored).createOrReplaceTempView("anomaly_summary")
+    AR.anomaly_summary(kept_layers(spark, sf_dir).scored).createOrReplaceTempView("anomaly_summary")
     return spark.sql("""
         SELECT machine_id, COUNT(*) AS sensor_types, SUM(anomaly_count) AS anomalies, MAX(max_z_score) AS highest_z
         FROM anomaly_summary WHERE anomaly_count > 0
