@@ -443,3 +443,22 @@ register("anomaly_summary_sql", """SELECT machine_id, COUNT(*) AS sensor_types,
 register("dash_health_heatmap_wide", "SELECT machine_id, " + ", ".join(
     f"MAX(health_score_pct) FILTER (WHERE \"date\" = DATE '2024-01-{d:02d}') AS \"2024-01-{d:02d}\""
     for d in range(1, 31)) + " FROM daily_bronze GROUP BY machine_id")
+
+# ---- rule masks, repeated runs, rewritten days, listings ------------------------------
+_FAILS = [f"NOT COALESCE({r}, FALSE)" for _, r in RULES]
+_MASKED = "SELECT " + ", ".join(f"({f}) AS f{i}" for i, f in enumerate(_FAILS)) + " FROM deduped"
+register("rule_failure_masks", "SELECT CAST(" + " + ".join(f"{1 << i} * CAST(f{i} AS BIGINT)" for i in range(len(RULES)))
+         + " AS BIGINT) AS mask, concat_ws('; ', " + ", ".join(f"CASE WHEN f{i} THEN '{n}' END" for i, (n, _) in enumerate(RULES))
+         + ") AS failed_rules, CAST(" + " + ".join(f"CAST(f{i} AS INTEGER)" for i in range(len(RULES)))
+         + f" AS INTEGER) AS rules_failed, COUNT(*) AS records FROM ({_MASKED}) m GROUP BY ALL")
+register("rule_overlaps", "\nUNION ALL\n".join(
+    f"SELECT '{RULES[i][0]}' AS rule_a, '{RULES[j][0]}' AS rule_b, COUNT(*) FILTER (WHERE f{i}) AS failed_a, "
+    f"COUNT(*) FILTER (WHERE f{j}) AS failed_b, COUNT(*) FILTER (WHERE f{i} AND f{j}) AS failed_both FROM ({_MASKED}) m{i}{j}"
+    for i in range(len(RULES)) for j in range(i + 1, len(RULES))))
+ORACLES["quality_report_rerun"] = ORACLES["quality_report_append"]
+register("hourly_days_rewritten", """SELECT * FROM hourly WHERE "date" <= (SELECT MAX("date") FROM hourly) - 2
+UNION ALL SELECT * FROM hourly_fa WHERE "date" > (SELECT MAX("date") FROM hourly) - 2""")
+register("table_files", "SELECT DISTINCT sensor_type, 'parquet' AS format, TRUE AS has_files, TRUE AS has_bytes FROM bronze")
+ORACLES["schema_rows"] = """SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
+  CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS data_type
+FROM (DESCRIBE """ + q("SELECT * FROM bronze") + ")"

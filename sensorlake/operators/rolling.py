@@ -40,11 +40,11 @@ from ..config import DEFAULT, PipelineConfig
 from ..functions.rounding import int_div, round_half_up
 
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Raw aggregates first, rounding in a second projection: an expression used twice
-    inside the rounding would otherwise be planned as two window functions."""
-    return df.select(*[F.col(f"`{c}`") for c in cols],
-                     round_half_up(F.col("_ravg"), 4).alias("rolling_avg"),
-                     round_half_up(F.col("_rstd"), 4).alias("rolling_stddev"))
+    """Raw aggregates first, rounding in a second step: an expression used twice inside the
+    rounding would otherwise be planned as two window functions. As rows of a generator the
+    rounded values are computed once: a filter on the z-score can't take their formulas along."""
+    both = F.struct(round_half_up(F.col("_ravg"), 4).alias("rolling_avg"), round_half_up(F.col("_rstd"), 4).alias("rolling_stddev"))
+    return df.select(*[F.col(f"`{c}`") for c in cols], F.inline(F.array(both)))
 
 
 def _with_z(df: DataFrame, cfg: PipelineConfig) -> DataFrame:

@@ -16,17 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
-from ..functions.predicates import anomaly_rules, daily_rules, hourly_rules
-from ..operators.expectations import expectation_metrics
+from ..functions.predicates import anomaly_rules, daily_rules, drop_rules, hourly_rules
+from ..operators.expectations import expectation_metrics, failure_mask, mask_histogram, mask_metrics
 from ..session import scratch_dir
-from ..sources.tables import LAYOUTS, append, publish, read_as, write_partitioned
+from ..sources.tables import LAYOUTS, append_run, publish, read_as, write_partitioned
 from . import layers as L
 from .quality import quality_report
 
 RULE_METRICS = "rule_metrics"
 
 
-#: What each published table is and who reads it.
+#: What each published table is and who reads it. The quality and consumer properties.
 ABOUT = {
     "bronze_sensors": ("Raw sensor readings as they came in.", {"quality": "bronze"}),
     "silver_sensors": ("Readings without duplicates, nulls and out-of-range values.", {"quality": "silver"}),
@@ -40,17 +40,17 @@ ABOUT = {
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder of this application; all of them are removed when the driver ends."""
+    """A fresh folder of this application; all of them are removed when the driver ends (not if it is killed)."""
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def run_pipeline(spark: SparkSession, source: DataFrame | str, warehouse: str, run_id: str, checked_at: str,
                  cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed", database: str | None = None) -> dict:
-    """Write all layers under ``warehouse`` and append the run's quality and rule rows.
+    """Write all layers under ``warehouse`` and add the run's quality and rule rows (a repeated run replaces its own).
 
     ``source`` is a DataFrame or the name of a catalog table. With ``database`` the
     five layers are also catalog tables there, with comment and properties. The
-    rule failures of the run are appended to the ``rule_metrics`` table, counted
+    rule failures of the run are added to the ``rule_metrics`` table, counted
     from the stored layers (counters that ride along with a write may count the
     rows of a repeated task again). Returns the table paths.
     """
@@ -70,7 +70,12 @@ def run_pipeline(spark: SparkSession, source: DataFrame | str, warehouse: str, r
 
     # a Bronze task's rows have few sensor types: written without a shuffle
     bronze = put(t.bronze, L.bronze_ingest(source, cfg), rebalance=False)
-    silver = put(t.silver, L.silver_clean(bronze, cfg, audit_time=True))
+    # deduplicated once, with each row's rule failures, for Silver and for the counts
+    masked = L.deduplicated(bronze, cfg).withColumn("_failures", failure_mask(drop_rules(cfg)))
+    store = shared_dir(spark, "deduplicated")
+    masked.write.parquet(store)
+    masked = read_as(spark, store, masked)
+    silver = put(t.silver, masked.filter("_failures = 0").drop("_failures").withColumn("_silver_processed_at", F.current_timestamp()))
 
     def gold(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return put(name, build().withColumn("_gold_processed_at", F.current_timestamp()))
@@ -83,17 +88,17 @@ def run_pipeline(spark: SparkSession, source: DataFrame | str, warehouse: str, r
                    pool.submit(gold, t.anomalies, lambda: L.gold_anomalies(silver, cfg, strategy))]
         hourly, daily, anomalies = [f.result() for f in futures]
 
-    append(quality_report(bronze, silver, hourly, daily, anomalies, run_id, checked_at, cfg), paths[t.quality])
-    append(rule_failures(bronze, hourly, daily, anomalies, cfg).withColumn("run_id", F.lit(run_id)), paths[RULE_METRICS])
+    append_run(quality_report(bronze, silver, hourly, daily, anomalies, run_id, checked_at, cfg), paths[t.quality])
+    append_run(rule_failures(masked, hourly, daily, anomalies, cfg).withColumn("run_id", F.lit(run_id)), paths[RULE_METRICS])
     return {"paths": paths, "tables": dict(zip((t.bronze, t.silver, t.hourly, t.daily, t.anomalies),
                                                (bronze, silver, hourly, daily, anomalies), strict=True))}
 
 
-def rule_failures(bronze: DataFrame, hourly: DataFrame, daily: DataFrame, anomalies: DataFrame,
+def rule_failures(masked: DataFrame, hourly: DataFrame, daily: DataFrame, anomalies: DataFrame,
                   cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Failure counts of every rule of Silver (drop) and the Gold tables (warn)."""
+    """Failure counts of every rule of Silver (drop; ``masked`` holds the masks) and the Gold tables (warn)."""
     t = cfg.tables
-    parts = [L.silver_rule_metrics(bronze, cfg),
+    parts = [mask_metrics(mask_histogram(masked, "_failures"), drop_rules(cfg), t.silver, "drop"),
              expectation_metrics(hourly, hourly_rules(), t.hourly, "warn"),
              expectation_metrics(daily, daily_rules(cfg), t.daily, "warn"),
              expectation_metrics(anomalies, anomaly_rules(cfg), t.anomalies, "warn")]

@@ -16,7 +16,8 @@ from ..config import DEFAULT as _DEFAULT
 from ..config import FIXTURE
 from ..functions.predicates import anomaly_rules, daily_rules, drop_rules, hourly_rules
 from ..operators import dedup as D
-from ..operators.expectations import expectation_metrics, failing_rows
+from ..operators.expectations import (expectation_metrics, failing_rows, failure_mask, failure_masks,
+                                       mask_histogram, rule_overlaps)
 from ..sources import tables as T
 from . import anomaly_report as AR
 from . import explore as X
@@ -43,6 +44,8 @@ def layers(spark: SparkSession, sf_dir: str, **kw) -> L.Layers:
 
 # Tables that several queries of one application read, written once: (application, folder, name) -> path.
 _STORED: dict[tuple[str, str, str], str] = {}
+#: The layers that read them, by session, application, folder and configuration.
+_LAYERS: dict[tuple, L.Layers] = {}
 
 
 def stored_once(spark, sf_dir, name, write: Callable[[str], None]) -> str:
@@ -57,6 +60,9 @@ def stored_once(spark, sf_dir, name, write: Callable[[str], None]) -> str:
 def kept_layers(spark: SparkSession, sf_dir: str, cfg=FIXTURE, order: str | None = None) -> L.Layers:
     """Layers that are written once per application, as tables, and read back by every query: one dedup and one pass of
     each rolling window, however many reports are made of them. Only thresholds may differ between configurations."""
+    seen = (id(spark), spark.sparkContext.applicationId, sf_dir, cfg, order)
+    if seen in _LAYERS:
+        return _LAYERS[seen]
     run = f"{order or cfg.dedup_order}-{cfg.anomaly.preceding}-{cfg.anomaly.bucket_rows}"
 
     def keep(name: str, df: DataFrame) -> DataFrame:
@@ -64,6 +70,7 @@ def kept_layers(spark: SparkSession, sf_dir: str, cfg=FIXTURE, order: str | None
 
     ly = layers(spark, sf_dir, cfg=cfg, order=order, keep=keep)
     ly.bronze = keep("bronze", ly.bronze)
+    _LAYERS[seen] = ly
     return ly
 
 
@@ -250,6 +257,22 @@ def _drop_metrics(spark, sf_dir):
     return L.silver_rule_metrics(layers(spark, sf_dir).bronze, FIXTURE)
 
 
+def _mask_histogram(spark, sf_dir):
+    ly = layers(spark, sf_dir)
+    rules = drop_rules(ly.cfg)
+    return mask_histogram(ly.deduped.select(failure_mask(rules).alias("mask"))), rules
+
+
+@query("rule_failure_masks")
+def _masks(spark, sf_dir):
+    return failure_masks(*_mask_histogram(spark, sf_dir))
+
+
+@query("rule_overlaps")
+def _overlaps(spark, sf_dir):
+    return rule_overlaps(*_mask_histogram(spark, sf_dir))
+
+
 def _warn_metrics(ly: L.Layers):
     t = ly.cfg.tables
     parts = [expectation_metrics(ly.hourly, hourly_rules(), t.hourly, "warn"),
@@ -376,10 +399,10 @@ REPORT_SCHEMA = ("run_id string, layer string, table_name string, check_name str
 
 
 def history(spark, sf_dir):
-    """The report history: both runs appended to a stored table, which the queries read."""
+    """The report history: both runs added to a stored table, which the queries read."""
     def write(path):
         for run in (RUN_PREV, RUN_LATEST):
-            T.append(run_report(spark, sf_dir, run), path)
+            T.append_run(run_report(spark, sf_dir, run), path)
     return spark.read.schema(REPORT_SCHEMA).parquet(stored_once(spark, sf_dir, "quality_history", write))
 
 
@@ -505,9 +528,49 @@ def _append(spark, sf_dir):
     return history(spark, sf_dir)
 
 
+@query("quality_report_rerun")
+def _rerun(spark, sf_dir):
+    """The latest run is repeated: it replaces its own rows."""
+    path = shared_dir(spark, "quality_history")
+    for run in (RUN_PREV, RUN_LATEST, RUN_LATEST):
+        T.append_run(run_report(spark, sf_dir, run), path)
+    return spark.read.schema(REPORT_SCHEMA).parquet(path)
+
+
+@query("hourly_days_rewritten")
+def _rewritten(spark, sf_dir):
+    """Hourly statistics of which the last two days are written anew, from readings deduplicated by arrival."""
+    hourly, again = kept_layers(spark, sf_dir).hourly, kept_layers(spark, sf_dir, order="first_arrival").hourly
+    path = shared_dir(spark, "hourly")
+    T.write_partitioned(hourly, path, T.LAYOUTS["gold_hourly_stats"])
+    newest = hourly.agg(F.max("date")).scalar()
+    T.overwrite_partitions(again.filter(F.col("date") > F.date_sub(newest, 2)), path, T.LAYOUTS["gold_hourly_stats"])
+    return T.read_as(spark, path, hourly)
+
+
+def _stored_bronze(spark, sf_dir) -> tuple[str, DataFrame]:
+    bronze = _bronze(spark, sf_dir)
+    path = stored_once(spark, sf_dir, "bronze_sensors", lambda p: T.write_partitioned(bronze, p, T.LAYOUTS["bronze_sensors"]))
+    return path, T.read_as(spark, path, bronze)
+
+
 @query("table_detail")
 def _detail(spark, sf_dir):
-    return T.partition_detail(_written(spark, sf_dir, "bronze_sensors", _bronze(spark, sf_dir)), "sensor_type")
+    path, rows = _stored_bronze(spark, sf_dir)
+    return T.partition_detail(spark, path, rows, "sensor_type")
+
+
+@query("table_files")
+def _files(spark, sf_dir):
+    """What the folder listing alone tells of a table; file counts and bytes depend on how it was written."""
+    path, _ = _stored_bronze(spark, sf_dir)
+    return T.table_detail(spark, path, ("sensor_type",)).select(
+        "sensor_type", "format", (F.col("num_files") > 0).alias("has_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"))
+
+
+@query("schema_rows")
+def _schema(spark, sf_dir):
+    return T.schema_rows(_bronze(spark, sf_dir))
 
 
 @query("pipeline_rule_metrics")
@@ -548,24 +611,32 @@ def _sample(spark, sf_dir):
 
 
 def _published(spark, sf_dir) -> str:
-    """Daily health as a catalog table; each run has a database of its own, so sessions that
-    share a catalog don't meet."""
-    path = shared_dir(spark, "published")
-    name = f"sensorlake_{path[-12:]}.gold_daily_health"
-    comment, properties = ABOUT["gold_daily_health"]
-    T.publish(layers(spark, sf_dir).daily, name, comment, properties | {"note": "it's the maintenance team's"},
-              partition_by=T.LAYOUTS["gold_daily_health"], path=f"{path}/gold_daily_health")
-    return name
+    """Daily health as a catalog table, read back by its name, with its properties, into a stored folder.
+
+    The catalog is left as it was: the database is the application's own and is dropped again.
+    """
+    def write(path):
+        database = f"sensorlake_{path[-12:]}"
+        comment, properties = ABOUT["gold_daily_health"]
+        name = f"{database}.gold_daily_health"
+        try:
+            T.publish(kept_layers(spark, sf_dir).daily, name, comment, properties | {"note": "it's the maintenance team's"},
+                      partition_by=T.LAYOUTS["gold_daily_health"], path=f"{path}/gold_daily_health")
+            spark.table(name).write.parquet(f"{path}/rows")
+            T.table_properties(spark, name, ["quality", "consumer", "note"]).write.parquet(f"{path}/properties")
+        finally:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    return stored_once(spark, sf_dir, "published", write)
 
 
 @query("publish_roundtrip")
 def _publish(spark, sf_dir):
-    return spark.table(_published(spark, sf_dir))
+    return T.read_as(spark, f"{_published(spark, sf_dir)}/rows", kept_layers(spark, sf_dir).daily)
 
 
 @query("published_properties")
 def _properties(spark, sf_dir):
-    return T.table_properties(spark, _published(spark, sf_dir), ["quality", "consumer", "note"])
+    return spark.read.parquet(f"{_published(spark, sf_dir)}/properties")
 
 
 # ---- SQL over a temp view ----------------------------------------------------------------------
@@ -580,10 +651,9 @@ def _asum_sql(spark, sf_dir):
         GROUP BY machine_id HAVING COUNT(*) > 1""")
 
 
-#: The days of the supplied events.
-HEATMAP_DATES = [f"2024-01-{d:02d}" for d in range(1, 31)]
-
-
 @query("dash_health_heatmap_wide")
 def _heat_wide(spark, sf_dir):
-    return SM.health_heatmap_wide(_daily_deduped_bronze(spark, sf_dir), HEATMAP_DATES)
+    """One column for each day that the stored table has a partition of."""
+    daily = _daily_deduped_bronze(spark, sf_dir)
+    path = stored_once(spark, sf_dir, "daily_deduped", lambda p: T.write_partitioned(daily, p, ("date",)))
+    return SM.health_heatmap_wide(T.read_as(spark, path, daily), T.partition_values(spark, path, "date"))

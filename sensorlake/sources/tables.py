@@ -7,7 +7,7 @@ that readers get partition pruning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -65,9 +65,21 @@ def write_partitioned(df: DataFrame, path: str, partition_by=(), mode: str = "ov
     writer.save(path)
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append-only history write (a report run never replaces earlier runs)."""
-    df.write.mode("append").format(fmt).save(path)
+def overwrite_partitions(df: DataFrame, path: str, partition_by, rebalance: bool = True) -> None:
+    """Replace the partition values that ``df`` has rows of, and leave the rest of the table as it is.
+
+    Running it again with the same rows changes nothing. A partition value without rows in
+    ``df`` stays; a table that isn't there yet is written whole. The files take the
+    place of the old ones when the job commits, so a job that fails leaves the table as it was.
+    """
+    w = df.hint("rebalance", *partition_by) if rebalance else df
+    w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def append_run(df: DataFrame, path: str, run: str = "run_id") -> None:
+    """Add the rows of a run to a history that is partitioned by run: a run that is repeated replaces itself,
+    never another one, so that no row counts twice."""
+    overwrite_partitions(df, path, (run,), rebalance=False)
 
 
 def publish(df: DataFrame, name: str, comment: str | None = None,
@@ -107,26 +119,45 @@ def table_properties(spark: SparkSession, name: str, keys: list[str]) -> DataFra
     return spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key").isin(keys))
 
 
-def table_detail(df: DataFrame) -> DataFrame:
-    """Format, file count and bytes of a file-based table.
+def file_listing(spark: SparkSession, path: str, partition_by=()) -> DataFrame:
+    """One row per data file of a folder table: its partition values (as text), path and bytes.
+
+    A listing of the folder: no file is opened, however many rows the table has.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
+        .load(path).select("path", "length")
+
+    def value(column: str) -> Column:
+        raw = F.regexp_extract("path", f"/{column}=([^/]*)/", 1)
+        # folder names escape special characters only; a plus sign is a plus sign
+        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).alias(column)
+
+    return files.select(*[value(c) for c in partition_by], F.col("path"), F.col("length").alias("bytes"))
+
+
+def table_detail(spark: SparkSession, path: str, partition_by=()) -> DataFrame:
+    """Format, file count and bytes of a folder table, or of each of its partition values, from the listing."""
+    files = file_listing(spark, path, partition_by)
+    return files.groupBy(*partition_by).agg(F.lit("parquet").alias("format"), F.count(F.lit(1)).alias("num_files"),
+                                            F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("size_in_bytes"))
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column that the table has, in order (NULL left out), from the listing."""
+    found = file_listing(spark, path, (column,)).select(column).distinct().collect()
+    return sorted(r[0] for r in found if r[0] is not None)
+
+
+def partition_detail(spark: SparkSession, path: str, rows: DataFrame, *partition_by: str) -> DataFrame:
+    """Per partition value of a folder table: format, rows, and whether it has files and bytes.
 
-    Reads only the hidden file metadata column; the per-file rows collapse in
-    a partial aggregate, so no data column is scanned or shuffled.
+    Rows are counted by the partition value alone (no column is read); files come from the listing.
     """
-    files = df.select(F.col("_metadata.file_path").alias("p"),
-                      F.col("_metadata.file_size").alias("s")).distinct()
-    return files.agg(F.lit("parquet").alias("format"),
-                     F.count(F.lit(1)).alias("num_files"),
-                     F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("size_in_bytes"))
-
-
-def partition_detail(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Per partition value of a file-based table: format, rows, and whether it has files and bytes."""
-    files = df.select(*partition_by, F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-    per_file = files.groupBy(*partition_by, "p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
-    return per_file.groupBy(*partition_by).agg(
-        F.lit("parquet").alias("format"), F.sum("n").alias("row_count"),
-        (F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("s") > 0).alias("has_bytes"))
+    counted = rows.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("row_count"))
+    files = table_detail(spark, path, partition_by).withColumnsRenamed({c: f"_{c}" for c in partition_by})
+    same = [counted[c].cast("string").eqNullSafe(files[f"_{c}"]) for c in partition_by]
+    return counted.join(files, same).select(*partition_by, "format", "row_count", (F.col("num_files") > 0).alias("has_files"),
+                                            (F.col("size_in_bytes") > 0).alias("has_bytes"))
 
 
 def row_and_column_count(df: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 """Write layouts, append history, publish with properties, table detail."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from sensorlake.config import DEFAULT
 from sensorlake.plans import quality as QR
@@ -30,12 +33,109 @@ def test_publish_sets_comment_and_properties(spark):
     assert spark.table("sensors_test.gold_daily_health").count() == ly.daily.count()
 
 
-def test_table_detail_counts_files(spark):
+def _walk(path):
+    local = path.removeprefix("file:")
+    return [os.path.join(d, f) for d, _, names in os.walk(local) for f in names if f.endswith(".parquet")]
+
+
+def test_table_detail_is_the_folder_listing(spark):
+    path = shared_dir(spark, "t-odd")
+    rows = [("a b", 1), ("x+y", 2), ("50%", 3), ("ü/z", 4), (None, 5), ("a b", 6)]
+    T.write_partitioned(spark.createDataFrame(rows, "sensor_type string, n int"), path, ("sensor_type",))
+    files = _walk(path)
+    all_ = T.table_detail(spark, path)
+    assert "FileScan parquet" not in all_._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in all_._jdf.queryExecution().executedPlan().toString()
+    d = all_.first()
+    assert (d.format, d.num_files, d.size_in_bytes) == ("parquet", len(files), sum(map(os.path.getsize, files)))
+    per = {r.sensor_type: r.num_files for r in T.table_detail(spark, path, ("sensor_type",)).collect()}
+    assert set(per) == {"a b", "x+y", "50%", "ü/z", None} and sum(per.values()) == len(files)
+    assert T.partition_values(spark, path, "sensor_type") == sorted(["a b", "x+y", "50%", "ü/z"])
+    detail = T.partition_detail(spark, path, spark.read.schema("sensor_type string, n int").parquet(path), "sensor_type")
+    assert {(r.sensor_type, r.row_count, r.has_files, r.has_bytes) for r in detail.collect()} == {
+        ("a b", 2, True, True), ("x+y", 1, True, True), ("50%", 1, True, True), ("ü/z", 1, True, True), (None, 1, True, True)}
+
+
+def test_only_the_given_partitions_are_overwritten(spark):
+    path = shared_dir(spark, "t-days")
+    day = lambda *rows: spark.createDataFrame(rows, "date string, n int")
+    T.overwrite_partitions(day(("d1", 1), ("d2", 2), ("d3", 3)), path, ("date",))
+    before = {f for f in _walk(path) if "date=d1" in f}
+    for _ in range(2):  # again changes nothing
+        T.overwrite_partitions(day(("d2", 20), ("d2", 21), ("d4", 4)), path, ("date",))
+        got = sorted(tuple(r) for r in spark.read.schema("n int, date string").parquet(path).collect())
+        assert got == [(1, "d1"), (3, "d3"), (4, "d4"), (20, "d2"), (21, "d2")]
+    assert before == {f for f in _walk(path) if "date=d1" in f}
+    T.overwrite_partitions(day(("d1", 1)).limit(0), path, ("date",))
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_a_repeated_run_replaces_itself(spark):
+    path = shared_dir(spark, "t-runs")
+    run = lambda i, n: spark.range(n).withColumn("run_id", F.lit(i))
+    for i, n in (("r1", 15), ("r2", 15), ("r1", 15), ("r2", 3)):
+        T.append_run(run(i, n), path)
+    assert {(r.run_id, r["count"]) for r in spark.read.parquet(path).groupBy("run_id").count().collect()} == {("r1", 15), ("r2", 3)}
+
+
+def test_each_written_layer_has_one_audit_time_of_the_run(spark):
     ly = Layers.from_testdata(spark, SF)
-    path = shared_dir(spark, "t-bronze")
-    T.write_partitioned(ly.bronze, path, ("sensor_type",))
-    d = T.table_detail(spark.read.parquet(path)).first()
-    assert d.num_files >= 3 and d.size_in_bytes > 0 and d.format == "parquet"
+    begin = spark.range(1).select(F.current_timestamp()).first()[0]
+    out = run_pipeline(spark, ly.bronze, shared_dir(spark, "t-audit"), "r1", "2024-01-01 00:00:00", ly.cfg)
+    end = spark.range(1).select(F.current_timestamp()).first()[0]
+    last = begin
+    for name, column in (("bronze_sensors", "_ingested_at"), ("silver_sensors", "_silver_processed_at"), ("gold_hourly_stats", "_gold_processed_at"),
+                         ("gold_daily_health", "_gold_processed_at"), ("gold_anomalies", "_gold_processed_at")):
+        stamps = [r[0] for r in out["tables"][name].select(column).distinct().collect()]
+        assert len(stamps) == 1 and last <= stamps[0] <= end
+        last = stamps[0] if name != "gold_hourly_stats" and not name.startswith("gold") else last
+
+
+def test_queries_leave_the_catalog_as_it_was(spark):
+    from sensorlake.plans.registry import QUERIES
+    names = lambda: sorted(r[0] for r in spark.sql("SHOW DATABASES").collect())
+    before = names()
+    assert QUERIES["publish_roundtrip"](spark, SF).count() == QUERIES["gold_daily_health"](spark, SF).count()
+    assert QUERIES["published_properties"](spark, SF).count() == 3 and names() == before
+
+
+def test_heatmap_has_the_days_of_the_data(spark, tmp_path):
+    from sensorlake.plans.registry import QUERIES
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    later = events.withColumn("ts", (F.col("ts") + F.expr("INTERVAL '400' DAY")).cast(dict(events.dtypes)["ts"])).orderBy("event_id").limit(30) \
+        .withColumn("event_id", F.col("event_id") + 1_000_000)
+    events.orderBy("event_id").limit(300).unionByName(later).write.parquet(f"{tmp_path}/events.parquet")
+    wide = QUERIES["dash_health_heatmap_wide"](spark, str(tmp_path))
+    days = {str(r[0]) for r in QUERIES["daily_health_deduped_bronze"](spark, str(tmp_path)).select("date").distinct().collect()}
+    assert set(wide.columns) == days | {"machine_id"} and any(d > "2025" for d in days)
+
+
+def test_stored_layers_start_no_job_for_reports(spark):
+    from sensorlake.plans.registry import QUERIES
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    reports = ("row_flow", "quality_report", "key_findings", "expect_warn_metrics", "anomaly_summary")
+    for name in reports:
+        QUERIES[name](spark, SF)  # the layers are stored with the first
+    before = jobs()
+    plans = [QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString() for name in reports]
+    assert jobs() == before and all("ExistingRDD" not in p and "events.parquet" not in p for p in plans)
+
+
+def test_rule_masks(spark):
+    from sensorlake.operators.expectations import expectation_metrics, failure_mask, failure_masks, mask_histogram, rule_overlaps
+    df = spark.createDataFrame([(1, 1), (-1, 1), (None, 1), (-1, None), (5, -2)], "a int, b int")
+    rules = [("a > 0", F.col("a") > 0), ("b > 0", F.col("b") > 0), ("a < 5", F.col("a") < 5)]
+    hist = mask_histogram(df.select(failure_mask(rules).alias("mask")))
+    got = {r.mask: (r.failed_rules, r.rules_failed, r.records) for r in failure_masks(hist, rules).collect()}
+    assert got == {0: ("", 0, 1), 1: ("a > 0", 1, 1), 5: ("a > 0; a < 5", 2, 1), 3: ("a > 0; b > 0", 2, 1), 6: ("b > 0; a < 5", 2, 1)}
+    both = {(r.rule_a, r.rule_b): (r.failed_a, r.failed_b, r.failed_both) for r in rule_overlaps(hist, rules).collect()}
+    assert both == {("a > 0", "b > 0"): (3, 2, 1), ("a > 0", "a < 5"): (3, 2, 1), ("b > 0", "a < 5"): (2, 2, 1)}
+    m = expectation_metrics(df, rules, "t").collect()
+    assert [(r.failed_records, r.input_records, r.dropped_records) for r in m] == [(3, 5, 4), (2, 5, 4), (2, 5, 4)]
+    none = expectation_metrics(df.limit(0), rules, "t").collect()
+    assert [(r.failed_records, r.input_records, r.dropped_records) for r in none] == [(0, 0, 0)] * 3
+    with pytest.raises(ValueError, match="63"):
+        failure_mask(rules * 22)
 
 
 def test_pipeline_run_and_two_appends_make_two_runs(spark):
