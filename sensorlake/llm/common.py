@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import pickle
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the text 'null'."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("null")).cast("binary")) % n
@@ -86,6 +95,20 @@ def excerpt(text: Column, hashed: Column, most: int) -> Column:
     return F.when(F.octet_length(text) <= most, text).when(passage.rlike(r"\p{L}") | (first == ""), passage).otherwise(first)
 
 
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object | None:
+    """What ``fit`` makes of a bounded sample, in one task; only the fitted model comes to the driver.
+
+    None for a sample without rows.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held)))], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0].model) if found else None
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
                 max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut and join Arrow batches so that each holds about ``max_bytes`` of text."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, crc_mod, excerpt, smallest, table, text_blocks
+from .common import Words, crc_mod, excerpt, fitted, smallest, table, text_blocks
 
 SAMPLE = 2500
 SAMPLE_BYTES = 32 << 10
@@ -355,21 +355,26 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataF
     known = known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = smallest(known.withColumn("h", F.xxhash64("doc_id")), per_label, "h", ["toxic"]).drop("h")
     # two labels of at most SAMPLE rows
-    return rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]) \
-        .withColumn("text", excerpt(F.col("text"), F.xxhash64("text"), SAMPLE_BYTES))
+    # of an id with several texts, the same one in every run
+    return rows.join(F.broadcast(chosen), "doc_id").withColumn("text", excerpt(F.col("text"), F.xxhash64("text"), SAMPLE_BYTES)) \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> Model | None:
-    found = sorted(sample(docs, labels, per_label).select("doc_id", "text", "toxic").collect())
-    toxic = np.array([r.toxic == 1 for r in found], bool)
-    if not toxic.any():
-        return None
-    words = Words(pa.array([r.text for r in found], pa.string()))
-    # near copies would make any word of theirs look like evidence
-    one = np.unique(families(words) * 2 + toxic, return_index=True)[1]
-    words, toxic = Words(pa.array([found[k].text for k in one], pa.string())), toxic[one]
-    label = marked(words, toxic)
-    return fit(words, label) if label.any() else None
+    def learn(table: pa.Table) -> Model | None:
+        found = sorted(zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), table.column("toxic").to_pylist(),
+                           strict=True))
+        toxic = np.array([r[2] == 1 for r in found], bool)
+        if not toxic.any():
+            return None
+        words = Words(pa.array([r[1] for r in found], pa.string()))
+        # near copies would make any word of theirs look like evidence
+        one = np.unique(families(words) * 2 + toxic, return_index=True)[1]
+        words, toxic = Words(pa.array([found[k][1] for k in one], pa.string())), toxic[one]
+        label = marked(words, toxic)
+        return fit(words, label) if label.any() else None
+
+    return fitted(sample(docs, labels, per_label).select("doc_id", "text", "toxic"), learn)
 
 
 def tag(docs: DataFrame, model: Model | None) -> DataFrame:

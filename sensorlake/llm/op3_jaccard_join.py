@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, copies_joined, salted_max, stored, table, text_blocks
+from .common import Words, copies_joined, fresh, salted_max, stored, table, text_blocks
 from .graph import components
 
 RUN = 5
@@ -332,13 +332,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component: that with the least doc_id; of equal rows one."""
     kept = stored(join(docs).filter("kept").groupBy("doc_id", "h").agg(F.count("*").alias("copies")), "kept")
-    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
-    same = lambda k: rows["doc_id"].eqNullSafe(k["doc_id"]) & (rows["__text_hash"] == k["h"])
-    single = kept.filter("copies = 1")
-    out = rows.join(single, same(single), "left_semi").drop("__text_hash")
-    # equal rows are one document
-    again = kept.filter("copies > 1")
-    if again.isEmpty():
-        return out
-    more = rows.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
+    own = fresh(docs, "text_hash")
+    rows = docs.withColumn(own, F.xxhash64("text"))
+    same = lambda k: rows["doc_id"].eqNullSafe(k["doc_id"]) & (rows[own] == k["h"])
+    single, again = kept.filter("copies = 1"), kept.filter("copies > 1")
+    out = rows.join(single, same(single), "left_semi").drop(own)
+    # equal ids and texts are one document: the least by the other columns that can be ordered
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = F.struct(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    more = rows.join(again, same(again), "left_semi").groupBy("doc_id", own).agg(F.min_by(whole, least).alias("_row")).select("_row.*")
     return out.unionByName(more)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _LOWER, crc_mod, excerpt, smallest, stored, table, text_blocks, utf8
+from .common import _LOWER, crc_mod, excerpt, fitted, fresh, smallest, stored, table, text_blocks, utf8
 
 BINS = 8192
 SAMPLE = 400
@@ -40,6 +40,8 @@ ROWS = 2048
 TOTAL = 256 * SAMPLE
 AMBIGUOUS = 0.2
 UNKNOWN = "und"
+#: Share of the decoding that the best language has at least where the stage keeps a document.
+DECIDED = 0.5
 OUT = "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
 #: Texts whose n-grams are counted at once.
 TEXTS = 256
@@ -186,18 +188,16 @@ def train(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
                         langs.slice(k, 1), pa.array([at.astype("<u2").tobytes()]), pa.array([x[at].tobytes()])],
                         names=["lang", "at", "x"])
 
-    found = sample(docs, per_language).select("lang", "text").mapInArrow(count, "lang string, at binary, x binary").collect()
-    if not found:
-        return None
-    langs = sorted({r.lang for r in found})
-    found.sort(key=lambda r: (r.lang, bytes(r.x)))
-    number = {lang: k for k, lang in enumerate(langs)}
-    x = Sparse([(np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], np.float32)) for r in found], BINS)
-    return fit(x, np.array([number[r.lang] for r in found]), langs)
+    def learn(found: pa.Table) -> Model:
+        rows = sorted(zip(found.column("lang").to_pylist(), found.column("at").to_pylist(), found.column("x").to_pylist(), strict=True),
+                      key=lambda r: (r[0], r[2], r[1]))
+        langs = sorted({r[0] for r in rows})
+        number = {lang: k for k, lang in enumerate(langs)}
+        x = Sparse([(np.frombuffer(at, "<u2"), np.frombuffer(values, np.float32)) for _, at, values in rows], BINS)
+        return fit(x, np.array([number[r[0]] for r in rows]), langs)
 
-
-#: Columns that a stage adds while it decides; no document column begins like this.
-PREDICTED = "__predicted"
+    counted = sample(docs, per_language).select("lang", "text").mapInArrow(count, "lang string, at binary, x binary")
+    return fitted(counted, learn)
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -236,17 +236,27 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs))
 
 
-def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject the documents in no language: null text or text without a letter, with a model or without."""
+def decided(names: np.ndarray, score: np.ndarray, close: np.ndarray, spoken: np.ndarray, languages: frozenset[str] | None = None) -> np.ndarray:
+    """Whether a text is clearly in one language (of ``languages``, if given): a letter, at least half of the decoded
+    share for the best language, and no second one close to it."""
+    clear = spoken & ~close & (score >= DECIDED)
+    return clear if languages is None else clear & np.isin(names.astype(str), sorted(languages))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: frozenset[str] | None = None) -> DataFrame:
+    """Reject the documents that aren't clearly in one of ``languages`` (any learned one if None): null texts, texts without a
+    letter, and those whose decoding is ambiguous or undecided. Without a model, texts with a letter are kept."""
     shared = spark.sparkContext.broadcast(train(docs))
+    letter = fresh(docs, "has_letter")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, max_bytes=1 << 20):
-            kept = batch.column(PREDICTED)
+            spoken = batch.column(letter)
+            kept = spoken
             if shared.value is not None:
-                names, _, _ = predicted(shared.value, batch.column("text"), kept)
-                kept = pa.array(names != UNKNOWN)
-            yield batch.drop_columns([PREDICTED]).filter(kept)
+                names, score, close = predicted(shared.value, batch.column("text"), spoken)
+                kept = pa.array(decided(names, score, close, spoken.to_numpy(zero_copy_only=False), languages))
+            yield batch.drop_columns([letter]).filter(kept)
 
     spoken = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn(PREDICTED, spoken).mapInArrow(run, docs.schema)
+    return docs.withColumn(letter, spoken).mapInArrow(run, docs.schema)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, stored, table, text_blocks
+from .common import Words, fresh, stored, table, text_blocks
 
 WINDOW = 10
 #: Benchmark words that one search holds in a task; a larger benchmark is searched in several.
@@ -315,9 +315,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents without any benchmark window."""
     found = search(build_index(docs), table(spark, sf_dir, "benchmark"))
     flagged = report(found).filter("contaminated").select("doc_id", "hash").distinct()
-    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(flagged["doc_id"]) & (rows["__text_hash"] == flagged["hash"])
-    return rows.join(flagged, same, "left_anti").drop("__text_hash")
+    own = fresh(docs, "text_hash")
+    rows = docs.withColumn(own, F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(flagged["doc_id"]) & (rows[own] == flagged["hash"])
+    return rows.join(flagged, same, "left_anti").drop(own)
 
 
 ORACLE = r"""

@@ -111,3 +111,23 @@ def test_decoding_equals_the_logistic_loss():
     share = np.exp(-loss) / np.exp(-loss).sum(1, keepdims=True)
     best, score, _ = model.decode(x)
     assert (best == share.argmax(1)).all() and np.allclose(score, share.max(1))
+
+
+def test_stage_decides_by_language_and_ambiguity(spark, documents):
+    rows = [(k, f"the house and the garden number {k} are old and the words are short", "en") for k in range(24)]
+    rows += [(k, f"la maison et le jardin numéro {k} sont vieux et les mots sont courts", "und") for k in range(30, 54)]
+    docs = documents([*rows, (90, "你好世界这是没有学习过的语言", "en"), (91, None, "en")])
+    kept = {r.doc_id for r in op.stage(spark, docs, "").collect()}
+    # a language may be called und: its documents are decided like others
+    assert {r[0] for r in rows} <= kept and 91 not in kept
+    only = {r.doc_id for r in op.stage(spark, docs, "", frozenset({"en"})).collect()}
+    assert {k for k in kept if k < 24} == {k for k in only if k < 54} and not any(30 <= k < 54 for k in only)
+    names, score, close = np.array(["en", "en", "fr", "en"], object), np.array([0.9, 0.55, 0.95, 0.4]), np.array([False, True, False, False])
+    spoken = np.array([True, True, True, True])
+    assert op.decided(names, score, close, spoken).tolist() == [True, False, True, False]
+    assert op.decided(names, score, close, spoken & [False, True, True, True], frozenset({"en"})).tolist() == [False] * 4
+
+
+def test_stage_leaves_columns_of_clashing_names(spark, documents):
+    docs = documents([(1, "a text"), (2, "1 2")]).withColumnRenamed("h", "Has_letter")
+    assert op.stage(spark, docs, "").columns == docs.columns

@@ -27,11 +27,14 @@ def outputs(spark):
 
 def test_each_stage_decides(spark, outputs):
     rows = [{r.doc_id: r.text for r in o.select("doc_id", "text").collect()} for o in outputs[:5]]
-    assert set(rows[0]) - set(rows[1]) == {100_000, 100_001}
+    rejected = set(rows[0]) - set(rows[1])
+    assert {100_000, 100_001} <= rejected and len(rejected) <= 3 + 0.01 * len(rows[0])
     assert all(a.columns == outputs[0].columns for a in outputs[:5])
     labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
     gone = set(rows[1]) - set(rows[2])
     assert sum(labels.get(k) == 0 for k in gone) <= 0.02 * len(rows[1])
+    toxic = {k for k in rows[1] if labels.get(k) == 1}
+    assert toxic and len(toxic & gone) >= 0.9 * len(toxic)
     # near duplicates: brute force over what the stage before kept
     sets = {k: shingles(t) for k, t in rows[2].items()}
     label = {k: k for k in sets}
