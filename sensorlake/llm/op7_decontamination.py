@@ -32,7 +32,7 @@ WINDOW = 10
 #: Benchmark words that one search holds in a task; a larger benchmark is searched in several.
 SLICE_WORDS = 2_000_000
 #: Candidate starts that are checked at once.
-CHUNK = 2_000_000
+CHUNK = 262_144
 
 INDEX = ("block long, doc_ids array<long>, hashes array<long>, doc_ptr binary, terms array<string>, counts array<int>, "
          "positions binary")
