@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import pickle
 import shutil
@@ -103,12 +105,24 @@ def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held)))], pa.binary())], names=["model"])
+            model = pickle.dumps(fit(pa.Table.from_batches(held)))
+            held.clear()
+            give_back()
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     found = sample.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(found[0].model) if found else None
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after a task that needed much of it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
                 max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut and join Arrow batches so that each holds about ``max_bytes`` of text."""
