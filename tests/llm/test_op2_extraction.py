@@ -1,6 +1,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -100,3 +101,19 @@ def test_a_table_of_long_pages_only(spark):
     got = op.extract(pages, op.train(pages)).collect()
     want = {r.page_id: article(r.html) for r in pages.collect()}
     assert any(want.values()) and np.mean([r.text == want[r.page_id] for r in got]) > 0.95
+
+
+def test_broken_pages_take_time_in_proportion():
+    forms = ['<a x="', "<a ", "<div>", "<td>", '<a x="> "', "<svg ", "</script ", "<", "&#9", "<b><div>"]
+    pages = [f * (1_000_000 // len(f)) + end for f in forms for end in ("", ">")]
+    pages += ["<i>" * 150_000 + "</p>" * 140_000, "<b><div>" + "<i>" * 150_000 + "</b>" * 140_000, "<script>" + "</script " * 100_000]
+    for page in pages:
+        start = time.process_time()
+        parse(page)
+        # a second or so; quadratic readers take minutes
+        assert time.process_time() - start < 15, page[:20]
+
+
+def test_quotes_that_do_not_close_and_long_numbers():
+    assert [t for t in parse('<p title="a>b">one</p><p title="c>two</p>').text if t] == ["one", "two"]
+    assert [t for t in parse("<p>&#" + "9" * 6000 + "; &#" + "0" * 6000 + "65; &#x" + "0" * 9 + "41;").text if t] == ["� A A"]
