@@ -14,12 +14,19 @@ grows with queries times blocks, and a task holds one block and streams queries.
 Cases: a vector that is null or holds a null or a non-finite component takes no
 part, nor does a row without vec_id; rows with the query's own vec_id are no
 candidates of it; only vectors of the query's length are; repeated candidate rows
-count each, repeated query rows once; scores that may pass 62 bits are refused;
-an empty table gives no rows; further columns are not read.
+count each, repeated query rows once; components of any finite size are ranked
+exactly, and a score that no long can hold is null; a vector whose scaled component
+passes the doubles takes no part; an empty table gives no rows; further columns are
+not read.
+
+Quantised components are whole numbers in doubles, as floor(scale * x) is. Rows are
+kept in an index block by the size of their components (2-byte, 8-byte integers, or
+doubles beyond them), so a few large vectors leave the slices of the others small.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,29 +44,44 @@ TOP = 20
 EVERY = 20
 SCALE = 64
 BLOCK_ROWS = 65_536
-#: Least significant slices of a component that only the exact step reads.
-FINE = 2
+#: Components in an index block, whatever the length of the vectors.
+BLOCK_VALUES = 64 * BLOCK_ROWS
+#: Least significant slices of a component that only the exact step reads, and the most that others read.
+FINE, COARSE = 2, 20
+#: Sizes of stored components: bytes of an integer, and the bound below which rows are stored so; doubles beyond.
+SIZES = ((2, float(1 << 15)), (8, float(1 << 61)), (0, float("inf")))
+STORED = {2: "<i2", 8: "<i8", 0: "<f8"}
 
 BLOCKS = "block int, dim int, wide int, ids binary, rows binary"
-FOUND = "query_id long, query_hash long, vec_id long, score long"
+#: A score beyond a long is ordered by ``beyond``, its signed length in bytes, and then ``big``, its bytes.
+FOUND = "query_id long, query_hash long, vec_id long, score long, beyond int, big binary"
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and floor(scale * x) of the vectors that take part."""
-    x = F.col("embedding").cast("array<double>")
-    whole: Column = ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return vectors.select(F.col("vec_id").cast("long"), x.alias("embedding")) \
-        .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(whole) \
-        .select("vec_id", F.transform("embedding", lambda v: F.floor(v * float(scale)).cast("long")).alias("vector"))
+    x = F.transform(F.col("embedding").cast("array<double>"), lambda v: v * float(scale))
+    whole: Column = ~F.exists("scaled", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    # doubles from 2^53 on are whole
+    floor = lambda v: F.when(F.abs(v) < float(1 << 53), F.floor(v).cast("double")).otherwise(v)
+    return vectors.select(F.col("vec_id").cast("long"), x.alias("scaled")) \
+        .filter(F.col("vec_id").isNotNull() & F.col("scaled").isNotNull()).filter(whole) \
+        .select("vec_id", F.transform("scaled", floor).alias("vector"))
 
 
 class Block:
-    """Rows of one length: ids in order, the exact components, slices and their complements."""
+    """Rows of one length: ids in order, the exact components (integers, or doubles that are whole),
+    slices and their complements."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, fine: int = FINE) -> None:
-        self.ids, self.rows, self.fine = ids, rows, fine
-        low = int(rows.min(initial=0))
-        coarse = (rows - low) >> fine
+        self.ids, self.rows = ids, rows
+        low, high = int(rows.min(initial=0)), int(rows.max(initial=0))
+        self.top_value = max(-low, high)
+        # large components leave more slices to the exact step
+        self.fine = fine = max(fine, (high - low).bit_length() - COARSE)
+        if rows.dtype.kind == "f":
+            coarse = (np.floor(np.ldexp(rows, -fine)) - np.floor(np.ldexp(float(low), -fine))).astype(np.int64)
+        else:
+            coarse = (rows >> fine) - (low >> fine)
         self.bits = max(1, int(coarse.max(initial=0)).bit_length())
         n, pad = len(ids), -len(ids) % 64
         flags = np.zeros(n + pad, np.uint8)
@@ -115,7 +137,9 @@ class Block:
             slack = (sum(map(abs, weights)) * ((1 << self.fine) - 1)) >> self.fine
             live = _at_least(slices, live, best - slack)
         rows = np.flatnonzero(np.unpackbits(live.view(np.uint8), bitorder="little"))
-        scores = self.rows[rows] @ vector
+        if sum(map(abs, weights)) * self.top_value >= 1 << 63:
+            return self._top_beyond(rows, weights, k)
+        scores = self.rows[rows].astype(np.int64) @ np.array(weights, np.int64)
         if len(rows) > k:
             edge = np.partition(scores, len(scores) - k)[len(scores) - k]
             rows, scores = rows[scores >= edge], scores[scores >= edge]
@@ -123,6 +147,13 @@ class Block:
         order = np.argsort(-scores, kind="stable")[:k]
         return self.ids[rows[order]], scores[order]
 
+    def _top_beyond(self, rows: np.ndarray, weights: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of the rows where scores may pass 63 bits, in integers of any size."""
+        used = [d for d, w in enumerate(weights) if w]
+        scored = ((-sum(weights[d] * int(self.rows[r, d]) for d in used), r) for r in rows.tolist())
+        best = heapq.nsmallest(k, scored)
+        return self.ids[[r for _, r in best]], np.array([-s for s, _ in best], object)
+
 
 def _kth(slices: list[np.ndarray], live: np.ndarray, k: int) -> int:
     """The k-th largest value among the live rows, from the most significant slice down."""
@@ -152,10 +183,10 @@ def _at_least(slices: list[np.ndarray], live: np.ndarray, value: int) -> np.ndar
 
 
 def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
-def build_index(vectors: DataFrame, rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
     """Blocks of quantised vectors (block, dim, ids and components as bytes), stored in the shared folder."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,31 +200,32 @@ def build_index(vectors: DataFrame, rows: int, block_rows: int = BLOCK_ROWS) ->
             ids, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
-            top = int(np.abs(x).max(initial=0))
-            if top * top * max(dim, 1) >= 1 << 62:
-                raise ValueError(f"components of up to {top}: scores may pass 62 bits")
-            wide = 2 if top < 1 << 15 else 8
-            yield pa.RecordBatch.from_arrays([
-                pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([dim], pa.int32()),
-                pa.array([wide], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
-                pa.array([x.astype(f"<i{wide}").tobytes()], pa.binary())],
-                names=["block", "dim", "wide", "ids", "rows"])
-
-    blocks = max(1, -(-rows // block_rows))
+            size, low = np.abs(x).max(axis=1, initial=0), -1.0
+            for wide, bound in SIZES:
+                some = (size >= low) & (size < bound)
+                low = bound
+                if some.any():
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([dim], pa.int32()),
+                        pa.array([wide], pa.int32()), pa.array([ids[some].tobytes()], pa.binary()),
+                        pa.array([x[some].astype(STORED[wide]).tobytes()], pa.binary())],
+                        names=["block", "dim", "wide", "ids", "rows"])
+
     return stored(vectors.repartition(blocks).mapInArrow(build, BLOCKS), "slices")
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = TOP, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The k best candidates of ``vectors`` for each of ``queries`` (both vec_id, vector)."""
+    """The k best candidates of ``vectors`` for each of ``queries`` (both vec_id, vector of whole numbers)."""
     spark = vectors.sparkSession
-    rows = vectors.count()
-    blocks = max(1, -(-rows // block_rows))
-    index = build_index(vectors, rows, block_rows)
+    vectors, queries = (d.select(F.col("vec_id").cast("long"), F.col("vector").cast("array<double>")) for d in (vectors, queries))
+    rows, values = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("vector").cast("long")), F.lit(0))).first()
+    blocks = max(1, -(-rows // block_rows), -(-values // BLOCK_VALUES))
+    index = build_index(vectors, blocks)
     # with few blocks, the queries are dealt to several tasks for each block
     parts = max(1, -(-2 * spark.sparkContext.defaultParallelism // blocks))
     sent = index.select(
         "block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"),
-        F.lit(None).cast("long").alias("vec_id"), F.array(F.col("dim").cast("long"), F.col("wide").cast("long")).alias("vector"),
+        F.lit(None).cast("long").alias("vec_id"), F.array(F.col("dim").cast("double"), F.col("wide").cast("double")).alias("vector"),
         F.concat(F.col("ids"), F.col("rows")).alias("data"))
     asked = queries.distinct().select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
@@ -210,37 +242,56 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = TOP, block_rows: int
                 if row["kind"] == 0:
                     if (row["block"], row["part"]) != now:
                         now, held = (row["block"], row["part"]), {}
-                    dim, wide = vector.tolist()
-                    held[dim] = _loaded(batch.column("data")[r].as_buffer(), dim, wide)
-                elif (row["block"], row["part"]) == now and len(vector) in held:
-                    found, scores = held[len(vector)].top(vector, row["vec_id"], k)
-                    out.append((row["vec_id"], _hash(vector), found, scores))
+                    dim, wide = (int(x) for x in vector)
+                    held.setdefault(dim, []).append(_loaded(batch.column("data")[r].as_buffer(), dim, wide))
+                elif (row["block"], row["part"]) == now:
+                    for block in held.get(len(vector), ()):
+                        found, scores = block.top(vector, row["vec_id"], k)
+                        out.append((row["vec_id"], _hash(vector), found, scores))
             if out:
                 n = [len(x[2]) for x in out]
+                parts = [_columns(x[3]) for x in out]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(np.array([x[0] for x in out], np.int64), n)),
                     pa.array(np.repeat(np.array([x[1] for x in out], np.int64), n)),
                     pa.array(np.concatenate([x[2] for x in out])),
-                    pa.array(np.concatenate([x[3] for x in out]).astype(np.int64))],
-                    names=["query_id", "query_hash", "vec_id", "score"])
+                    *(pa.concat_arrays([p[c] for p in parts]) for c in range(3))],
+                    names=["query_id", "query_hash", "vec_id", "score", "beyond", "big"])
 
     met = sent.unionByName(asked).repartition(blocks * parts, "block", "part") \
         .sortWithinPartitions("block", "part", "kind")
     found = met.mapInArrow(answer, FOUND)
-    order = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query_hash").orderBy(
+        F.desc("beyond"), F.desc("score"), F.desc("big"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def _hash(vector: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(vector.astype("<i8").tobytes()) >> 1
+    return xxhash.xxh64_intdigest(vector.astype("<f8").tobytes()) >> 1
+
+
+def _columns(scores: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """score, beyond and big: a score within a long as it is, another by its size and bytes in ascending order."""
+    n = len(scores)
+    if scores.dtype != object:
+        return pa.array(scores, pa.int64()), pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.binary())
+    longs, sizes, bytes_ = [], [], []
+    for s in scores.tolist():
+        fits = -1 << 63 <= s < 1 << 63
+        size = 0 if fits else s.bit_length() // 8 + 1
+        longs.append(s if fits else None)
+        sizes.append(size if s > 0 else -size)
+        # of negative scores the remainder above the smallest of that size
+        bytes_.append(None if fits else (s if s > 0 else s + (1 << 8 * size)).to_bytes(size, "big"))
+    return pa.array(longs, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bytes_, pa.binary())
 
 
 def _loaded(data: pa.Buffer, dim: int, wide: int) -> Block:
     raw = np.frombuffer(data, np.uint8)
-    n = len(raw) // (8 + wide * dim)
-    rows = raw[8 * n:].view(f"<i{wide}").astype(np.int64).reshape(n, dim)
-    return Block(raw[:8 * n].view(np.int64), rows)
+    n = len(raw) // (8 + (wide or 8) * dim)
+    rows = raw[8 * n:].view(STORED[wide]).reshape(n, dim)
+    return Block(raw[:8 * n].view(np.int64), rows if wide == 0 else rows.astype(np.int64))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

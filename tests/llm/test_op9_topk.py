@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -67,6 +69,30 @@ def test_odd_rows(spark):
     assert got == [(0, 1, 1, 64 * 16 + 32 * 16), (0, 2, 2, 1536), (0, 3, 2, 1536)]
     none = vectors.limit(0)
     assert op.search(none, none).count() == 0
-    with pytest.raises(Exception, match="62 bits"):
-        big = spark.createDataFrame([(1, [1 << 40, 1]), (2, [1, 1])], "vec_id long, vector array<long>")
-        op.search(big, big).collect()
+
+
+def test_large_components_are_ranked_exactly(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, rng.normal(0, 2, 8).tolist()) for k in range(120)]
+    for k, size in enumerate([5e6, -5e6, 1e12, -1e12, 3e17, 1e25, 1e300, -1e300, 2.0 ** 53, 2.0 ** 55]):
+        rows += [(200 + 4 * k + j, [size * (1 + j / 8), *rng.normal(0, 2, 7).tolist()]) for j in range(4)]
+    rows += [(300, [1e308] * 8), (320, [0.0, 1.0] * 4), (321, [0.0, 1.0] * 4), (340, [5e6] * 8), (341, [5e6] * 8)]
+    vectors = op.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    # 64 * 1e308 is no double
+    whole = [(k, [math.floor(64 * x) for x in v]) for k, v in rows if k != 300]
+    assert {r.vec_id: [int(x) for x in r.vector] for r in vectors.collect()} == dict(whole)
+    asked = [(k, v) for k, v in whole if k % 20 == 0]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in op.search(vectors, vectors.filter("vec_id % 20 = 0"), 20, 50).collect())
+    want = []
+    for q, v in asked:
+        best = sorted((-sum(a * b for a, b in zip(v, w)), k) for k, w in whole if k != q)[:20]
+        want += [(q, n + 1, k, -s if -1 << 63 <= -s < 1 << 63 else None) for n, (s, k) in enumerate(best)]
+    assert got == sorted(want, key=lambda x: x[:2])
+    assert any(x[3] is None for x in got) and any(x[3] and x[3] > 1 << 50 for x in got)
+
+
+def test_scores_beyond_a_long_keep_their_order():
+    values = sorted([s * (1 << b) + d for s in (-1, 1) for b in (62, 63, 64, 71, 72, 2000) for d in (-1, 0, 1)])
+    score, beyond, big = (c.to_pylist() for c in op._columns(np.array(values, object)))
+    keys = [(n, s if s is not None else 0, b or b"") for s, n, b in zip(score, beyond, big)]
+    assert keys == sorted(keys) and len(set(keys)) == len(set(values))
