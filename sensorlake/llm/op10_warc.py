@@ -11,9 +11,10 @@ Of records with equal payloads of at least ``least`` bytes, that with the larges
 page_id is a response and the others are revisits of it, without a payload.
 
 Cases: null html is an empty payload; payloads below ``least`` bytes are all
-responses; rows that share payload and the largest page_id are all responses; a
-null page_id is smaller than any other and written without an id; an empty table
-gives no archive rows; other columns than page_id, url and html are not read.
+responses; rows that share payload and the largest page_id are all responses, and the
+only records that share a record id (revisits name it); a null page_id is smaller than
+any other and comes back null; an empty table gives no archive rows; other columns than
+page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,23 +50,34 @@ def typed(pages: DataFrame, least: int = LEAST) -> DataFrame:
         .filter("n > 1").drop("n")
     joined = copies_joined(rows, ["digest", "size"], newest, spread="page_id")
     other = F.col("newest").isNotNull() & ~F.col("newest").eqNullSafe(F.col("page_id"))
-    return joined.select("page_id", "url", "html", "digest", "size",
-                         F.when(other, F.col("newest")).alias("refers_to"))
+    return joined.select("page_id", "url", "html", "digest", "size", F.when(other, F.col("newest")).alias("refers_to"),
+                         (F.col("newest").isNotNull() & ~other).alias("referred"))
 
 
 def _one_line(value: str) -> str:
     return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def _headers(page_id, url, digest: str, size: int, refers_to) -> tuple[bytes, bytes]:
+def _record_id(page_id: int | None, place: str | None = None) -> str:
+    """``<urn:page:7>`` of a record that others may refer to, else with its place in the archives."""
+    return f"<urn:page:{'none' if page_id is None else page_id}{':' + place if place else ''}>"
+
+
+def _page_of(record_id: str | None) -> int | None:
+    page = (record_id or "<urn:page:none>").removeprefix("<urn:page:").removesuffix(">").split(":")[0]
+    return None if page == "none" else int(page)
+
+
+def _headers(row: dict, place: str, date: str) -> tuple[bytes, bytes]:
     """The record's header and the HTTP header that its block begins with."""
+    url, digest, size, refers_to = (row[x] for x in ("url", "digest", "size", "refers_to"))
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}"]
-    lines += [] if page_id is None else [f"WARC-Record-ID: <urn:page:{page_id}>"]
+    lines += [f"WARC-Record-ID: {_record_id(row['page_id'], None if row['referred'] else place)}", f"WARC-Date: {date}"]
     lines += [] if url is None else [f"WARC-Target-URI: {_one_line(url)}"]
     lines += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response"]
     if refers_to is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
+        lines += [f"WARC-Refers-To: {_record_id(refers_to)}", f"WARC-Profile: {PROFILE}"]
     length = len(http) + (size if refers_to is None else 0)
     lines += [f"Content-Length: {length}", "", ""]
     return "\r\n".join(lines).encode(), http
@@ -77,8 +90,10 @@ def _pieces(text: pa.StringScalar, step: int) -> Iterator[memoryview]:
         yield view[at:at + step]
 
 
-def write_archives(pages: DataFrame, least: int = LEAST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Store the chunk table of all pages' records; returns it as read back."""
+def write_archives(pages: DataFrame, least: int = LEAST, chunk_bytes: int = CHUNK_BYTES,
+                   written: datetime | None = None) -> DataFrame:
+    """Store the chunk table of all pages' records, dated ``written`` (now); returns it as read back."""
+    date = (written or datetime.now(UTC)).astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, record = TaskContext.get().partitionId(), 0
@@ -86,9 +101,9 @@ def write_archives(pages: DataFrame, least: int = LEAST, chunk_bytes: int = CHUN
         held = 0
         for batch in batches:
             html = batch.column("html")
-            slim = batch.select(["page_id", "url", "digest", "size", "refers_to"]).to_pylist()
+            slim = batch.select(["page_id", "url", "digest", "size", "refers_to", "referred"]).to_pylist()
             for k, row in enumerate(slim):
-                for n, last, digest, data in _record(row, html[k], chunk_bytes):
+                for n, last, digest, data in _record(row, html[k], chunk_bytes, f"{archive}.{record}", date):
                     rows.append((archive, record, n, last, digest, data))
                     held += len(data) + 64
                     if held >= 4 * chunk_bytes:
@@ -107,9 +122,9 @@ def _chunk_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["archive", "record", "chunk", "last", "digest", "data"])
 
 
-def _record(row: dict, html: pa.StringScalar, step: int) -> Iterator[tuple[int, bool, str, bytes]]:
+def _record(row: dict, html: pa.StringScalar, step: int, place: str, date: str) -> Iterator[tuple[int, bool, str, bytes]]:
     """(chunk number, last, SHA-1 of the payload so far, bytes of the gzip member)."""
-    header, http = _headers(row["page_id"], row["url"], row["digest"], row["size"], row["refers_to"])
+    header, http = _headers(row, place, date)
     squeeze = zlib.compressobj(3, zlib.DEFLATED, 31)
     sha, n = hashlib.sha1(), 0
     out = squeeze.compress(header) + squeeze.compress(http)
@@ -166,8 +181,7 @@ class _Reader:
         whole = self.left == 0 and self.tail == b"\r\n\r\n" and self.plain.eof
         if not whole or (kind == "response" and digest != self.sha.hexdigest()):
             raise ValueError(f"damaged record {f.get('WARC-Record-ID')}")
-        number = lambda x: None if x is None else int(x.removeprefix("<urn:page:").removesuffix(">"))
-        return (number(f.get("WARC-Record-ID")), f.get("WARC-Target-URI"), kind, number(f.get("WARC-Refers-To")),
+        return (_page_of(f["WARC-Record-ID"]), f.get("WARC-Target-URI"), kind, _page_of(f.get("WARC-Refers-To")),
                 self.size, digest, kind == "response")
 
 

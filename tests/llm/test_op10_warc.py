@@ -1,5 +1,7 @@
 import gzip
 import hashlib
+import re
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,8 +70,23 @@ def test_an_archive_is_a_warc_file(pages):
                 assert fields["WARC-Payload-Digest"] == "sha1:" + hashlib.sha1(payload).hexdigest()
             else:
                 assert payload == b"" and fields["WARC-Refers-To"]
-            seen.append(fields.get("WARC-Record-ID"))
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+            seen.append((fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Refers-To")))
     assert len(seen) == len(ROWS)
+    # records that nothing refers to have ids of their own, and revisits name a response that is there
+    responses = [i for kind, i, _ in seen if kind == "response"]
+    assert {to for kind, _, to in seen if kind == "revisit"} <= set(responses)
+    shared = [i for _, i, _ in seen if ":" not in i.removeprefix("<urn:page:")]
+    assert len({i for _, i, _ in seen}) == len(seen) - len(shared) + len(set(shared))
+    assert set(shared) <= {f"<urn:page:{k}>" for k in (2, 12)}
+
+
+def test_records_are_dated_alike(pages):
+    when = datetime(2024, 2, 29, 12, 30, tzinfo=timezone(timedelta(hours=2)))
+    chunks = op.write_archives(pages, written=when)
+    for a in [r.archive for r in chunks.select("archive").distinct().collect()]:
+        data = gzip.decompress(b"".join(op.archive_bytes(chunks, a)))
+        assert set(re.findall(rb"WARC-Date: (.*?)\r\n", data)) == {b"2024-02-29T10:30:00Z"}
 
 
 def test_damage_is_noticed(pages):
