@@ -191,6 +191,9 @@ register("top_duplicate_ids", '''SELECT event_id, COUNT(*) AS "count" FROM bronz
 register("duplicate_surplus", """SELECT COUNT(*) AS total_rows, COUNT(DISTINCT event_id) AS distinct_ids,
   COALESCE(COUNT(*) - COUNT(DISTINCT event_id) - MAX(CASE WHEN event_id IS NULL THEN 1 ELSE 0 END), 0) AS surplus_rows
   FROM bronze""")
+for _name, _same in {"stored_dedup_prefer_value": "dedup_prefer_value", "stored_dedup_first_arrival": "dedup_first_arrival",
+                     "stored_duplicate_ids": "duplicate_ids", "stored_duplicate_surplus": "duplicate_surplus"}.items():
+    ORACLES[_name] = ORACLES[_same]
 register("out_of_range_rows", f"SELECT * FROM bronze WHERE {OUT_OF_RANGE}")
 register("out_of_range_rate", f"""SELECT total_rows, out_of_range_count,
   {pct('out_of_range_count', 'total_rows', 2)} AS out_of_range_pct FROM (

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 from ..config import DEFAULT, PipelineConfig
 
 
+ORDERS = ("prefer_value", "first_arrival")
+
+
 def preference(cfg: PipelineConfig, order: str) -> list[Column]:
     c = cfg.cols
     if order == "prefer_value":
@@ -26,18 +29,50 @@ def preference(cfg: PipelineConfig, order: str) -> list[Column]:
     raise ValueError(f"unknown dedup order {order!r}")
 
 
-def dedup(df: DataFrame, cfg: PipelineConfig = DEFAULT, order: str | None = None) -> DataFrame:
-    """Keep one row per event id (rows with a NULL id collapse to one row)."""
-    c = cfg.cols
-    keys = preference(cfg, order or cfg.dedup_order)
+def _preferred(df: DataFrame, cfg: PipelineConfig, order: str) -> Column:
+    """The aggregate that keeps a group's preferred row."""
+    keys = preference(cfg, order)
     ties = [f.name for f in df.schema.fields if _orderable(f.dataType)]
     rank = F.struct(*[k.alias(f"_o{i}") for i, k in enumerate(keys)], *[F.col(f"`{x}`").alias(f"_t{i}") for i, x in enumerate(ties)])
-    row = F.struct(*[F.col(f"`{x}`") for x in df.columns])
-    return (df.groupBy(F.col(c.event_id).alias("_id"))
-              .agg(F.min_by(row, rank).alias("_row"))
+    return F.min_by(F.struct(*[F.col(f"`{x}`") for x in df.columns]), rank)
+
+
+def dedup(df: DataFrame, cfg: PipelineConfig = DEFAULT, order: str | None = None) -> DataFrame:
+    """Keep one row per event id (rows with a NULL id collapse to one row)."""
+    return (df.groupBy(F.col(cfg.cols.event_id).alias("_id"))
+              .agg(_preferred(df, cfg, order or cfg.dedup_order).alias("_row"))
               .select("_row.*"))
 
 
+def fold_ids(df: DataFrame, cfg: PipelineConfig = DEFAULT, orders: tuple[str, ...] = ORDERS) -> DataFrame:
+    """One row per event id: ``id``, its number of ``copies`` and the copy that each order prefers, as a struct named
+    like the order.
+
+    Stored once, it answers every question about copies without another shuffle of the ids: ``preferred``,
+    ``copied_ids`` and ``copies_surplus`` read it. An id that holds a third of all rows is folded inside each map
+    task and is one row here, where a table bucketed by id would hold all its rows in one bucket.
+    """
+    return df.groupBy(F.col(cfg.cols.event_id).alias("id")).agg(
+        F.count(F.lit(1)).alias("copies"), *[_preferred(df, cfg, o).alias(o) for o in orders])
+
+
+def preferred(folds: DataFrame, order: str) -> DataFrame:
+    """The rows that ``dedup`` keeps, from folded ids."""
+    return folds.select(f"{order}.*")
+
+
+def copied_ids(folds: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """``duplicate_ids`` from folded ids."""
+    return folds.filter(F.col("copies") > 1).select(F.col("id").alias(cfg.cols.event_id), F.col("copies").alias("count"))
+
+
+def copies_surplus(folds: DataFrame) -> DataFrame:
+    """``duplicate_surplus`` from folded ids."""
+    total = F.coalesce(F.sum("copies"), F.lit(0))
+    return folds.agg(total.alias("total_rows"), F.count("id").alias("distinct_ids"),
+                     (total - F.count(F.lit(1))).alias("surplus_rows"))
+
+
 def _orderable(kind: T.DataType) -> bool:
     """Whether values of the type can be compared: any but maps and what holds one."""
     if isinstance(kind, T.StructType):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, FIXTURE, PipelineConfig
 from ..functions.predicates import drop_rules
 from ..operators.aggregates import daily_health, hourly_stats
-from ..operators.dedup import dedup
+from ..operators.dedup import dedup, preferred
 from ..operators.expectations import expect_all_or_drop, expectation_metrics
 from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore
 from ..sources.fixture import bronze_from_events
@@ -78,6 +78,8 @@ class Layers:
     strategy: str = "bucketed"
     #: Stores a table of a name and gives it back read from storage; without it every table is computed where it is read.
     keep: Callable[[str, DataFrame], DataFrame] | None = None
+    #: Bronze folded by id (``fold_ids``), if it is stored: one fold for every order of preference.
+    folds: DataFrame | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, cfg: PipelineConfig = FIXTURE,
@@ -90,11 +92,13 @@ class Layers:
 
     @property
     def deduped(self) -> DataFrame:
+        if self.folds is not None:
+            return preferred(self.folds, self.order or self.cfg.dedup_order)
         return deduplicated(self.bronze, self.cfg, self.order)
 
     @cached_property
     def silver(self) -> DataFrame:
-        return self._kept("silver", silver_clean(self.bronze, self.cfg, self.order))
+        return self._kept("silver", expect_all_or_drop(self.deduped, drop_rules(self.cfg)))
 
     @cached_property
     def hourly(self) -> DataFrame:

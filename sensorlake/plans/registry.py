@@ -70,10 +70,17 @@ def kept_layers(spark: SparkSession, sf_dir: str, cfg=FIXTURE, order: str | None
 
     ly = layers(spark, sf_dir, cfg=cfg, order=order, keep=keep)
     ly.bronze = keep("bronze", ly.bronze)
+    ly.folds = _folds(spark, sf_dir, ly.bronze)
     _LAYERS[seen] = ly
     return ly
 
 
+def _folds(spark, sf_dir, bronze: DataFrame) -> DataFrame:
+    """Bronze folded by id, written once per application whatever the order of preference."""
+    folds = D.fold_ids(bronze.drop(*L.BRONZE_AUDIT), FIXTURE)
+    return T.read_as(spark, stored_once(spark, sf_dir, "folded_ids", lambda path: folds.write.parquet(path)), folds)
+
+
 # ---- sources / layers ------------------------------------------------------
 
 @query("bronze_ingest")
@@ -213,6 +220,26 @@ def _surplus(spark, sf_dir):
     return D.duplicate_surplus(_bronze(spark, sf_dir))
 
 
+@query("stored_dedup_prefer_value")
+def _stored_pv(spark, sf_dir):
+    return kept_layers(spark, sf_dir, order="prefer_value").deduped
+
+
+@query("stored_dedup_first_arrival")
+def _stored_fa(spark, sf_dir):
+    return kept_layers(spark, sf_dir, order="first_arrival").deduped
+
+
+@query("stored_duplicate_ids")
+def _stored_dups(spark, sf_dir):
+    return D.copied_ids(kept_layers(spark, sf_dir).folds)
+
+
+@query("stored_duplicate_surplus")
+def _stored_surplus(spark, sf_dir):
+    return D.copies_surplus(kept_layers(spark, sf_dir).folds)
+
+
 @query("out_of_range_rows")
 def _oor_rows(spark, sf_dir):
     return X.out_of_range_rows(_bronze(spark, sf_dir))

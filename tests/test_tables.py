@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.config import DEFAULT
+from sensorlake.operators import dedup as D
 from sensorlake.plans import quality as QR
+from sensorlake.plans import registry as R
 from sensorlake.plans.layers import Layers
 from sensorlake.plans.pipeline import run_pipeline, shared_dir
 from sensorlake.sources import tables as T
@@ -253,3 +255,31 @@ def test_building_a_plan_starts_no_job(spark):
                Layers(events.bronze, events.cfg, strategy="window").scored):
         assert df.columns
     assert jobs() == before
+
+
+def _copies(make):
+    rows = [("a", "m1", "pressure", None, 1), ("a", "m1", "pressure", 2.0, 9), ("a", "m1", "pressure", 2.0, 9), ("b", "m1", "pressure", 3.0, 2),
+            (None, "m2", "pressure", 1.0, 3), (None, "m2", "pressure", None, 1), ("c", None, None, None, 4)]
+    return make(rows + [("hot", "m3", "pressure", float(k % 7), 5000 - k) for k in range(2000)])
+
+
+@pytest.mark.parametrize("order", ["prefer_value", "first_arrival"])
+def test_folded_ids_answer_as_the_rows_do(spark, readings, order):
+    for df in (_copies(readings), _copies(readings).limit(0)):
+        folds = D.fold_ids(df)
+        same = lambda a, b: sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+        assert D.preferred(folds, order).columns == df.columns
+        assert same(D.preferred(folds, order), D.dedup(df, order=order))
+        assert same(D.copied_ids(folds), D.duplicate_ids(df))
+        assert same(D.copies_surplus(folds), D.duplicate_surplus(df))
+
+
+def test_stored_folds_are_read_without_an_exchange_on_ids(spark):
+    ly = R.kept_layers(spark, SF)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(ly.deduped) and "Exchange" not in plan(D.copied_ids(ly.folds))
+    assert "Exchange hashpartitioning" not in plan(D.copies_surplus(ly.folds))
+    # only the counts of the copies are read, not the rows
+    assert "ReadSchema: struct<id:string,copies:bigint>" in plan(D.copied_ids(ly.folds))
+    # both orders read one stored fold
+    assert R.kept_layers(spark, SF, order="first_arrival").folds.inputFiles() == ly.folds.inputFiles()
