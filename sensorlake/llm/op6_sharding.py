@@ -23,6 +23,8 @@ from pyspark.sql.window import Window
 from .common import table
 
 SEED = 20260101
+#: Slots of equal rows that are given back together.
+PIECE = 65_536
 
 
 @dataclass(frozen=True)
@@ -89,13 +91,14 @@ def place(rows: DataFrame, tree: Tree, key: str = "doc_id", out: str = "shard")
     return d.withColumn(out, (base + F.col("_s")).cast("int")).drop("_r", "_k", "_s")
 
 
-def numbered(rows: DataFrame, within: str, order: list[str], buckets: int = 4096) -> DataFrame:
+def numbered(rows: DataFrame, within: str, order: list[str], buckets: int = 4096, piece: int = PIECE) -> DataFrame:
     """Add ``slot``: 0, 1, ... within each value of ``within``.
 
     Rows are dealt to hash buckets of all the ordering columns; a bucket's first
     slot is the sum of the smaller buckets' counts, so no task sees a whole shard.
     Fully equal rows are counted first and given back as a run of slots, so copies
-    of one row don't meet in one sort.
+    of one row don't meet in one sort. A run is cut into pieces of ``piece`` slots,
+    which are dealt to all tasks, so a row of any number of copies is spread.
     """
     spread = F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")
     kinds = rows.withColumn("_b", spread).groupBy(within, "_b", *order).agg(F.count("*").alias("_n"))
@@ -106,7 +109,13 @@ def numbered(rows: DataFrame, within: str, order: list[str], buckets: int = 4096
     placed = kinds.withColumn("_at", F.coalesce(F.sum("_n").over(run), F.lit(0)))
     both = placed.join(first, [within, "_b"])
     start = F.col("_first") + F.col("_at")
-    return both.select(within, *order, F.explode(F.sequence(start, start + F.col("_n") - 1)).alias("slot"))
+    last = F.floor((F.col("_n") - 1) / piece)
+    pieces = both.select(within, *order, start.alias("_from"), (start + F.col("_n") - 1).alias("_to"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_p")) \
+        .select(within, *order, (F.col("_from") + F.col("_p") * piece).alias("_from"), "_to") \
+        .repartition(within, "_from")
+    to = F.least("_to", F.col("_from") + (piece - 1))
+    return pieces.select(within, *order, F.explode(F.sequence("_from", to)).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:

@@ -89,6 +89,15 @@ def test_a_third_of_equal_rows(spark, documents):
     assert len(out) == 900 and slots == list(range(len(slots))) and len(slots) > 300
 
 
+@pytest.mark.parametrize("piece", [1, 7, 100, 300, 65_536])
+def test_long_runs_are_cut_into_pieces(spark, piece):
+    rows = [("s", 7)] * 300 + [("s", k) for k in range(100)] + [("t", 1)] * 7 + [("t", 2)] * 8
+    got = op.numbered(spark.createDataFrame(rows, "shard string, k int"), "shard", ["k"], piece=piece).collect()
+    assert collections.Counter((r.shard, r.k) for r in got) == collections.Counter(rows)
+    for shard, n in (("s", 400), ("t", 15)):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(n))
+
+
 @pytest.mark.parametrize("n", [1, 8, 9, 24, 31])
 def test_any_number_of_shards(n):
     assert op.balanced(n).shards == n and op.balanced(n).grown().shards == n + 1
