@@ -1,19 +1,29 @@
-"""Near-duplicate join on word five-grams with MinHash banding.
+"""Near-duplicate join on word five-grams by an LSH forest.
 
 A text is the set of its runs of five words (``Words``; a text of one to four words
-is one run). Each of ``TREES`` bands holds one hash of so many minima of each text, of
-its own hash functions; two texts meet in a band if all of these are equal. The number
-of minima is fixed by the constants (``prefix_length``), so that a pair at the threshold
-meets with the target recall: this is fixed banding in place of an LSH forest, whose
-prefixes are shortened by what the data shows. A pair that meets in no band, and that
-no other links join, is missed.
-
-Texts of one set are one class. Classes that meet in a trie are linked, and the
-connected components of these links are candidate groups. Within a group all pairs
-are verified by exact Jaccard similarity, in blocks of classes, each pair of blocks in
-a task of its own, so a group of any size is spread over tasks and no pair of
-documents is ever a row. A block pair gives back each class's number of linked
-documents and its least linked class; the components of those are the result.
+is one run). Each of ``TREES`` tries holds for every text a signature: ``DEEPEST``
+ordered bytes, each made from the least run under a hash function of its own. The tries
+are kept as sorted lists (``prefixes``): all signatures of a trie in order, range-sorted
+over all partitions, and for each two neighbours how many leading bytes they share. The
+texts below a trie node are then a stretch of neighbours that share the node's prefix,
+so one stored list answers every depth.
+
+Texts of one set are one class. The search starts at the deepest prefixes. Classes that
+share one in some trie are linked, and the connected components of these links are
+candidate groups. Within a group all pairs are verified by exact Jaccard similarity, in
+blocks bounded by classes and bytes, each pair of blocks in a task of its own, so a group
+of any size is spread over tasks and no pair of documents is ever a row. The similarities
+of the verified pairs, counted in bands, then say how short the prefix must be: a pair of
+similarity s shares a prefix of d bytes in some trie with chance 1 - (1 - s^d)^TREES, and
+the prefix is shortened until every band in which pairs were found is met with the target
+recall (``shortened``). Only groups that the shorter prefix changes are verified again.
+The prefix that meets pairs at the threshold itself with that recall (``prefix_length``)
+is the shortest one that can be needed. A pair may be missed with the chance that is left;
+one in a band where the deepest prefixes met no pair, with theirs (at most 0.06 at a
+similarity of 0.8), unless other links join the two.
+
+A block pair gives back each class's number of linked documents and its least linked
+class; the components of those are the result.
 
 Result, one row per document: ``class_id``, the least doc_id of its component of
 linked documents (its own if there is none); ``n_links``, the number of other
@@ -31,7 +41,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,24 +53,44 @@ THRESHOLD = 0.8
 TREES = 40
 DEEPEST = 12
 RECALL = 0.999
-#: Classes of a block; a task verifies two blocks against each other.
+#: Classes of a block, and runs of all its classes; a task verifies two blocks against each other.
 BLOCK = 512
+BLOCK_RUNS = 2_000_000
+#: Bands of similarity, from the threshold to 1, in which verified pairs are counted.
+BANDS = 8
 SEED = 11
 
-SIGNED = "doc_id long, h long, set binary, tries array<long>"
+SIGNED = "doc_id long, h long, set binary, size int, tries binary"
 SETS = "set binary, runs binary"
-VERIFIED = "set binary, links long, least binary"
+VERIFIED = "label binary, k long, set binary, links long, least binary, near array<long>"
+
+
+def chance(depth: int, similarity: float, trees: int = TREES) -> float:
+    """How likely a pair shares a prefix of ``depth`` in at least one trie."""
+    return 1 - (1 - similarity ** depth) ** trees
 
 
 def prefix_length(trees: int = TREES, threshold: float = THRESHOLD, recall: float = RECALL,
                   deepest: int = DEEPEST) -> int:
-    """Shorten the matched prefix until pairs at the threshold meet often enough."""
+    """The longest prefix at which pairs at the threshold meet often enough."""
     depth = deepest
-    while depth > 1 and 1 - (1 - threshold ** depth) ** trees < recall:
+    while depth > 1 and chance(depth, threshold, trees) < recall:
         depth -= 1
     return depth
 
 
+def shortened(depth: int, near: list[int], trees: int = TREES, threshold: float = THRESHOLD,
+              recall: float = RECALL) -> int:
+    """The longest prefix, of ``depth`` at most, that meets the pairs of each band often enough.
+
+    ``near``: verified pairs in each band; a band's pairs are taken to be as unlike as it allows.
+    """
+    seen = [k for k, n in enumerate(near) if n]
+    if not seen:
+        return depth
+    return prefix_length(trees, threshold + (1 - threshold) * seen[0] / len(near), recall, depth)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -103,93 +132,101 @@ def set_names(run: np.ndarray, ptr: np.ndarray) -> list[bytes | None]:
 
 
 def signatures(run: np.ndarray, ptr: np.ndarray, trees: int, depth: int, seed: int = SEED) -> np.ndarray:
-    """For each set and trie a hash of the signature's first ``depth`` values (sets must not be empty)."""
+    """For each set and trie the signature's ``depth`` bytes, in order (sets must not be empty)."""
     rng = np.random.default_rng(seed)
     flip = rng.integers(0, 1 << 32, (trees, depth), np.uint32)
     times = rng.integers(0, 1 << 31, (trees, depth), np.uint32) * np.uint32(2) + np.uint32(1)
     short = (_mixed(run) >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(ptr) - 1, trees), np.uint64)
+    out = np.empty((len(ptr) - 1, trees, depth), np.uint8)
     work = np.empty_like(short)
     for t in range(trees):
-        key = np.full(len(ptr) - 1, t + 1, np.uint64)
         for d in range(depth):
             np.bitwise_xor(short, flip[t, d], out=work)
             np.multiply(work, times[t, d], out=work)
-            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(work, ptr[:-1]))
-        out[:, t] = key
+            out[:, t, d] = _mixed(np.minimum.reduceat(work, ptr[:-1]).astype(np.uint64)) >> np.uint64(56)
     return out
 
 
 def signed(docs: DataFrame, trees: int, depth: int) -> DataFrame:
-    """doc_id, a hash of the text, the set's name and the tries' keys of every document, stored."""
+    """doc_id, a hash of the text, the set's name and size and the tries' signatures of every document, stored."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, max_bytes=2 << 20):
             run, ptr = runs(batch.column("text"))
-            some = np.flatnonzero(np.diff(ptr) > 0)
-            keys = np.zeros((batch.num_rows, trees), np.uint64)
+            size = np.diff(ptr)
+            some = np.flatnonzero(size > 0)
+            tries: list[bytes | None] = [None] * batch.num_rows
             if len(some):
-                keys[some] = signatures(run, np.append(ptr[some], ptr[-1]), trees, depth)
-            full = np.zeros(batch.num_rows, np.int64)
-            full[some] = trees
-            tries = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full)]).astype(np.int32)),
-                                             pa.array(keys[some].reshape(-1).view(np.int64)))
+                made = signatures(run, np.append(ptr[some], ptr[-1]), trees, depth)
+                for k, one in zip(some.tolist(), made, strict=True):
+                    tries[k] = one.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("h"), pa.array(set_names(run, ptr), pa.binary()), tries],
-                names=["doc_id", "h", "set", "tries"])
+                [batch.column("doc_id"), batch.column("h"), pa.array(set_names(run, ptr), pa.binary()),
+                 pa.array(size.astype(np.int32)), pa.array(tries, pa.binary())],
+                names=["doc_id", "h", "set", "size", "tries"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
     return stored(rows.mapInArrow(sign, SIGNED), "signatures")
 
 
-def met(classes: DataFrame) -> DataFrame:
-    """Links (u, v) between the classes of each trie's prefix.
+def shared(key: np.ndarray, tree: np.ndarray) -> np.ndarray:
+    """Leading bytes that each signature but the first shares with the one before it (another trie's: none)."""
+    differs = key[1:] != key[:-1]
+    depth = np.where(differs.any(1), differs.argmax(1), key.shape[1])
+    return np.where(tree[1:] == tree[:-1], depth, 0)
 
-    The keys are sorted over all partitions, so one prefix may spread over several:
-    within a partition each class is linked to the first with its prefix, and the
-    first ones of a partition's first and last prefix are linked by a small table.
+
+def prefixes(classes: DataFrame, trees: int, depth: int, shortest: int) -> DataFrame:
+    """Links (u, v, shared) between neighbours in the sorted tries that share ``shortest`` bytes or more, stored.
+
+    The signatures are sorted over all partitions. Each partition gives the links within
+    it and its two end rows; the ends, in the same order, give those from one partition
+    to the next.
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, head, first_key = None, None, None
-        edge: list[tuple] = []
+        last = None
         for batch in batches:
-            keys = batch.column("key").to_numpy()
-            if not len(keys):
+            if not batch.num_rows:
                 continue
-            names = batch.column("set")
-            same = np.empty(len(keys), bool)
-            same[0] = last_key is not None and keys[0] == last_key
-            same[1:] = keys[1:] == keys[:-1]
-            start = np.flatnonzero(~same)
-            if first_key is None:
-                first_key = int(keys[0])
-                edge.append((first_key, names[0].as_py()))
-            at = np.maximum.accumulate(np.where(same, -1, np.arange(len(keys))))
-            take = np.flatnonzero(same)
-            if len(take):
-                heads = pc.if_else(pa.array(at[take] < 0), pa.scalar(head, pa.binary()),
-                                   names.take(pa.array(np.maximum(at[take], 0))))
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(take), pa.int64()), names.take(pa.array(take)), heads],
-                                                 names=["key", "u", "v"])
-            last_key = int(keys[-1])
-            if len(start):
-                head = names[int(start[-1])].as_py()
-        if last_key is not None and last_key != first_key:
-            edge.append((last_key, head))
-        if edge:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in edge], pa.int64()),
-                                              pa.array([c for _, c in edge], pa.binary()), pa.nulls(len(edge), pa.binary())],
-                                             names=["key", "u", "v"])
-
-    rows = classes.select("set", F.explode("tries").alias("key"))
-    found = stored(rows.repartitionByRange("key", "set").sortWithinPartitions("key", "set")
-                   .mapInArrow(link, "key long, u binary, v binary"), "met")
-    inner = found.filter(F.col("key").isNull()).select("u", "v")
-    # at most two rows for each partition
-    ends = found.filter(F.col("key").isNotNull()).select("key", "u")
-    across = ends.join(ends.groupBy("key").agg(F.min("u").alias("v")), "key").select("u", "v")
-    return inner.unionByName(across)
+            here = pa.Table.from_batches([batch])
+            first = last is None
+            if not first:
+                here = pa.concat_tables([last, here])
+            last = here.slice(here.num_rows - 1)
+            names = here.column("set").combine_chunks()
+            key = np.frombuffer(b"".join(here.column("key").to_pylist()), np.uint8).reshape(-1, depth)
+            common = shared(key, here.column("tree").to_numpy())
+            take = np.flatnonzero(common >= shortest)
+            yield _links(names.take(pa.array(take + 1)), names.take(pa.array(take)), common[take])
+            if first:
+                yield _ends(here.slice(0, 1))
+        if last is not None:
+            yield _ends(last)
+
+    at = F.col("tree") * depth + 1
+    rows = classes.select("set", "tries", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")) \
+        .select("tree", F.substr("tries", at, F.lit(depth)).alias("key"), "set")
+    kind = "u binary, v binary, shared int, tree int, key binary"
+    found = stored(rows.repartitionByRange("tree", "key", "set").sortWithinPartitions("tree", "key", "set")
+                   .mapInArrow(link, kind), "prefixes")
+    # two rows for each partition
+    ends = found.filter(F.col("key").isNotNull()).select("tree", "key", F.col("u").alias("set"))
+    across = ends.coalesce(1).sortWithinPartitions("tree", "key", "set").mapInArrow(link, kind)
+    return found.unionByName(across).filter(F.col("key").isNull()).select("u", "v", "shared")
+
+
+def _links(u: pa.Array, v: pa.Array, common: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(u))
+    return pa.RecordBatch.from_arrays([u, v, pa.array(common.astype(np.int32)), none.cast(pa.int32()), none.cast(pa.binary())],
+                                      names=["u", "v", "shared", "tree", "key"])
+
+
+def _ends(row: pa.Table) -> pa.RecordBatch:
+    kinds = {"u": pa.binary(), "v": pa.binary(), "shared": pa.int32(), "tree": pa.int32(), "key": pa.binary()}
+    values = {"u": row.column("set")[0].as_py(), "v": None, "shared": None,
+              "tree": row.column("tree")[0].as_py(), "key": row.column("key")[0].as_py()}
+    return pa.RecordBatch.from_arrays([pa.array([values[c]], t) for c, t in kinds.items()], names=list(kinds))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -227,8 +264,10 @@ def common_runs(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return out
 
 
-def verified(group: list[tuple[int, bytes, int, bytes]], across: bool, threshold: float) -> list[tuple[bytes, int, bytes]]:
-    """(set, documents linked to it, least set of its component) of one block, or ``across`` two blocks.
+def verified(group: list[tuple[int, bytes, int, bytes]], across: bool,
+             threshold: float) -> list[tuple[bytes, int, bytes, list[int]]]:
+    """(set, documents linked to it, least set of its component, linked sets in each band) of one block,
+    or ``across`` two blocks.
 
     ``group``: (block, set, documents of the class, runs).
     """
@@ -238,11 +277,16 @@ def verified(group: list[tuple[int, bytes, int, bytes]], across: bool, threshold
     sets = [np.frombuffer(g[3], "<u8") for g in group]
     sizes = np.array([len(s) for s in sets], np.float64)
     both = common_runs(sets).astype(np.float64)
+    either = sizes[:, None] + sizes[None, :] - both
     # equality at the threshold counts: compare whole numbers, with room for the product's rounding
-    linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
+    linked = both >= threshold * either - 1e-9
     np.fill_diagonal(linked, False)
     if across:
         linked &= block[:, None] != block[None, :]
+    one, other = np.nonzero(linked)
+    above = (both[one, other] / either[one, other] - threshold) / max(1 - threshold, 1e-9)
+    band = np.clip((above * BANDS + 1e-9).astype(np.int64), 0, BANDS - 1)
+    near = np.bincount(one * BANDS + band, minlength=len(names) * BANDS).reshape(-1, BANDS)
     order = sorted(range(len(names)), key=names.__getitem__)
     place = np.empty(len(names), np.int64)
     place[order] = np.arange(len(names))
@@ -253,54 +297,101 @@ def verified(group: list[tuple[int, bytes, int, bytes]], across: bool, threshold
             break
         label = low
     links = linked @ copies
-    return [(names[k], int(links[k]), names[order[label[k]]]) for k in range(len(names))]
+    return [(names[k], int(links[k]), names[order[label[k]]], near[k].tolist()) for k in range(len(names))]
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL,
-         block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, h (hash of the text), class_id, n_links, copy_of, and ``kept``: whether it is
-    the one that stands for its component."""
-    rows = signed(docs, trees, prefix_length(trees, threshold, recall))
-    some = rows.filter(F.col("set").isNotNull())
-    first = F.struct("doc_id", "h")
-    classes = salted_max(
-        some, ["set"], [F.min(first).alias("first"), F.count("*").alias("n"), F.first("tries").alias("tries")],
-        [F.min("first").alias("first"), F.sum("n").alias("n"), F.first("tries").alias("tries")], spread="doc_id")
-    classes = stored(classes, "classes")
-
-    groups = stored(components(met(classes)), "groups")
-    size = salted_max(groups, ["label"], [F.count("*").alias("k")], [F.sum("k").alias("k")], spread="node")
-    dealt = copies_joined(groups, ["label"], size, spread="node") \
-        .withColumn("blocks", F.ceil(F.col("k") / block).cast("int")) \
-        .withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = stored(dealt.withColumnRenamed("node", "set").join(classes.select("set", "first", "n"), "set"), "members")
-    runs_of = sets_of(docs, members.select(F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")))
+def sizes_of(groups: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The groups' classes (label, set, first, n, size), stored, and each group's number of classes and runs."""
+    members = stored(groups.withColumnRenamed("node", "set").join(classes.select("set", "first", "n", "size"), "set"), "members")
+    size = salted_max(members, ["label"], [F.count("*").alias("k"), F.sum("size").alias("all_runs")],
+                      [F.sum("k").alias("k"), F.sum("all_runs").alias("all_runs")], spread="set")
+    return members, stored(size, "group-sizes")
+
+
+def verify(docs: DataFrame, members: DataFrame, size: DataFrame, threshold: float, block: int, block_runs: int) -> DataFrame:
+    """What all pairs of each group in ``size`` show (VERIFIED), stored."""
+    dealt = copies_joined(members, ["label"], size, spread="set").filter(F.col("k").isNotNull()) \
+        .withColumn("blocks", F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("all_runs") / block_runs)).cast("int")) \
+        .withColumn("b", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    dealt = stored(dealt.drop("_salts"), "dealt")
+    runs_of = sets_of(docs, dealt.select(F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")))
     # a block meets itself and every other block of its group once
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda o: F.struct(F.least("b", o).alias("i"), F.greatest("b", o).alias("j")))
-    sent = members.join(runs_of, "set").select("label", "b", "set", "n", "runs", F.explode(meets).alias("p"))
-    sent = sent.select("label", "p.i", "p.j", "b", "set", "n", "runs")
+    sent = dealt.join(runs_of, "set").select("label", "k", "b", "set", "n", "runs", F.explode(meets).alias("p"))
+    sent = sent.select("label", "k", "p.i", "p.j", "b", "set", "n", "runs")
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group, out = None, [], []
         for batch in batches:
             for row in batch.to_pylist():
-                key = (row["label"], row["i"], row["j"])
+                key = (row["label"], row["k"], row["i"], row["j"])
                 if key != now:
                     if group:
-                        out += verified(group, now[1] != now[2], threshold)
+                        out += [now[:2] + r for r in verified(group, now[2] != now[3], threshold)]
                     now, group = key, []
                 group.append((row["b"], row["set"], row["n"], row["runs"]))
             if len(out) > 5000:
                 yield _verified_batch(out)
                 out = []
         if group:
-            out += verified(group, now[1] != now[2], threshold)
+            out += [now[:2] + r for r in verified(group, now[2] != now[3], threshold)]
         if out:
             yield _verified_batch(out)
 
-    found = stored(sent.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
-                   .mapInArrow(verify, VERIFIED), "verified")
+    return stored(sent.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+                  .mapInArrow(check, VERIFIED), "verified")
+
+
+def matches(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL,
+            block: int = BLOCK, block_runs: int = BLOCK_RUNS, deepest: int = DEEPEST) -> tuple[DataFrame, list[int]]:
+    """The verified groups' rows (VERIFIED) and the prefix lengths of the rounds."""
+    shortest = prefix_length(trees, threshold, recall, deepest)
+    links = prefixes(classes, trees, deepest, shortest)
+    depths, groups, found, before = [deepest], None, None, None
+    while True:
+        edges = links.filter(F.col("shared") >= depths[-1]).select("u", "v")
+        if groups is not None:  # the links of longer prefixes are in these stars
+            edges = links.filter((F.col("shared") >= depths[-1]) & (F.col("shared") < depths[-2])).select("u", "v") \
+                .unionByName(groups.select(F.col("node").alias("u"), F.col("label").alias("v")))
+        groups = stored(components(edges), "groups")
+        members, size = sizes_of(groups, classes)
+        if before is None:
+            found = verify(docs, members, size, threshold, block, block_runs)
+        else:
+            # groups only grow: one of the same least class and size has the same classes
+            same = before.withColumnRenamed("k", "_k").select("label", "_k")
+            grown = size.join(same, (size["label"] == same["label"]) & (size["k"] == same["_k"]), "left_anti")
+            kept = copies_joined(found, ["label"], size.select("label", F.col("k").alias("_k"), "_salts"), spread="set") \
+                .filter(F.col("k") == F.col("_k")).drop("_k")
+            found = kept.unionByName(verify(docs, members, grown, threshold, block, block_runs))
+        before = size
+        near = [0] * BANDS
+        for r in found.select(F.posexplode("near").alias("band", "n")).groupBy("band").agg(F.sum("n").alias("n")).collect():
+            near[r.band] = r.n
+        depth = shortened(depths[-1], near, trees, threshold, recall)
+        if depth == depths[-1]:
+            return found, depths
+        depths.append(depth)
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """One row for each set of ``signed`` rows: its least document, number of documents, size and signatures, stored."""
+    first = F.struct("doc_id", "h")
+    return stored(salted_max(
+        rows.filter(F.col("set").isNotNull()), ["set"],
+        [F.min(first).alias("first"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("tries").alias("tries")],
+        [F.min("first").alias("first"), F.sum("n").alias("n"), F.max("size").alias("size"), F.first("tries").alias("tries")],
+        spread="doc_id"), "classes")
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL,
+         block: int = BLOCK, block_runs: int = BLOCK_RUNS) -> DataFrame:
+    """One row per document: doc_id, h (hash of the text), class_id, n_links, copy_of, and ``kept``: whether it is
+    the one that stands for its component."""
+    rows = signed(docs, trees, DEEPEST)
+    classes = classes_of(rows)
+    found, _ = matches(docs, classes, threshold, trees, recall, block, block_runs)
     links = found.groupBy("set").agg(F.sum("links").alias("links"))
     label = components(found.select(F.col("set").alias("u"), F.col("least").alias("v")))
     known = classes.select("set", "first", "n", "_salts").join(links, "set", "left") \
@@ -320,9 +411,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, reca
         (F.col("least").isNull() | own.eqNullSafe(F.col("least"))).alias("kept"))
 
 
-def _verified_batch(rows: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()),
-                                       pa.array([r[2] for r in rows], pa.binary())], names=["set", "links", "least"])
+def _verified_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"label": pa.binary(), "k": pa.int64(), "set": pa.binary(), "links": pa.int64(), "least": pa.binary(),
+             "near": pa.list_(pa.int64())}
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds.values())],
+                                      names=list(kinds))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

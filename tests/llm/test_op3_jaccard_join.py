@@ -1,6 +1,7 @@
 import collections
 import random
 
+import numpy as np
 from sensorlake.llm import op3_jaccard_join as op
 from sensorlake.llm.common import table
 from sensorlake.llm.graph import components
@@ -84,6 +85,63 @@ def test_prefix_is_shortened_to_the_recall():
     recall = lambda d: 1 - (1 - 0.8 ** d) ** 40
     assert depth == 8 and recall(depth) >= 0.999 > recall(depth + 1)
     assert op.prefix_length(1, 0.5, 0.999, 12) == 1
+    # the least similar band in which pairs were found decides; none, or only close ones, leave the prefix as it is
+    assert op.shortened(12, [0] * 8) == 12
+    assert op.shortened(12, [0, 0, 0, 0, 0, 0, 1, 5]) == 12
+    assert op.shortened(12, [3, 0, 0, 0, 0, 0, 0, 0]) == 8
+    assert [op.shortened(12, [0] * k + [1] * (8 - k)) for k in range(8)] == [8, 9, 11, 12, 12, 12, 12, 12]
+
+
+def test_shared_prefixes():
+    key = np.array([[1, 2, 3], [1, 2, 4], [1, 2, 4], [1, 2, 4], [9, 2, 4]], np.uint8)
+    assert op.shared(key, np.array([0, 0, 0, 1, 1])).tolist() == [2, 3, 0, 0]
+
+
+def rounds(docs, **more):
+    found, depths = op.matches(docs, op.classes_of(op.signed(docs, op.TREES, op.DEEPEST)), **more)
+    return {r.set: r.links for r in found.collect()}, depths
+
+
+def test_rounds_follow_the_pairs(spark, documents):
+    rng = random.Random(8)
+    close, far = [], []
+    for _ in range(30):
+        base = [f"w{rng.randrange(9000)}" for _ in range(300)]
+        close += [base, base[:-1]]
+        other = list(base)
+        for k in rng.sample(range(0, 300, 10), 6):  # each changed word spoils five runs
+            other[k] = "changed"
+        far += [base, other]
+    _, depths = rounds(documents([(k, " ".join(w)) for k, w in enumerate(close)]))
+    assert depths == [12]
+    rows = [(k, " ".join(w)) for k, w in enumerate(far)]
+    found, depths = rounds(documents(rows))
+    assert len(depths) > 1 and depths[-1] == 8
+    assert result(op.join(documents(rows))) == brute(rows)
+
+
+def test_recall_near_the_threshold(spark, documents):
+    rng = random.Random(12)
+    rows = []
+    for _ in range(400):
+        base = [f"w{rng.randrange(99999)}" for _ in range(200)]
+        other = list(base)
+        for k in rng.sample(range(0, 200, 8), 4):
+            other[k] = f"x{rng.randrange(99999)}"
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(other))]
+    sets = [shingles(t) for _, t in rows]
+    alike = [len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, len(rows), 2)]
+    near = [2 * k for k, s in enumerate(alike) if 0.8 <= s < 0.85]
+    assert len(near) > 300
+    links = {r.doc_id: r.n_links for r in op.join(documents(rows)).collect()}
+    met = sum(links[k] == 1 for k in near)
+    assert met >= 0.99 * len(near)
+    assert all(links[2 * k] == 0 for k, s in enumerate(alike) if s < 0.8)
+
+
+def test_groups_of_long_texts_are_cut_by_their_runs(spark, documents):
+    rows = copies(5, 3, 6)
+    assert result(op.join(documents(rows), block_runs=100)) == brute(rows)
 
 
 def test_components_of_chains_stars_and_loops(spark):
