@@ -8,6 +8,11 @@ offset-adjusted positions of the next rarer ones, so only starts where every ter
 stands in its place are left. ``proximity`` finds the items whose window terms all
 lie, in any order, within a few more words than the window has.
 
+The windows are made, folded and put in order by Spark: equal rows of items and equal
+windows of several items are searched once, and what is found is joined back to the items
+that have it. An index block meets the windows in slices of at most about ``SLICE_WORDS``
+words, each packed by a task and broadcast while its findings are written.
+
 Cases: null or empty text and text without words has no words and no hit; an item
 without words has no window; an item of fewer words than a window is one window;
 repeated rows, of documents or items, each count by themselves (items by item_id);
@@ -26,17 +31,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, fresh, stored, table, text_blocks
+from .common import Words, copies_joined, fitted, fresh, salted_max, stored, table, text_blocks
 
 WINDOW = 10
-#: Benchmark words that one search holds in a task; a larger benchmark is searched in several.
+#: Words of the windows (of eight bytes in the mean, fewer longer ones) that are broadcast at a time.
 SLICE_WORDS = 2_000_000
+#: Windows that are cut from an item at once.
+PIECE = 1000
 #: Candidate starts that are checked at once.
 CHUNK = 262_144
 
 INDEX = ("block long, doc_ids array<long>, hashes array<long>, doc_ptr binary, terms array<string>, counts array<int>, "
          "positions binary")
-FOUND = "block long, i int, doc_id long, hash long, n_words long, hits array<struct<s:int,e:int>>, items array<long>"
+FOUND = "block long, i int, doc_id long, hash long, n_words long, hits array<struct<s:int,e:int>>, windows array<binary>"
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -68,30 +75,52 @@ def _words_of(column: str):
     return F.regexp_extract_all(low, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
 
 
+def windows_of(benchmark: DataFrame, size: int) -> DataFrame:
+    """Distinct (item_id, w, terms): every window of the items, ``w`` a 128-bit name of its terms, stored."""
+    items = benchmark.select(F.col("item_id").cast("long"), _words_of("text").alias("words")).filter(F.size("words") > 0).distinct()
+    last = F.greatest(F.size("words") - size, F.lit(0))
+    # a long item is cut into overlapping pieces first, so no row holds all its windows
+    cut = F.transform(F.sequence(F.lit(0), last, F.lit(PIECE)), lambda p: F.slice("words", p + 1, F.lit(PIECE + size - 1)))
+    pieces = items.select("item_id", F.explode(cut).alias("words"))
+    each = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0))),
+                       lambda i: F.slice("words", i + 1, F.lit(size)))
+    rows = pieces.select("item_id", F.explode(each).alias("terms"))
+    return stored(rows.select("item_id", F.unhex(F.md5(F.array_join("terms", " "))).alias("w"), "terms").distinct(), "windows")
+
+
+def from_the_rarest(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(w, terms, order) of each different window whose terms the corpus has; ``order``: places in it, rarest term first."""
+    each = windows.groupBy("w").agg(F.first("terms").alias("terms"))
+    places = each.select("w", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("at", "term"))
+    postings = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("p")) \
+        .groupBy(F.col("p.terms").alias("term")).agg(F.sum("p.counts").alias("n"))
+    vocab = salted_max(places, ["term"], [F.lit(1).alias("one")], [F.lit(1).alias("one")], spread="w").select("term", "_salts")
+    counted = copies_joined(places, ["term"], vocab.join(postings, "term"), spread="w").filter(F.col("n").isNotNull())
+    return counted.groupBy("w", "n_terms").agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("by")) \
+        .filter(F.size("by") == F.col("n_terms")) \
+        .select("w", F.transform(F.array_sort(F.transform("by", lambda x: F.struct(x["at"].alias("at"), x["term"].alias("term")))),
+                                 lambda x: x["term"]).alias("terms"), F.transform("by", lambda x: x["at"]).alias("order"))
+
+
 class Windows:
-    """The windows of some items as numbers of a vocabulary, with each one's terms from the rarest up."""
-
-    def __init__(self, items: list[tuple[int | None, list[str]]], seen: dict[str, int], size: int) -> None:
-        self.vocab = sorted({w for _, words in items for w in words})
-        number = {w: i for i, w in enumerate(self.vocab)}
-        terms, of, length = [], [], []
-        for k, (_, words) in enumerate(items):
-            codes = [number[w] for w in words]
-            for at in range(max(1, len(codes) - size + 1) if codes else 0):
-                one = codes[at:at + size]
-                terms.append(one + [-1] * (size - len(one)))
-                of.append(k)
-                length.append(len(one))
-        self.ids = [i for i, _ in items]
-        self.terms = np.array(terms, np.int32).reshape(-1, size)
-        self.of = np.array(of, np.int32)
-        self.length = np.array(length, np.int32)
-        count = np.array([seen.get(w, 0) for w in self.vocab] + [np.iinfo(np.int64).max], np.int64)
-        self.order = np.argsort(count[self.terms], axis=1, kind="stable").astype(np.int8)
-        # a window with a term that the corpus doesn't have occurs nowhere
-        there = (count[self.terms] > 0).all(axis=1)
-        self.terms, self.order = self.terms[there], self.order[there]
-        self.of, self.length = self.of[there], self.length[there]
+    """Some windows as numbers of a vocabulary, with each one's terms from the rarest up."""
+
+    def __init__(self, rows: pa.Table | None, size: int) -> None:
+        n = rows.num_rows if rows is not None else 0
+        self.terms = np.full((n, size), -1, np.int32)
+        self.order = np.tile(np.arange(size, dtype=np.int8), (n, 1))
+        self.length = np.zeros(n, np.int32)
+        self.names: list[bytes] = []
+        self.vocab: list[str] = []
+        if n:
+            self.names = rows.column("w").to_pylist()
+            lists = rows.column("terms").combine_chunks()
+            self.length = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int32)
+            coded = lists.flatten().dictionary_encode()
+            there = np.arange(size) < self.length[:, None]
+            self.terms[there] = coded.indices.to_numpy(zero_copy_only=False)
+            self.order[there] = rows.column("order").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            self.vocab = coded.dictionary.to_pylist()
 
 
 class Block:
@@ -211,36 +240,40 @@ def search(index: DataFrame, benchmark: DataFrame, size: int = WINDOW, slice_wor
     """Per indexed document (block, i): doc_id, n_words, hit ranges [s, e) and the items that occur.
 
     ``slack`` None finds exact phrases; a number finds proximity matches, whose
-    range is the place of the rarest term. The benchmark's words are counted
-    first, and a task holds at most about ``slice_words`` of them: a larger
-    benchmark is searched in slices of its items, whose findings are merged.
+    range is the place of the rarest term.
     """
-    words = benchmark.select(F.col("item_id").cast("long"), _words_of("text").alias("words"))
-    total = words.agg(F.sum(F.size("words"))).first()[0] or 0
-    slices = -(-total // slice_words) or 1
-    words = words.withColumn("slice", F.pmod(F.xxhash64("item_id", F.array_join("words", " ")), F.lit(slices)))
+    windows = windows_of(benchmark, size)
+    ordered = stored(from_the_rarest(index, windows), "ordered-windows")
+    total = ordered.agg(F.sum(F.size("terms")).alias("words"), F.sum(F.octet_length(F.array_join("terms", ""))).alias("bytes")).first()
+    slices = max(1, -(-(total.words or 0) // slice_words), -(-(total.bytes or 0) // (8 * slice_words)))
+    sc = index.sparkSession.sparkContext
     found = None
     for k in range(slices):
-        one = words.filter(F.col("slice") == k)
-        vocab = one.select(F.explode("words").alias("term")).distinct()
-        postings = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("p"))
-        seen = (postings.select(F.col("p.terms").alias("term"), F.col("p.counts").alias("n")).join(vocab, "term")
-                .groupBy("term").agg(F.sum("n").alias("n")).collect())
-        items = [(r.item_id, list(r.words)) for r in one.select("item_id", "words").collect()]
-        win = index.sparkSession.sparkContext.broadcast(
-            Windows(items, {r.term: r.n for r in seen}, size))
-        part = index.select("block", "doc_ids", "hashes", "doc_ptr", "terms", "counts", "positions") \
-            .mapInArrow(_searcher(win, slack), FOUND)
+        mine = ordered.filter(F.pmod(F.xxhash64("w"), F.lit(slices)) == k)
+        shared = sc.broadcast(fitted(mine, lambda rows: Windows(rows, size)) or Windows(None, size))
+        part = stored(index.select("block", "doc_ids", "hashes", "doc_ptr", "terms", "counts", "positions")
+                      .mapInArrow(_searcher(shared, slack, k == 0), FOUND), "found")
+        shared.destroy()
         found = part if found is None else found.unionByName(part)
-    return found
-
-
-def _searcher(shared, slack: int | None):
+    docs = found.groupBy("block", "i").agg(
+        F.first("doc_id").alias("doc_id"), F.first("hash").alias("hash"), F.first("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    hit = found.select("block", "i", F.explode("windows").alias("w"))
+    spread = F.struct("block", "i").alias("at")
+    used = salted_max(hit.select("w", spread), ["w"], [F.lit(1).alias("one")], [F.lit(1).alias("one")], spread="at").select("w", "_salts")
+    pairs = copies_joined(hit.select("w", spread), ["w"], windows.select("w", "item_id").join(used, "w"), spread="at")
+    items = pairs.select("at.*", "item_id").distinct().groupBy("block", "i") \
+        .agg(F.collect_list(F.struct("item_id")).alias("items"))  # a null id is an item too
+    return docs.join(items, ["block", "i"], "left") \
+        .withColumn("items", F.coalesce(F.transform("items", lambda x: x["item_id"]), F.array().cast("array<long>")))
+
+
+def _searcher(shared, slack: int | None, clean: bool):
+    """Search blocks for broadcast windows; ``clean``: documents without a hit have a row too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         win: Windows = shared.value
         vocab = pa.array(win.vocab, pa.string())
-        ids = np.array([-1 if i is None else i for i in win.ids], np.int64)
-        null = np.array([i is None for i in win.ids], bool)
+        names = pa.array(win.names, pa.binary())
         for batch in batches:
             for r in range(batch.num_rows):
                 one = batch.slice(r, 1)
@@ -257,18 +290,18 @@ def _searcher(shared, slack: int | None):
                     e = s + 1
                 doc = np.searchsorted(block.ptr, s, "right") - 1
                 ranges, rptr = _merged(s, e, doc, block.ptr, n)
-                pairs = np.unique(np.stack([doc, win.of[w]], 1), axis=0) if len(w) else np.zeros((0, 2), np.int64)
-                iptr = np.searchsorted(pairs[:, 0], np.arange(n + 1)).astype(np.int32)
-                items = pa.array(ids[pairs[:, 1]], pa.int64(), mask=null[pairs[:, 1]])
-                yield pa.RecordBatch.from_arrays([
+                pairs = np.unique(np.stack([doc, w], 1), axis=0) if len(w) else np.zeros((0, 2), np.int64)
+                wptr = np.searchsorted(pairs[:, 0], np.arange(n + 1)).astype(np.int32)
+                out = pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, one.column("block")[0].as_py(), np.int64)),
                     pa.array(np.arange(n, dtype=np.int32)),
                     one.column("doc_ids").flatten(),
                     one.column("hashes").flatten(),
                     pa.array(np.diff(block.ptr).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(rptr), ranges),
-                    pa.ListArray.from_arrays(pa.array(iptr), items),
-                ], names=["block", "i", "doc_id", "hash", "n_words", "hits", "items"])
+                    pa.ListArray.from_arrays(pa.array(wptr), names.take(pa.array(pairs[:, 1]))),
+                ], names=["block", "i", "doc_id", "hash", "n_words", "hits", "windows"])
+                yield out if clean else out.filter(pa.array(np.diff(wptr) > 0))
     return run
 
 
@@ -289,18 +322,14 @@ def _merged(s: np.ndarray, e: np.ndarray, doc: np.ndarray, ptr: np.ndarray, n: i
 
 
 def report(found: DataFrame) -> DataFrame:
-    """One row per document from the findings of all slices."""
-    one = found.groupBy("block", "i").agg(
-        F.first("doc_id").alias("doc_id"), F.first("hash").alias("hash"), F.first("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    """One row per document of a search's findings."""
     covered = F.aggregate(
         "hits", F.struct(F.lit(0).alias("to"), F.lit(0).cast("long").alias("n")),
         lambda a, x: F.struct(F.greatest(a["to"], x["e"]).alias("to"),
                               (a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(a["to"], x["s"]))).alias("n")),
         lambda a: a["n"])
     listed = F.array_sort(F.transform("items", lambda x: x.cast("string")))
-    return one.select(
+    return found.select(
         "doc_id", "hash", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256")) \
         .withColumn("contaminated", F.col("n_hit") > 0)

@@ -52,6 +52,19 @@ def test_odd_rows(spark, documents, slice_words):
     assert [r[2:4] for r in clean] == [(0, 0)] * len(DOCS)
 
 
+def test_repeated_and_long_items(spark, documents):
+    long = " ".join(f"w{k % 97}x{k % 61}" for k in range(2300))  # more words than a slice and than a piece
+    items = [(1, "the same ten words stand in a third of all items")] * 30 + [(k, f"the same ten words stand in a third of item {k}")
+             for k in range(2, 32)] + [(50, long), (51, long), (None, long)]
+    parts = long.split()
+    rows = [(1, long), (2, " ".join(parts[995:1012])), (3, " ".join(parts[1500:1509])), (4, " ".join(parts[2280:])),
+            (5, "x the same ten words stand in a third of all items y"), (6, "the same ten words stand in a third of item 7")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(rows, items)
+    assert result(documents(rows), bench, slice_words=8000) == want
+    assert result(documents(rows), bench) == want
+
+
 def test_phrases_do_not_cross_documents(spark, documents):
     items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     got = result(documents([(1, "one two"), (2, "three one two three"), (3, "three")]).coalesce(1), items)
