@@ -8,22 +8,23 @@ over all partitions, and for each two neighbours how many leading bytes they sha
 texts below a trie node are then a stretch of neighbours that share the node's prefix,
 so one stored list answers every depth.
 
-Texts of one set are one class. The search starts at the deepest prefixes. Classes that
-share one in some trie are linked, and the connected components of these links are
-candidate groups. Within a group all pairs are verified by exact Jaccard similarity, in
-blocks bounded by classes and bytes, each pair of blocks in a task of its own, so a group
-of any size is spread over tasks and no pair of documents is ever a row. The similarities
-of the verified pairs, counted in bands, then say how short the prefix must be: a pair of
+Texts of one set are one class. The search starts at the deepest prefixes and shortens
+them until the target recall: the similarity of neighbours is estimated by the share of
+their signatures' bytes that agree, and counted in bands (``likeness``). A pair of
 similarity s shares a prefix of d bytes in some trie with chance 1 - (1 - s^d)^TREES, and
-the prefix is shortened until every band in which pairs were found is met with the target
-recall (``shortened``). Only groups that the shorter prefix changes are verified again.
-The prefix that meets pairs at the threshold itself with that recall (``prefix_length``)
-is the shortest one that can be needed. A pair may be missed with the chance that is left;
-one in a band where the deepest prefixes met no pair, with theirs (at most 0.06 at a
-similarity of 0.8), unless other links join the two.
-
-A block pair gives back each class's number of linked documents and its least linked
-class; the components of those are the result.
+the prefix is shortened until every band in which neighbours were found is met with the
+target recall (``shortened``); the neighbours below the shorter prefix are then counted
+too, until nothing changes. ``prefix_length``, which meets pairs at the threshold itself
+with that recall, is the shortest prefix that can be needed. A pair may be missed with the
+chance that is left; one in a band without neighbours, with that of the longer prefix (at
+most 0.06 at a similarity of 0.8), unless other links join the two.
+
+Classes that share a prefix of the final length in some trie are linked, and the connected
+components of these links are candidate groups. Within a group all pairs are verified by
+exact Jaccard similarity, in blocks bounded by classes and bytes, each pair of blocks in a
+task of its own, so a group of any size is spread over tasks and no pair of documents is
+ever a row. A block pair gives back each class's number of linked documents and its least
+linked class; the components of those are the result.
 
 Result, one row per document: ``class_id``, the least doc_id of its component of
 linked documents (its own if there is none); ``n_links``, the number of other
@@ -56,13 +57,15 @@ RECALL = 0.999
 #: Classes of a block, and runs of all its classes; a task verifies two blocks against each other.
 BLOCK = 512
 BLOCK_RUNS = 2_000_000
-#: Bands of similarity, from the threshold to 1, in which verified pairs are counted.
+#: Bands of similarity, from the threshold to 1, in which neighbours are counted.
 BANDS = 8
+#: An estimate may be so far off: neighbours so much below the threshold count in the first band.
+MARGIN = 0.05
 SEED = 11
 
 SIGNED = "doc_id long, h long, set binary, size int, tries binary"
 SETS = "set binary, runs binary"
-VERIFIED = "label binary, k long, set binary, links long, least binary, near array<long>"
+VERIFIED = "set binary, links long, least binary"
 
 
 def chance(depth: int, similarity: float, trees: int = TREES) -> float:
@@ -83,7 +86,7 @@ def shortened(depth: int, near: list[int], trees: int = TREES, threshold: float
               recall: float = RECALL) -> int:
     """The longest prefix, of ``depth`` at most, that meets the pairs of each band often enough.
 
-    ``near``: verified pairs in each band; a band's pairs are taken to be as unlike as it allows.
+    ``near``: neighbours in each band; a band's pairs are taken to be as unlike as it allows.
     """
     seen = [k for k, n in enumerate(near) if n]
     if not seen:
@@ -265,9 +268,8 @@ def common_runs(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
 
 
 def verified(group: list[tuple[int, bytes, int, bytes]], across: bool,
-             threshold: float) -> list[tuple[bytes, int, bytes, list[int]]]:
-    """(set, documents linked to it, least set of its component, linked sets in each band) of one block,
-    or ``across`` two blocks.
+             threshold: float) -> list[tuple[bytes, int, bytes]]:
+    """(set, documents linked to it, least set of its component) of one block, or ``across`` two blocks.
 
     ``group``: (block, set, documents of the class, runs).
     """
@@ -277,16 +279,11 @@ def verified(group: list[tuple[int, bytes, int, bytes]], across: bool,
     sets = [np.frombuffer(g[3], "<u8") for g in group]
     sizes = np.array([len(s) for s in sets], np.float64)
     both = common_runs(sets).astype(np.float64)
-    either = sizes[:, None] + sizes[None, :] - both
     # equality at the threshold counts: compare whole numbers, with room for the product's rounding
-    linked = both >= threshold * either - 1e-9
+    linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
     np.fill_diagonal(linked, False)
     if across:
         linked &= block[:, None] != block[None, :]
-    one, other = np.nonzero(linked)
-    above = (both[one, other] / either[one, other] - threshold) / max(1 - threshold, 1e-9)
-    band = np.clip((above * BANDS + 1e-9).astype(np.int64), 0, BANDS - 1)
-    near = np.bincount(one * BANDS + band, minlength=len(names) * BANDS).reshape(-1, BANDS)
     order = sorted(range(len(names)), key=names.__getitem__)
     place = np.empty(len(names), np.int64)
     place[order] = np.arange(len(names))
@@ -297,82 +294,86 @@ def verified(group: list[tuple[int, bytes, int, bytes]], across: bool,
             break
         label = low
     links = linked @ copies
-    return [(names[k], int(links[k]), names[order[label[k]]], near[k].tolist()) for k in range(len(names))]
+    return [(names[k], int(links[k]), names[order[label[k]]]) for k in range(len(names))]
 
 
-def sizes_of(groups: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The groups' classes (label, set, first, n, size), stored, and each group's number of classes and runs."""
-    members = stored(groups.withColumnRenamed("node", "set").join(classes.select("set", "first", "n", "size"), "set"), "members")
-    size = salted_max(members, ["label"], [F.count("*").alias("k"), F.sum("size").alias("all_runs")],
-                      [F.sum("k").alias("k"), F.sum("all_runs").alias("all_runs")], spread="set")
-    return members, stored(size, "group-sizes")
+def likeness(classes: DataFrame, links: DataFrame, threshold: float) -> dict[int, list[int]]:
+    """For each shared length the neighbours in each band, by the share of their signatures' bytes that agree."""
 
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                          for c in ("one", "other"))
+            # different values have equal bytes once in 256
+            alike = ((one == other).mean(axis=1) * 256 - 1) / 255
+            band = np.floor((alike - threshold) / max(1 - threshold, 1e-9) * BANDS + 1e-9)
+            band = np.where(alike < threshold - MARGIN, -1, np.clip(band, 0, BANDS - 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("shared"), pa.array(band)], names=["shared", "band"])
+
+    pairs = links.filter("u != v").groupBy(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")) \
+        .agg(F.max("shared").alias("shared"))
+    sides = pairs.join(classes.select(F.col("set").alias("u"), F.col("tries").alias("one")), "u") \
+        .join(classes.select(F.col("set").alias("v"), F.col("tries").alias("other")), "v")
+    counts: dict[int, list[int]] = {}
+    for r in sides.select("shared", "one", "other").mapInArrow(agree, "shared int, band int").filter("band >= 0") \
+            .groupBy("shared", "band").count().collect():
+        counts.setdefault(r["shared"], [0] * BANDS)[r["band"]] += r["count"]
+    return counts
+
+
+def adapted(counts: dict[int, list[int]], trees: int, threshold: float, recall: float, deepest: int) -> list[int]:
+    """The prefix lengths from the deepest to that at which the target recall is reached."""
+    depths = [deepest]
+    while True:
+        near = [sum(n[k] for d, n in counts.items() if d >= depths[-1]) for k in range(BANDS)]
+        depth = shortened(depths[-1], near, trees, threshold, recall)
+        if depth == depths[-1]:
+            return depths
+        depths.append(depth)
 
-def verify(docs: DataFrame, members: DataFrame, size: DataFrame, threshold: float, block: int, block_runs: int) -> DataFrame:
-    """What all pairs of each group in ``size`` show (VERIFIED), stored."""
-    dealt = copies_joined(members, ["label"], size, spread="set").filter(F.col("k").isNotNull()) \
-        .withColumn("blocks", F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("all_runs") / block_runs)).cast("int")) \
-        .withColumn("b", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    dealt = stored(dealt.drop("_salts"), "dealt")
-    runs_of = sets_of(docs, dealt.select(F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")))
+
+def matches(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL,
+            block: int = BLOCK, block_runs: int = BLOCK_RUNS, deepest: int = DEEPEST) -> tuple[DataFrame, list[int]]:
+    """The verified groups' rows (VERIFIED), stored, and the prefix lengths that were tried."""
+    links = prefixes(classes, trees, deepest, prefix_length(trees, threshold, recall, deepest))
+    depths = adapted(likeness(classes, links, threshold), trees, threshold, recall, deepest)
+    groups = stored(components(links.filter(F.col("shared") >= depths[-1]).select("u", "v")), "groups")
+    groups = groups.withColumnRenamed("node", "set").join(classes.select("set", "first", "n", "size"), "set")
+    size = salted_max(groups, ["label"], [F.count("*").alias("k"), F.sum("size").alias("all_runs")],
+                      [F.sum("k").alias("k"), F.sum("all_runs").alias("all_runs")], spread="set")
+    members = stored(copies_joined(groups, ["label"], size, spread="set")
+                     .withColumn("blocks", F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("all_runs") / block_runs)).cast("int"))
+                     .withColumn("b", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")), "members")
+    runs_of = sets_of(docs, members.select(F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")))
     # a block meets itself and every other block of its group once
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda o: F.struct(F.least("b", o).alias("i"), F.greatest("b", o).alias("j")))
-    sent = dealt.join(runs_of, "set").select("label", "k", "b", "set", "n", "runs", F.explode(meets).alias("p"))
-    sent = sent.select("label", "k", "p.i", "p.j", "b", "set", "n", "runs")
+    sent = members.join(runs_of, "set").select("label", "b", "set", "n", "runs", F.explode(meets).alias("p"))
+    sent = sent.select("label", "p.i", "p.j", "b", "set", "n", "runs")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group, out = None, [], []
         for batch in batches:
             for row in batch.to_pylist():
-                key = (row["label"], row["k"], row["i"], row["j"])
+                key = (row["label"], row["i"], row["j"])
                 if key != now:
                     if group:
-                        out += [now[:2] + r for r in verified(group, now[2] != now[3], threshold)]
+                        out += verified(group, now[1] != now[2], threshold)
                     now, group = key, []
                 group.append((row["b"], row["set"], row["n"], row["runs"]))
             if len(out) > 5000:
                 yield _verified_batch(out)
                 out = []
         if group:
-            out += [now[:2] + r for r in verified(group, now[2] != now[3], threshold)]
+            out += verified(group, now[1] != now[2], threshold)
         if out:
             yield _verified_batch(out)
 
-    return stored(sent.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
-                  .mapInArrow(check, VERIFIED), "verified")
-
-
-def matches(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL,
-            block: int = BLOCK, block_runs: int = BLOCK_RUNS, deepest: int = DEEPEST) -> tuple[DataFrame, list[int]]:
-    """The verified groups' rows (VERIFIED) and the prefix lengths of the rounds."""
-    shortest = prefix_length(trees, threshold, recall, deepest)
-    links = prefixes(classes, trees, deepest, shortest)
-    depths, groups, found, before = [deepest], None, None, None
-    while True:
-        edges = links.filter(F.col("shared") >= depths[-1]).select("u", "v")
-        if groups is not None:  # the links of longer prefixes are in these stars
-            edges = links.filter((F.col("shared") >= depths[-1]) & (F.col("shared") < depths[-2])).select("u", "v") \
-                .unionByName(groups.select(F.col("node").alias("u"), F.col("label").alias("v")))
-        groups = stored(components(edges), "groups")
-        members, size = sizes_of(groups, classes)
-        if before is None:
-            found = verify(docs, members, size, threshold, block, block_runs)
-        else:
-            # groups only grow: one of the same least class and size has the same classes
-            same = before.withColumnRenamed("k", "_k").select("label", "_k")
-            grown = size.join(same, (size["label"] == same["label"]) & (size["k"] == same["_k"]), "left_anti")
-            kept = copies_joined(found, ["label"], size.select("label", F.col("k").alias("_k"), "_salts"), spread="set") \
-                .filter(F.col("k") == F.col("_k")).drop("_k")
-            found = kept.unionByName(verify(docs, members, grown, threshold, block, block_runs))
-        before = size
-        near = [0] * BANDS
-        for r in found.select(F.posexplode("near").alias("band", "n")).groupBy("band").agg(F.sum("n").alias("n")).collect():
-            near[r.band] = r.n
-        depth = shortened(depths[-1], near, trees, threshold, recall)
-        if depth == depths[-1]:
-            return found, depths
-        depths.append(depth)
+    found = stored(sent.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+                   .mapInArrow(verify, VERIFIED), "verified")
+    return found, depths
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -412,8 +413,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, reca
 
 
 def _verified_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"label": pa.binary(), "k": pa.int64(), "set": pa.binary(), "links": pa.int64(), "least": pa.binary(),
-             "near": pa.list_(pa.int64())}
+    kinds = {"set": pa.binary(), "links": pa.int64(), "least": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds.values())],
                                       names=list(kinds))
 
