@@ -92,9 +92,10 @@ def from_the_rarest(index: DataFrame, windows: DataFrame) -> DataFrame:
     """(w, terms, order) of each different window whose terms the corpus has; ``order``: places in it, rarest term first."""
     each = windows.groupBy("w").agg(F.first("terms").alias("terms"))
     places = each.select("w", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("at", "term"))
-    postings = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("p")) \
-        .groupBy(F.col("p.terms").alias("term")).agg(F.sum("p.counts").alias("n"))
     vocab = salted_max(places, ["term"], [F.lit(1).alias("one")], [F.lit(1).alias("one")], spread="w").select("term", "_salts")
+    postings = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("p")) \
+        .select(F.col("p.terms").alias("term"), F.col("p.counts").alias("n")) \
+        .join(vocab.select("term"), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
     counted = copies_joined(places, ["term"], vocab.join(postings, "term"), spread="w").filter(F.col("n").isNotNull())
     return counted.groupBy("w", "n_terms").agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("by")) \
         .filter(F.size("by") == F.col("n_terms")) \
