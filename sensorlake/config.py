@@ -80,7 +80,9 @@ class AnomalyConfig:
     preceding: int = 50
     threshold: float = 2.0
     # Rows per bucket of a series (raised to more than ``preceding`` if smaller).
-    bucket_rows: int = 1_000_000
+    bucket_rows: int = 100_000
+    # Rows of buckets that a task gets, on average, of a table whose size is known.
+    task_rows: int = 500_000
     # Seconds of a series that are counted together to find the buckets.
     cell_seconds: int = 60
 

@@ -23,7 +23,8 @@ The plan is always the same, whatever the size, and starts no job while it is bu
    running updates and one merge instead of a frame; nothing is ever subtracted, so no
    digits are lost to sums over long series.
 
-The rows are shuffled once, by series and bucket. ``rolling_zscore_window`` (strategy
+The rows are shuffled once, by series and bucket. A caller who knows the number of rows passes the number of
+tasks (``tasks_for``), so that the rows of a task, which it sorts, don't grow with the table. ``rolling_zscore_window`` (strategy
 ``window``) is the plain form, one window per series and one frame per row, for tests and
 for callers who know that their series are small.
 """
@@ -41,10 +42,11 @@ from ..functions.rounding import int_div, round_half_up
 
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
     """Raw aggregates first, rounding in a second step: an expression used twice inside the
-    rounding would otherwise be planned as two window functions. As rows of a generator the
+    rounding would otherwise be planned as two window functions. As a row of a generator the
     rounded values are computed once: a filter on the z-score can't take their formulas along."""
     both = F.struct(round_half_up(F.col("_ravg"), 4).alias("rolling_avg"), round_half_up(F.col("_rstd"), 4).alias("rolling_stddev"))
-    return df.select(*[F.col(f"`{c}`") for c in cols], F.inline(F.array(both)))
+    kept = [F.col(f"`{c}`") for c in cols]
+    return df.select(*kept, F.explode(F.array(both)).alias("_rounded")).select(*kept, "_rounded.rolling_avg", "_rounded.rolling_stddev")
 
 
 def _with_z(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -107,7 +109,8 @@ def slice_of(second: Column) -> Column:
 
 
 def slices(cut: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """One row for each series with edges, which it has by slices of time of equal width, about one for each edge.
+    """One row for each series with edges, which it has by slices of time of equal width, about four for each edge, so that most
+    rows are in a slice without one and need no look at its arrays.
 
     ``_slices`` holds for each slice, from -1 on (before the first edge), the number of edges before it, those in it, and the
     stretches of time in it whose rows a later bucket needs. Nothing is shuffled again: all is done where the cells were summed up.
@@ -116,7 +119,7 @@ def slices(cut: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     all_, along = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_at")
     first, last = F.min("_at").over(all_), F.max("_at").over(all_)
     spans = cut.select("*", first.alias("_first"), last.alias("_last"), F.lead("_at").over(along).alias("_next"),
-                       F.greatest(F.lit(1), F.ceil((last - first) / F.count(F.lit(1)).over(all_))).alias("_width"))
+                       F.greatest(F.lit(1), F.ceil((last - first) / (4 * F.count(F.lit(1)).over(all_)))).alias("_width"))
 
     def entry(s: Column, edge=None, need=None) -> Column:  # noqa: ANN001
         nothing = F.lit(None).cast("struct<_from: long, _to: long, _bucket: int>")
@@ -141,7 +144,7 @@ def slices(cut: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
 def bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """The rows with ``_b``, the bucket of their series, and once more with ``_carry`` in each bucket that needs them before its first row."""
     c, keys = cfg.cols, list(cfg.cols.series_keys)
-    # fewer edges than rows / bucket_rows, however many series there are, and about as many slices
+    # fewer edges than rows / bucket_rows, however many series there are, and about four times as many slices
     known = slices(edges(histogram(df, cfg), cfg), cfg).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
     # null-safe: a series with a NULL machine or sensor is still a series
     same = reduce(and_, [df[k].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(keys)])
@@ -159,7 +162,10 @@ def bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
         return F.when(t.isNull(), first).otherwise((first | (x["_from"] <= t)) & (t < x["_to"]))
 
     copies = F.transform(F.filter("_slice._needed", needed), lambda x: F.struct(x["_bucket"].alias("_b"), F.lit(True).alias("_carry")))
-    return rows.select(*cols, F.inline(F.when(F.col("_slice").isNull(), F.array(first_bucket)).otherwise(F.concat(F.array(own), copies))))
+    undivided = t.isNotNull() & (F.size("_slice._edges") == 0) & (F.size("_slice._needed") == 0)
+    base = F.struct(F.col("_slice._base").alias("_b"), F.lit(False).alias("_carry"))
+    return rows.select(*cols, F.inline(F.when(F.col("_slice").isNull(), F.array(first_bucket)).when(undivided, F.array(base))
+                                       .otherwise(F.concat(F.array(own), copies))))
 
 
 # ---- frames from merged states ---------------------------------------------------------
@@ -196,18 +202,30 @@ def sliding_stats(df: DataFrame, group: list[str], order: list[str], value: str,
         .drop("_rn", "_run", "_sn", "_ss", "_sm", "_pn", "_ps", "_pm", "_suffix")
 
 
-def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    stats = sliding_stats(bucketed(df, cfg), [*cfg.cols.series_keys, "_b"], _order(cfg), cfg.cols.value, cfg.anomaly.preceding)
+def tasks_for(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> int:
+    """Number of tasks that the buckets of a stored table are dealt to, from its number of rows (footers are read only):
+    some for each core while the table is small, and then as many as keep a task's rows at ``task_rows`` or so."""
+    rows, a = df.count(), cfg.anomaly
+    spread = min(rows // a.bucket_rows + len(cfg.sensors), 3 * df.sparkSession.sparkContext.defaultParallelism)
+    return max(1, spread, -(-rows // a.task_rows))
+
+
+def rolling_zscore_bucketed(df: DataFrame, cfg: PipelineConfig = DEFAULT, tasks: int | None = None) -> DataFrame:
+    group, rows = [*cfg.cols.series_keys, "_b"], bucketed(df, cfg)
+    if tasks:
+        rows = rows.repartition(tasks, *group)
+    stats = sliding_stats(rows, group, _order(cfg), cfg.cols.value, cfg.anomaly.preceding)
     return _with_z(_rounded(stats.filter(~F.col("_carry")), df.columns), cfg)
 
 
-def rolling_zscore(df: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed") -> DataFrame:
-    """Input rows plus rolling_avg, rolling_stddev and z_score."""
+def rolling_zscore(df: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed", tasks: int | None = None) -> DataFrame:
+    """Input rows plus rolling_avg, rolling_stddev and z_score; ``tasks`` (bucketed) share the buckets, without it as
+    many as the session's shuffle partitions."""
     if strategy == "window":
         return rolling_zscore_window(df, cfg)
     if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return rolling_zscore_bucketed(df, cfg)
+    return rolling_zscore_bucketed(df, cfg, tasks)
 
 
 def flag_anomalies(scored: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

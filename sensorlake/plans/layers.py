@@ -19,7 +19,7 @@ from ..functions.predicates import drop_rules
 from ..operators.aggregates import daily_health, hourly_stats
 from ..operators.dedup import dedup, preferred
 from ..operators.expectations import expect_all_or_drop, expectation_metrics
-from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore
+from ..operators.rolling import anomalies, flag_anomalies, rolling_zscore, tasks_for
 from ..sources.fixture import bronze_from_events
 from ..sources.tables import load
 
@@ -60,12 +60,13 @@ def gold_daily(silver: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return daily_health(silver, cfg)
 
 
-def scored(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed") -> DataFrame:
-    return flag_anomalies(rolling_zscore(silver, cfg, strategy), cfg)
+def scored(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed", tasks: int | None = None) -> DataFrame:
+    return flag_anomalies(rolling_zscore(silver, cfg, strategy, tasks), cfg)
 
 
-def gold_anomalies(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed") -> DataFrame:
-    return anomalies(rolling_zscore(silver, cfg, strategy), cfg)
+def gold_anomalies(silver: DataFrame, cfg: PipelineConfig = DEFAULT, strategy: str = "bucketed",
+                   tasks: int | None = None) -> DataFrame:
+    return anomalies(rolling_zscore(silver, cfg, strategy, tasks), cfg)
 
 
 @dataclass
@@ -111,7 +112,12 @@ class Layers:
     @cached_property
     def rolled(self) -> DataFrame:
         """Silver plus rolling statistics."""
-        return self._kept("rolled", rolling_zscore(self.silver, self.cfg, self.strategy))
+        return self._kept("rolled", rolling_zscore(self.silver, self.cfg, self.strategy, self.tasks))
+
+    @cached_property
+    def tasks(self) -> int | None:
+        """Tasks that share the rolling windows: a stored Silver is counted from its footers."""
+        return None if self.keep is None else tasks_for(self.silver, self.cfg)
 
     @property
     def scored(self) -> DataFrame:

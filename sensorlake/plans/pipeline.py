@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, PipelineConfig
 from ..functions.predicates import anomaly_rules, daily_rules, drop_rules, hourly_rules
 from ..operators.expectations import expectation_metrics, failure_mask, mask_histogram, mask_metrics
+from ..operators.rolling import tasks_for
 from ..session import scratch_dir
 from ..sources.tables import LAYOUTS, append_run, publish, read_as, write_partitioned
 from . import layers as L
@@ -85,7 +86,7 @@ def run_pipeline(spark: SparkSession, source: DataFrame | str, warehouse: str, r
     with ThreadPoolExecutor(max_workers=3) as pool:
         futures = [pool.submit(gold, t.hourly, lambda: L.gold_hourly(silver, cfg)),
                    pool.submit(gold, t.daily, lambda: L.gold_daily(silver, cfg)),
-                   pool.submit(gold, t.anomalies, lambda: L.gold_anomalies(silver, cfg, strategy))]
+                   pool.submit(gold, t.anomalies, lambda: L.gold_anomalies(silver, cfg, strategy, tasks_for(silver, cfg)))]
         hourly, daily, anomalies = [f.result() for f in futures]
 
     append_run(quality_report(bronze, silver, hourly, daily, anomalies, run_id, checked_at, cfg), paths[t.quality])

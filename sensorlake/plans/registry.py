@@ -140,26 +140,27 @@ def _daily_bronze(spark, sf_dir):
 @query("rolling_zscore")
 def _rolling(spark, sf_dir):
     ly = kept_layers(spark, sf_dir)
-    return L.rolling_zscore(ly.silver, ly.cfg)
+    return L.rolling_zscore(ly.silver, ly.cfg, tasks=ly.tasks)
 
 
 @query("rolling_zscore_bucketed")
 def _rolling_bucketed(spark, sf_dir):
     # small buckets so that every series crosses many bucket edges
     cfg = FIXTURE.with_anomaly(bucket_rows=64)
-    return L.rolling_zscore(kept_layers(spark, sf_dir).silver, cfg, "bucketed")
+    ly = kept_layers(spark, sf_dir)
+    return L.rolling_zscore(ly.silver, cfg, "bucketed", ly.tasks)
 
 
 @query("anomaly_flags")
 def _flags(spark, sf_dir):
     ly = kept_layers(spark, sf_dir)
-    return L.scored(ly.silver, ly.cfg)
+    return L.scored(ly.silver, ly.cfg, tasks=ly.tasks)
 
 
 @query("gold_anomalies")
 def _anomalies(spark, sf_dir):
     ly = kept_layers(spark, sf_dir)
-    return L.gold_anomalies(ly.silver, ly.cfg)
+    return L.gold_anomalies(ly.silver, ly.cfg, tasks=ly.tasks)
 
 
 # ---- exploration (Bronze unless stated) -------------------------------------

@@ -105,3 +105,33 @@ def test_long_series_lose_no_digits(spark):
     late = R.rolling_zscore(frame(spark, rows), cfg).filter("event_id > 'e00100'")
     want = R.rolling_zscore(frame(spark, rows), cfg, "window").filter("event_id > 'e00100'")
     assert sorted(map(tuple, late.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_tasks_follow_the_rows_and_share_them(spark):
+    # one hot series and some small ones: no task holds more than a few buckets, however many rows there are
+    rows = [(f"e{k:05d}", "HOT", None if k % 9 == 0 else float(k % 13), k) for k in range(6000)]
+    rows += [(f"m{k:05d}", None if k % 4 == 0 else f"M{k % 4}", 2.0, None if k % 50 == 0 else k) for k in range(400)]
+    cfg = DEFAULT.with_anomaly(preceding=50, bucket_rows=100, cell_seconds=1, task_rows=200)
+    df = frame(spark, rows)
+    # a tenfold table gets tenfold the tasks
+    assert R.tasks_for(df, cfg) == -(-6400 // 200) and R.tasks_for(spark.range(64_000), cfg) == 320
+    assert R.tasks_for(df.limit(0), cfg) >= 1
+    dealt = R.rolling_zscore(df, cfg, tasks=R.tasks_for(df, cfg))
+    sizes = [r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 8 * 200
+    assert sorted(map(repr, dealt.select(STATS).collect())) == outcome(df, cfg, "window")
+
+
+def test_kept_layers_deal_the_rolled_rows(spark, tmp_path):
+    from sensorlake.plans.layers import Layers
+    df = frame(spark, [(f"e{k:05d}", "HOT", 2.0 + k % 5, k) for k in range(3000)])
+    cfg = DEFAULT.with_anomaly(bucket_rows=100, cell_seconds=1, task_rows=300)
+
+    def keep(name, part):
+        part.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    ly = Layers(df, cfg, keep=keep)
+    assert ly.rolled.count() == 3000 and ly.tasks >= 10
+    # coalescing joined all these small buckets in one task
+    assert len(list(tmp_path.glob("rolled/part-*"))) > 3
