@@ -2,7 +2,7 @@
 
 ``dropDuplicates`` keeps an arbitrary copy. Here the surviving copy has the
 smallest preference order and, among equals, the smallest orderable columns, so
-the choice is defined; columns that can't be ordered (maps) ride along. It is a ``min`` aggregate of rows (``min_by`` with such columns), not a window: the partial
+the choice is defined; columns that can't be ordered (maps) ride along. It is a ``min_by`` aggregate (folds: ``min`` of rows), not a window: the partial
 aggregate folds every id's copies inside each map task before the shuffle, so
 an id repeated across a third of all rows still sends one row per task.
 """
@@ -29,11 +29,11 @@ def preference(cfg: PipelineConfig, order: str) -> list[Column]:
     raise ValueError(f"unknown dedup order {order!r}")
 
 
-def _preferred(df: DataFrame, cfg: PipelineConfig, order: str) -> Column:
+def _preferred(df: DataFrame, cfg: PipelineConfig, order: str, whole: bool = False) -> Column:
     """The aggregate that keeps a group's preferred row."""
     keys = preference(cfg, order)
     ties = [f.name for f in df.schema.fields if _orderable(f.dataType)]
-    if ties == df.columns:
+    if whole and ties == df.columns:
         # every column is compared, so the smallest rank is the row itself: it is carried once, not beside its rank
         best = F.min(F.struct(*[k.alias(f"_o{i}") for i, k in enumerate(keys)], *[F.col(f"`{x}`").alias(f"_t{i}") for i, x in enumerate(ties)]))
         return F.struct(*[best[f"_t{i}"].alias(x) for i, x in enumerate(ties)])
@@ -57,7 +57,7 @@ def fold_ids(df: DataFrame, cfg: PipelineConfig = DEFAULT, orders: tuple[str, ..
     task and is one row here, where a table bucketed by id would hold all its rows in one bucket.
     """
     return df.groupBy(F.col(cfg.cols.event_id).alias("id")).agg(
-        F.count(F.lit(1)).alias("copies"), *[_preferred(df, cfg, o).alias(o) for o in orders])
+        F.count(F.lit(1)).alias("copies"), *[_preferred(df, cfg, o, whole=True).alias(o) for o in orders])
 
 
 def preferred(folds: DataFrame, order: str) -> DataFrame:

@@ -293,15 +293,16 @@ def test_layers_of_both_orders_read_one_stored_bronze(spark, tmp_path):
     assert kept[0].bronze.count() == R.layers(spark, str(tmp_path)).bronze.count()
 
 
-def test_dedup_carries_a_row_once(spark):
+def test_folds_carry_a_row_once(spark):
     rows = [("a", "M2", "s", None, "u", 1), ("a", "M1", "s", 2.0, "u", 3), ("a", "M1", "s", 2.0, "t", 3), (None, "M1", None, 1.0, None, 2),
             (None, "M0", None, 1.0, None, 2), ("b", None, "s", None, None, 5)]
     df = spark.createDataFrame(rows, "event_id string, machine_id string, sensor_type string, value double, unit string, t int") \
         .select("event_id", "machine_id", "sensor_type", "value", "unit", F.timestamp_seconds("t").cast("timestamp_ntz").alias("timestamp"),
                 F.timestamp_seconds(F.when(F.col("t") < 9, F.col("t"))).cast("timestamp_ntz").alias("ingested_at"))
-    plan = D.dedup(df)._jdf.queryExecution().optimizedPlan().toString()
+    folds = D.fold_ids(df)
+    plan = folds._jdf.queryExecution().optimizedPlan().toString()
     assert "min_by" not in plan
-    best = {o: {r.event_id: (r.machine_id, r.value, r.unit) for r in D.dedup(df, DEFAULT, o).collect()} for o in D.ORDERS}
+    best = {o: {r.event_id: (r.machine_id, r.value, r.unit) for r in D.preferred(folds, o).collect()} for o in D.ORDERS}
     assert best["prefer_value"] == {"a": ("M1", 2.0, "t"), None: ("M0", 1.0, None), "b": (None, None, None)}
     assert best["first_arrival"] == {"a": ("M2", None, "u"), None: ("M0", 1.0, None), "b": (None, None, None)}
-    assert D.dedup(df).schema == df.schema
+    assert D.preferred(folds, "prefer_value").schema == df.schema
