@@ -10,6 +10,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,17 @@ from ..session import scratch_dir
 
 #: Text handled at once inside a task; a longer single document is a block of its own.
 BLOCK_BYTES = 2 << 20
+#: How rows of megabytes are written: Parquet looks at the bytes it holds after each row, not first after 100,
+#: so neither a page nor a row group, which readers hold whole, grows with the rows of a task.
+WIDE = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+#: Arrow bytes that are sent to Python at once where rows are wide (Spark's own bound is 64 MB).
+BATCH_BYTES = 4 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, whole_buffers: bool = True) -> DataFrame:
+    """``whole_buffers`` False: a row group's column isn't read through a buffer of its size outside the heap."""
+    options = {} if whole_buffers else {"parquet.hadoop.vectored.io.enabled": False}
+    return spark.read.options(**options).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ship(spark: SparkSession) -> None:
@@ -45,14 +53,35 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``wide``: rows of megabytes come or go; pages and row groups are closed by their bytes (see ``WIDE``),
+    and Python gets them in small batches.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark) if wide else nullcontext():
+        df.write.options(**WIDE if wide else {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends Python Arrow batches of about ``BATCH_BYTES`` (one row at least): an executor holds each
+    some times over outside its heap, while buffers grow and until the next garbage collection."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -67,7 +67,7 @@ def build_index(docs: DataFrame) -> DataFrame:
             seq += 1
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
-    return stored(rows.mapInArrow(build, INDEX), "positional-index")
+    return stored(rows.mapInArrow(build, INDEX), "positional-index", wide=True)
 
 
 def _words_of(column: str):
@@ -253,7 +253,7 @@ def search(index: DataFrame, benchmark: DataFrame, size: int = WINDOW, slice_wor
         mine = ordered.filter(F.pmod(F.xxhash64("w"), F.lit(slices)) == k)
         shared = sc.broadcast(fitted(mine, lambda rows: Windows(rows, size)) or Windows(None, size))
         part = stored(index.select("block", "doc_ids", "hashes", "doc_ptr", "terms", "counts", "positions")
-                      .mapInArrow(_searcher(shared, slack, k == 0), FOUND), "found")
+                      .mapInArrow(_searcher(shared, slack, k == 0), FOUND), "found", wide=True)
         shared.destroy()
         found = part if found is None else found.unionByName(part)
     docs = found.groupBy("block", "i").agg(
@@ -337,7 +337,7 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = build_index(table(spark, sf_dir, "documents"))
+    index = build_index(table(spark, sf_dir, "documents", whole_buffers=False))
     return report(search(index, table(spark, sf_dir, "benchmark"))).drop("hash")
 
 

@@ -1,9 +1,10 @@
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Words, smallest, stored, text_blocks, work_path
+from sensorlake.llm.common import BATCH_BYTES, Words, smallest, stored, text_blocks, work_path
 
 from tests.llm.conftest import words_of
 
@@ -47,3 +48,19 @@ def test_the_smallest_hashes_of_each_group(spark):
 def test_smallest_hashes_of_many_groups(spark):
     rows = spark.range(900).select((F.col("id") % 300).alias("g"), F.xxhash64("id").alias("h"))
     assert {(r.g, r["count"]) for r in smallest(rows, 2, "h", ["g"]).groupBy("g").count().collect()} == {(g, 2) for g in range(300)}
+
+
+def test_wide_rows_come_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    rows = spark.range(30, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    got = stored(rows.mapInArrow(sizes, "n long, size long"), "sizes", wide=True).collect()
+    assert sum(r.n for r in got) == 30 and max(r.size for r in got) <= BATCH_BYTES + (2 << 20)
+    assert spark.conf.get(key) == before
+    with pytest.raises(Exception):  # and it is given back when a write fails
+        stored(rows.select(F.raise_error(F.lit("no")).alias("x")), "sizes", wide=True)
+    assert spark.conf.get(key) == before

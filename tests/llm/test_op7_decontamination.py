@@ -1,6 +1,8 @@
 import hashlib
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from sensorlake.llm import op7_decontamination as op
 from sensorlake.llm.common import table
@@ -89,3 +91,16 @@ def test_stage_drops_contaminated_documents(spark, documents):
     out = op.stage(spark, docs, SF)
     assert out.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, None), (1, "clean words"), (2, "clean too")]
+
+
+def test_index_is_read_in_small_pieces(spark):
+    word = lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64("doc_id", k), F.lit(5000)).cast("string"))
+    docs = spark.range(24, numPartitions=1).withColumnRenamed("id", "doc_id") \
+        .withColumn("text", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(350_000)), word), " "))
+    index = op.build_index(docs)  # one task makes 24 rows of about 1.5 MB
+    groups = []
+    for path in index.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:").replace("//", "/")).metadata
+        groups += [meta.row_group(k) for k in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == index.count() == 24
+    assert max(g.total_byte_size for g in groups) < 16 << 20
